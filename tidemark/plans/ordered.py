@@ -8,8 +8,8 @@ task sees more than one bucket of one key.  Neighbours that live in other
 buckets come from a per-bucket summary holding only its first/last k rows;
 a second window runs over those summaries (one row per bucket).
 
-Plan: Exchange(key, bucket) -> Sort -> Window (lag/lead/row_number)
-      -> summary aggregate (no exchange, same partitioning)
+Plan: Exchange(key, bucket) -> Sort -> Window (lag/lead) over the full rows;
+      summaries: partial WindowGroupLimit(k) -> small Exchange -> collect <= k
       -> Exchange(key) on summaries -> Window over buckets
       -> join back on (key, bucket) (only the small side moves).
 """
@@ -34,54 +34,58 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket:
     ``prevj`` is the payload of the j-th row before this one in ``order`` within
     the same key (NULL if none), ``nextj`` the j-th row after.  ``order`` must
     be a total order per key and ``bucket`` must not decrease along it.
+
+    The bucket summaries (first ``leads`` / last ``lags`` rows per bucket) are
+    taken from the input with ``row_number() <= k``, which Spark cuts map-side
+    (partial WindowGroupLimit): their exchange carries at most k rows per
+    bucket and map task, and the full rows are shuffled exactly once.
     """
     keys = list(keys)
     order_cols = _ordered(order)
     base = (df.withColumn("_nb_b", bucket)
               .withColumn("_nb_p", F.struct(*[F.col(c) for c in payload])))
     w = Window.partitionBy(*keys, "_nb_b").orderBy(*order_cols)
-    extra = [F.row_number().over(w).alias("_nb_rn")]
+    extra = [F.row_number().over(w).alias("_nb_rn")] if lags else []
     for j in range(1, lags + 1):
         extra.append(F.lag("_nb_p", j).over(w).alias(f"_nb_lag{j}"))
     for j in range(1, leads + 1):
         extra.append(F.lead("_nb_p", j).over(w).alias(f"_nb_lead{j}"))
-    if lags:
-        # NULL k rows ahead <=> one of the last k rows of the bucket
-        extra.append(F.lead(F.lit(1), lags).over(w).isNull().alias("_nb_tail"))
     ranked = base.select("*", *extra)
 
-    aggs = [F.count(F.lit(1)).alias("_nb_c")]
-    if leads:
-        aggs.append(F.sort_array(F.collect_list(
-            F.when(F.col("_nb_rn") <= leads, F.struct("_nb_rn", "_nb_p")))).alias("_nb_head"))
-    if lags:
-        aggs.append(F.sort_array(F.collect_list(
-            F.when(F.col("_nb_tail"), F.struct("_nb_rn", "_nb_p")))).alias("_nb_tl"))
-    summ = ranked.groupBy(*keys, "_nb_b").agg(*aggs)
-
     ws = Window.partitionBy(*keys).orderBy("_nb_b")
-    cross = [F.col("_nb_c")]
+    summ = None
     if leads:
+        head = (base.withColumn("_nb_r", F.row_number().over(w)).filter(F.col("_nb_r") <= leads)
+                    .groupBy(*keys, "_nb_b")
+                    .agg(F.sort_array(F.collect_list(F.struct("_nb_r", "_nb_p"))).alias("_nb_h")))
         # every bucket holds >= 1 row, so the next `leads` buckets suffice
-        cross.append(F.transform(F.flatten(F.collect_list("_nb_head").over(ws.rowsBetween(1, leads))),
-                                 lambda x: x["_nb_p"]).alias("_nb_nh"))
+        summ = head.select(*keys, "_nb_b", F.transform(
+            F.flatten(F.collect_list("_nb_h").over(ws.rowsBetween(1, leads))),
+            lambda x: x["_nb_p"]).alias("_nb_nh"))
     if lags:
-        cross.append(F.transform(F.flatten(F.collect_list("_nb_tl").over(ws.rowsBetween(-lags, -1))),
-                                 lambda x: x["_nb_p"]).alias("_nb_pt"))
-    summ = summ.select(*keys, "_nb_b", *cross)
+        wd = Window.partitionBy(*keys, "_nb_b").orderBy(*[c.desc() for c in order_cols])
+        tail = (base.withColumn("_nb_r", F.row_number().over(wd)).filter(F.col("_nb_r") <= lags)
+                    .groupBy(*keys, "_nb_b")
+                    .agg(F.sort_array(F.collect_list(F.struct("_nb_r", "_nb_p")), asc=False).alias("_nb_tl")))
+        tl = tail.select(*keys, "_nb_b", F.transform(
+            F.flatten(F.collect_list("_nb_tl").over(ws.rowsBetween(-lags, -1))),
+            lambda x: x["_nb_p"]).alias("_nb_pt"))
+        summ = tl if summ is None else summ.join(tl, on=[*keys, "_nb_b"], how="full")
 
     j = ranked.join(summ, on=[*keys, "_nb_b"], how="left")
     out = []
-    after = F.col("_nb_c") - F.col("_nb_rn")
     for k in range(1, lags + 1):
         out.append(F.coalesce(F.col(f"_nb_lag{k}"),
                               F.when(F.col("_nb_rn") <= k,
                                      F.try_element_at("_nb_pt", (F.col("_nb_rn") - F.lit(k) - 1).cast("int"))))
                    .alias(f"{prefix[0]}{k}"))
-    for k in range(1, leads + 1):
-        out.append(F.coalesce(F.col(f"_nb_lead{k}"),
-                              F.when(after < k, F.try_element_at("_nb_nh", (F.lit(k) - after).cast("int"))))
-                   .alias(f"{prefix[1]}{k}"))
+    if leads:
+        # rows after this one inside its bucket, capped at `leads`
+        after = sum((F.col(f"_nb_lead{k}").isNotNull().cast("int") for k in range(1, leads + 1)), F.lit(0))
+        for k in range(1, leads + 1):
+            out.append(F.coalesce(F.col(f"_nb_lead{k}"),
+                                  F.when(after < k, F.try_element_at("_nb_nh", (F.lit(k) - after).cast("int"))))
+                       .alias(f"{prefix[1]}{k}"))
     return j.select(*df.columns, *out)
 
 
