@@ -130,6 +130,12 @@ ORACLE: dict[str, str] = {
     "unique_visitors_hourly": f"WITH v AS ({_VIEWS}) SELECT {_HOUR_END} AS window_end, count(DISTINCT user_id) AS uv FROM v GROUP BY 1",
     "unique_visitors_bitmap": f"WITH v AS ({_VIEWS}) SELECT {_HOUR_END} AS window_end, count(DISTINCT {_HASH}) AS uv FROM v GROUP BY 1",
     "geo_clicks_sliding": _GEO,
+    "events_sliding_1h_5s": f"""
+WITH w AS (SELECT event_type, {_slide('epoch_us(ts)', H, 5_000_000)} AS we FROM events)
+SELECT event_type, we // 1000 AS window_end, count(*) AS cnt FROM w GROUP BY event_type, we""",
+    "events_total_60s_1s": f"""
+WITH w AS (SELECT {_slide('epoch_us(ts)', 60_000_000, 1_000_000)} AS we FROM events)
+SELECT we // 1000 AS window_end, count(*) AS cnt FROM w GROUP BY we""",
     "channel_counts_sliding": _marketing(False),
     "total_counts_sliding": _marketing(True),
     "daily_cap_warnings": f"WITH r AS ({_CAP}) SELECT user_id, event_type, event_id, 'Click over 2 times today.' AS msg FROM r WHERE rn = 4",

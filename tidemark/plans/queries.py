@@ -77,6 +77,16 @@ def geo_clicks_sliding(spark, sf):
     return res.select(render_epoch_ms(F.col("window_end")).alias("window_end"), "province", "cnt")
 
 
+def events_sliding_1h_5s(spark, sf):
+    """T4 at full size: every event, 1 h / 5 s windows by type (720 windows per row)."""
+    return sliding_count(_events(spark, sf), ["event_type"], "1 hour", "5 seconds")
+
+
+def events_total_60s_1s(spark, sf):
+    """T5 with no key: every event, 60 s / 1 s windows (the dummy-key total)."""
+    return sliding_count(_events(spark, sf), None, "60 seconds", "1 second")
+
+
 def _marketing_input(spark, sf):
     return (_events(spark, sf).filter(F.col("ts") < F.lit("2024-01-06").cast("timestamp_ntz"))
             .select("ts", F.lit("events").alias("channel"), F.col("event_type").alias("behavior")))
@@ -164,6 +174,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_visitors_bitmap": unique_visitors_bitmap,
     "unique_visitors_approx": unique_visitors_approx,
     "geo_clicks_sliding": geo_clicks_sliding,
+    "events_sliding_1h_5s": events_sliding_1h_5s,
+    "events_total_60s_1s": events_total_60s_1s,
     "channel_counts_sliding": channel_counts_sliding,
     "total_counts_sliding": total_counts_sliding,
     "daily_cap_warnings": daily_cap_warnings,
