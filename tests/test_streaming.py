@@ -3,6 +3,7 @@
 
 import os
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -52,12 +53,21 @@ def read_stream(spark, events, stream_dir):
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(stream_dir)
 
 
-def run(df, mode="append"):
+def run(df, mode="append", expect_rows=None):
+    """availableNow run; with ``expect_rows`` (processing-time timers keep a
+    query issuing no-data batches) stop once that many input rows were read."""
     name = f"q_{uuid.uuid4().hex[:8]}"
-    q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", checkpoint_location(df.sparkSession, name))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    w = (df.writeStream.outputMode(mode).format("memory").queryName(name)
+         .option("checkpointLocation", checkpoint_location(df.sparkSession, name)))
+    if expect_rows is None:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+    else:
+        q = w.start()
+        deadline = time.time() + 120
+        while sum(p["numInputRows"] for p in q.recentProgress) < expect_rows and time.time() < deadline:
+            time.sleep(0.5)
+        q.stop()
     return df.sparkSession.table(name)
 
 
@@ -185,3 +195,36 @@ def test_stream_reconcile_fixture(spark, tx):
     assert ("3", "unmatched_order") in got and ("4", "unmatched_pay") in got
     detail = [r.order_detail for r in out.collect() if r.kind == "unmatched_order" and r.key == "3"][0]
     assert '"event_type":"pay"' in detail and '"event_time":"1558430849"' in detail
+
+
+def test_stream_marketing_and_approx(spark, events, stream_dir):
+    from tidemark import marketing_counts
+    from tidemark.streaming import stream_marketing_counts, stream_unique_approx
+
+    s = read_stream(spark, events, stream_dir).select(
+        "ts", F.lit("events").alias("channel"), F.col("event_type").alias("behavior"), "user_id")
+    b = events.select("ts", F.lit("events").alias("channel"), F.col("event_type").alias("behavior"), "user_id")
+    cols = ["window_start", "window_end", "channel", "behavior", "cnt"]
+    for total in (False, True):
+        got = set(rows(run(stream_marketing_counts(s, size="1 hour", slide="10 minutes", exclude="signup",
+                                                   total=total)), cols))
+        want = set(rows(marketing_counts(b, size="1 hour", slide="10 minutes", exclude="signup",
+                                         by_key=not total, total=total), cols))
+        assert got and got <= want
+    uv = rows(run(stream_unique_approx(s, "user_id", "1 day")), ["window_end", "uv"])
+    assert uv and all(n > 0 for _, n in uv)
+
+
+def test_stream_daily_cap_processing_time(spark, events, stream_dir):
+    s = prepare(read_stream(spark, events, stream_dir).select("event_id", "ts", "user_id", "event_type"),
+                "ts", "event_id")
+    out = run(stream_daily_cap(s, ["user_id", "event_type"], 2, day_mode="processing"),
+              expect_rows=events.count())
+    # one wall-clock day: each key passes its first 3 rows overall and warns once
+    batch = events.select("event_id", "user_id", "event_type").withColumn("ts", F.lit(0))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id", "event_type").orderBy("event_id")
+    want = batch.withColumn("rn", F.row_number().over(w)).filter("rn <= 4")
+    want = {(r.event_id, "pass" if r.rn <= 3 else "warning") for r in want.collect()}
+    assert set(rows(out, ["event_id", "kind"])) == want
