@@ -99,14 +99,15 @@ def test_daily_cap(spark, seed, threshold):
     assert {r.seq: r.kind for r in res} == cap_py(rows, 3)
 
 
-@pytest.mark.parametrize("seed", [7, 8])
-def test_consecutive_events(spark, seed):
+@pytest.mark.parametrize("seed,order", [(7, "arrival"), (8, "arrival"), (14, "event")])
+def test_consecutive_events(spark, seed, order):
     rows = gen_rows(seed, n=150, span=40)
     df = spark.createDataFrame(rows, SCHEMA)
     res = consecutive_events(df, "k", "typ", "a", 5, ts="t", unit="s", seq="seq", bucket_rows=3,
-                             carry=["seq"]).collect()
+                             order=order, bucket=4, carry=["seq"]).collect()
     want = set()
-    for k, lst in by_key(rows, order=lambda r: r[0]).items():
+    key_order = (lambda r: r[0]) if order == "arrival" else (lambda r: (r[3], r[0]))
+    for k, lst in by_key(rows, order=key_order).items():
         stored = None
         for r in lst:  # the reference's state machine, arrival order
             if r[2] == "a":

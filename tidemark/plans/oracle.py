@@ -92,6 +92,10 @@ _SEQ_MATCH = _NEXT + f"""
 SELECT user_id, event_id AS event_id_0, nid AS event_id_1 FROM l
 WHERE event_type = 'click' AND nt = 'purchase' AND ntt - t < {SIX_H}"""
 
+_LOGIN_PATTERN = _NEXT + f"""
+SELECT user_id, event_id AS event_id_0, nid AS event_id_1 FROM l
+WHERE event_type = 'error' AND nt = 'error' AND ntt - t < {SIX_H}"""
+
 _SEQ_TIMEOUT = _NEXT + f"""
 SELECT user_id, event_id AS event_id_0 FROM l
 WHERE event_type = 'click' AND (nid IS NULL OR ntt - t >= {SIX_H})"""
@@ -123,6 +127,23 @@ j AS (SELECT coalesce(o.user_id, p.user_id) AS user_id,
 SELECT user_id, kind, order_event_id, pay_event_id FROM j WHERE kind = '{kind}'"""
 
 
+_RECONCILE_TOL = f"""
+WITH e AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-03'),
+o AS (SELECT user_id, event_id AS order_event_id, epoch_us(ts) AS ot FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM e WHERE event_type = 'signup') WHERE rn = 1),
+p AS (SELECT user_id, event_id AS pay_event_id, epoch_us(ts) AS pt FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+        FROM e WHERE event_type = 'purchase') WHERE rn = 1)
+SELECT o.user_id, 'matched' AS kind, order_event_id, pay_event_id
+  FROM o JOIN p ON o.user_id = p.user_id WHERE abs(pt - ot) <= {12 * H}
+UNION ALL
+SELECT o.user_id, 'unmatched_order', order_event_id, NULL
+  FROM o LEFT JOIN p ON o.user_id = p.user_id WHERE p.user_id IS NULL OR abs(pt - ot) > {12 * H}
+UNION ALL
+SELECT p.user_id, 'unmatched_pay', NULL, pay_event_id
+  FROM p LEFT JOIN o ON o.user_id = p.user_id WHERE o.user_id IS NULL OR abs(pt - ot) > {12 * H}"""
+
 ORACLE: dict[str, str] = {
     "hot_items_topn": _TOPN,
     "hot_items_report": _REPORT,
@@ -142,9 +163,11 @@ SELECT we // 1000 AS window_end, count(*) AS cnt FROM w GROUP BY we""",
     "daily_cap_passed": f"WITH r AS ({_CAP}) SELECT event_id, user_id, event_type FROM r WHERE rn <= 3",
     "capped_sliding_counts": _CAPPED_SLIDING,
     "consecutive_failures": _CONSEC,
+    "login_fail_pattern": _LOGIN_PATTERN,
     "sequence_match": _SEQ_MATCH,
     "sequence_timeout": _SEQ_TIMEOUT,
     "order_timeout": _ORDER_TIMEOUT,
+    "reconcile_tolerance": _RECONCILE_TOL,
     "reconcile_matched": _reconcile("matched"),
     "reconcile_unmatched_left": _reconcile("unmatched_order"),
     "reconcile_unmatched_right": _reconcile("unmatched_pay"),

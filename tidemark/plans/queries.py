@@ -125,6 +125,13 @@ def consecutive_failures(spark, sf):
                               carry=["event_id"]).select("user_id", "event_id", "prev_event_id")
 
 
+def login_fail_pattern(spark, sf):
+    """F2 as the reference's login pattern: error, next error (event-time order) within 6 h."""
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    return match_sequence(ev, "user_id", ["error", "error"], SIX_HOURS, seq="event_id",
+                          carry=["event_id"]).select("user_id", "event_id_0", "event_id_1")
+
+
 def _click_purchase(spark, sf, emit):
     ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
     return match_sequence(ev, "user_id", ["click", "purchase"], SIX_HOURS, seq="event_id",
@@ -154,6 +161,16 @@ def _reconciled(spark, sf):
                     F.col("pay.event_id").alias("pay_event_id"))
 
 
+def reconcile_tolerance(spark, sf):
+    """J1 with a 12 h tolerance: a pair further apart reports both sides unmatched."""
+    ev = _events(spark, sf).filter(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz"))
+    ev = ev.select("event_id", "ts", "user_id", "event_type")
+    r = reconcile(ev.filter(F.col("event_type") == "signup"), ev.filter(F.col("event_type") == "purchase"),
+                  key="user_id", orders_seq="event_id", pays_seq="event_id", tolerance="12 hours")
+    return r.select("user_id", "kind", F.col("order.event_id").alias("order_event_id"),
+                    F.col("pay.event_id").alias("pay_event_id"))
+
+
 def reconcile_matched(spark, sf):
     return _reconciled(spark, sf).filter(F.col("kind") == "matched")
 
@@ -182,9 +199,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_cap_passed": daily_cap_passed,
     "capped_sliding_counts": capped_sliding_counts,
     "consecutive_failures": consecutive_failures,
+    "login_fail_pattern": login_fail_pattern,
     "sequence_match": sequence_match,
     "sequence_timeout": sequence_timeout,
     "order_timeout": order_timeouts,
+    "reconcile_tolerance": reconcile_tolerance,
     "reconcile_matched": reconcile_matched,
     "reconcile_unmatched_left": reconcile_unmatched_left,
     "reconcile_unmatched_right": reconcile_unmatched_right,
