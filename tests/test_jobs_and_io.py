@@ -123,3 +123,12 @@ def test_approx_error_bound(spark):
     approx = {r.window_end: r.uv for r in unique_per_window_approx(ev, "user_id", "1 day", rsd=0.05).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(2, 0.15 * exact[k]) for k in exact)
+
+
+def test_cli_writes_job_results(spark):
+    from tidemark.__main__ import main
+
+    out = tempfile.mkdtemp(prefix="tidemark-cli-")
+    main(["blacklist", os.path.join(FIXTURES, "ad_clicks.csv"), "--out", out])
+    assert spark.read.parquet(f"{out}/blacklist_0").count() == 5988
+    assert [r.user_id for r in spark.read.parquet(f"{out}/blacklist_1").collect()] == [937166]
