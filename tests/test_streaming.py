@@ -196,6 +196,14 @@ def test_stream_reconcile_fixture(spark, tx):
     detail = [r.order_detail for r in out.collect() if r.kind == "unmatched_order" and r.key == "3"][0]
     assert '"event_type":"pay"' in detail and '"event_time":"1558430849"' in detail
 
+    # built-in interval join over the order side's pay rows
+    from tidemark.streaming import stream_reconcile_join
+
+    j = run(stream_reconcile_join(os_.filter("event_type <> 'create' OR order_id = 'tick'"), ps_, "order_id", tolerance="3 seconds"))
+    got = sorted((r.key, r.kind) for r in j.collect())
+    assert ("1", "matched") in got and ("2", "matched") in got
+    assert ("3", "unmatched_order") in got and ("4", "unmatched_pay") in got
+
 
 def test_stream_marketing_and_approx(spark, events, stream_dir):
     from tidemark import marketing_counts

@@ -332,3 +332,27 @@ def stream_reconcile(orders: DataFrame, pays: DataFrame, key: str, orders_ts: st
     return both.groupBy(key).transformWithState(
         ReconcileProcessor(parse_duration(wait)),
         "key string, kind string, order_detail string, pay_detail string", "Append", "EventTime")
+
+
+def stream_reconcile_join(orders: DataFrame, pays: DataFrame, key: str, orders_ts: str = "ts",
+                          pays_ts: str = "ts", tolerance="5 seconds", watermark="0 seconds") -> DataFrame:
+    """J1 with Spark's own stream-stream join: full outer on the key and
+    ``|pay.ts - order.ts| <= tolerance``, both sides watermarked.
+
+    Every order row pairs with every pay row of its key inside the interval
+    (no 'latest per key' reduction - filter the order side first, e.g. to
+    pay rows, when one row per key is wanted); rows left alone are emitted
+    with kind 'unmatched_*' once the watermark passes ts + tolerance.
+    """
+    tol = parse_duration(tolerance)
+    o = orders.select(F.col(key).alias("_ok"), F.col(orders_ts).alias("_ots"),
+                      F.struct(*[F.col(c) for c in orders.columns]).alias("order")).withWatermark("_ots", watermark)
+    p = pays.select(F.col(key).alias("_pk"), F.col(pays_ts).alias("_pts"),
+                    F.struct(*[F.col(c) for c in pays.columns]).alias("pay")).withWatermark("_pts", watermark)
+    cond = ((F.col("_ok") == F.col("_pk"))
+            & (F.col("_pts") >= F.col("_ots") - F.expr(f"INTERVAL {tol} MICROSECONDS"))
+            & (F.col("_pts") <= F.col("_ots") + F.expr(f"INTERVAL {tol} MICROSECONDS")))
+    j = o.join(p, cond, "full_outer")
+    kind = (F.when(F.col("order").isNotNull() & F.col("pay").isNotNull(), F.lit("matched"))
+             .when(F.col("order").isNotNull(), F.lit("unmatched_order")).otherwise(F.lit("unmatched_pay")))
+    return j.select(F.coalesce("_ok", "_pk").cast("string").alias("key"), kind.alias("kind"), "order", "pay")
