@@ -42,8 +42,9 @@ def test_neighbors_shuffle_full_rows_once_by_bucket(spark):
     df = with_neighbors(ev, ["user_id"], ["_t", "event_id"], time_bucket(F.col("_t"), 3_600_000_000),
                         ["event_id"], lags=1, leads=1)
     p = plan(df)
-    full = [m for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)]
-    assert all("_nb_b" in e for e in full if e.startswith("user_id") and "_nb_b" in e)
+    # full rows are partitioned by (key, bucket), never by the key alone
+    assert re.search(r"Exchange hashpartitioning\(_nb_k#\d+, _nb_b#\d+", p)
+    assert not re.search(r"Exchange hashpartitioning\(user_id#\d+, \d+\)", p)
     # summaries go through a map-side group limit before their exchange
     assert p.count("Partial") >= 2
 

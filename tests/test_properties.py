@@ -21,11 +21,11 @@ SCHEMA = "seq long, k string, typ string, t long"
 TYPES = ["a", "b", "c"]
 
 
-def gen_rows(seed, n=120, span=60):
+def gen_rows(seed, n=120, span=60, null_key=False):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        k = "hot" if rnd.random() < 0.5 else rnd.choice(["x", "y", "z"])
+        k = "hot" if rnd.random() < 0.5 else rnd.choice(["x", "y", None if null_key else "z"])
         rows.append((i, k, rnd.choice(TYPES), rnd.randrange(span)))
     return rows
 
@@ -39,7 +39,7 @@ def by_key(rows, order=lambda r: (r[3], r[0])):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_with_neighbors(spark, seed):
-    rows = gen_rows(seed)
+    rows = gen_rows(seed, null_key=True)
     df = spark.createDataFrame(rows, SCHEMA)
     res = with_neighbors(df, ["k"], ["t", "seq"], time_bucket(F.col("t"), 4), ["seq"], lags=2, leads=2).collect()
     got = {r.seq: tuple(None if r[c] is None else r[c].seq for c in ("prev1", "prev2", "next1", "next2"))
@@ -87,7 +87,7 @@ def cap_py(rows, mx):
 
 @pytest.mark.parametrize("seed,threshold", [(5, None), (6, "1")])
 def test_daily_cap(spark, seed, threshold):
-    rows = [(i, k, typ, t * 7000) for i, k, typ, t in gen_rows(seed, n=200, span=50)]
+    rows = [(i, k, typ, t * 7000) for i, k, typ, t in gen_rows(seed, n=200, span=50, null_key=True)]
     df = spark.createDataFrame(rows, SCHEMA)
     old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
     if threshold:  # force the bucket-offset path

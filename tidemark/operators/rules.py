@@ -54,7 +54,9 @@ def _rank_by_bucket_offsets(base: DataFrame, group: list[str], order, width_us:
     """Exact rank <= limit without one task per group: rank = rows of the group
     in earlier time buckets + rank inside the bucket; buckets that start at or
     beyond ``limit`` are dropped before any sort."""
-    b = base.withColumn("_bk", time_bucket(F.col("_t"), width_us))
+    b = (base.withColumn("_bk", time_bucket(F.col("_t"), width_us))
+             .withColumn("_gk", F.struct(*[F.col(g) for g in group])))  # NULL-safe group key
+    group = ["_gk"]
     counts = b.groupBy(*group, "_bk").agg(F.count(F.lit(1)).alias("_bc"))
     ws = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = (counts.withColumn("_off", F.coalesce(F.sum("_bc").over(ws), F.lit(0)))

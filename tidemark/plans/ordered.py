@@ -40,10 +40,12 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket:
     (partial WindowGroupLimit): their exchange carries at most k rows per
     bucket and map task, and the full rows are shuffled exactly once.
     """
-    keys = list(keys)
     order_cols = _ordered(order)
-    base = (df.withColumn("_nb_b", bucket)
+    # one struct key: NULL key values group (and join) together, as in a window
+    base = (df.withColumn("_nb_k", F.struct(*[F.col(k) for k in keys]))
+              .withColumn("_nb_b", bucket)
               .withColumn("_nb_p", F.struct(*[F.col(c) for c in payload])))
+    keys = ["_nb_k"]
     w = Window.partitionBy(*keys, "_nb_b").orderBy(*order_cols)
     extra = [F.row_number().over(w).alias("_nb_rn")] if lags else []
     for j in range(1, lags + 1):
