@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .time import render_epoch_ms
+
 # Fixed values (must equal the reference's printed texts):
 #   login alert suffix:  "2s内连续登录失败"
 #   blacklist warning:   "Click over <max> times today."
@@ -27,7 +29,7 @@ def cap_warning(max_count: int) -> Column:
 
 
 def format_topn_report(topn: DataFrame, window_end_ms: str = "window_end", rank: str = "rank",
-                       item: str = "item_id", count: str = "cnt") -> DataFrame:
+                       item: str = "item_id", count: str = "cnt", tz: str | None = None) -> DataFrame:
     """One text report per window from ``top_n_per_window`` output.
 
     Each window holds at most N ranked rows, so the per-window collect is bounded.
@@ -36,7 +38,7 @@ def format_topn_report(topn: DataFrame, window_end_ms: str = "window_end", rank:
              .agg(F.sort_array(F.collect_list(F.struct(F.col(rank).alias("rank"),
                                                        F.col(item).alias("item"),
                                                        F.col(count).alias("cnt")))).alias("rows")))
-    when_txt = F.date_format(F.timestamp_millis(F.col(window_end_ms)), "yyyy-MM-dd HH:mm:ss.S")
+    when_txt = render_epoch_ms(F.col(window_end_ms), tz, fraction=True)
     body = F.array_join(F.transform("rows", lambda r: F.concat(
         F.lit(REPORT_LINE[0]), r["rank"].cast("string"), F.lit(REPORT_LINE[1]),
         r["item"].cast("string"), F.lit(REPORT_LINE[2]), r["cnt"].cast("string"))), "\n")

@@ -101,7 +101,7 @@ def tumbling_count(df: DataFrame, size, keys=None, ts: str = "ts", unit: str = "
 def marketing_counts(df: DataFrame, channel: str = "channel", behavior: str = "behavior",
                      size="60 seconds", slide="1 second", ts: str = "ts", unit: str = "auto",
                      exclude: str | Sequence[str] | None = "UNINSTALL", by_key: bool = True,
-                     total: bool = False, label: str = "Total") -> DataFrame:
+                     total: bool = False, label: str = "Total", tz: str | None = None) -> DataFrame:
     """MarketingCountView rows (window_start, window_end as text, channel, behavior, cnt).
 
     ``by_key`` gives counts per (channel, behavior); ``total`` the same windows
@@ -126,6 +126,6 @@ def marketing_counts(df: DataFrame, channel: str = "channel", behavior: str = "b
     res = parts[0]
     for p in parts[1:]:
         res = res.unionByName(p)
-    return res.select(render_epoch_ms(F.col("window_start")).alias("window_start"),
-                      render_epoch_ms(F.col("window_end")).alias("window_end"),
+    return res.select(render_epoch_ms(F.col("window_start"), tz).alias("window_start"),
+                      render_epoch_ms(F.col("window_end"), tz).alias("window_end"),
                       "channel", "behavior", "cnt")

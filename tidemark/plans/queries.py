@@ -1,5 +1,7 @@
 """Driver queries over the supplied tables.
 
+Rendered times are pinned to UTC so results do not depend on the session zone.
+
 ``events`` stands in for the reference's behaviour logs: view = page view,
 click = ad click / marketing action, error = failed login, signup/purchase =
 order / pay.  Every query reads whole tables; the date cuts below are part
@@ -46,7 +48,7 @@ def hot_items_topn(spark, sf):
 
 
 def hot_items_report(spark, sf):
-    return format_topn_report(hot_items_topn(spark, sf))
+    return format_topn_report(hot_items_topn(spark, sf), tz="UTC")
 
 
 def page_views_hourly(spark, sf):
@@ -74,7 +76,7 @@ def geo_clicks_sliding(spark, sf):
                  .join(nation, F.col("c_nationkey") == nation.n_nationkey)
                  .select("ts", "province"))
     res = sliding_count(geo, ["province"], "1 hour", "5 seconds")
-    return res.select(render_epoch_ms(F.col("window_end")).alias("window_end"), "province", "cnt")
+    return res.select(render_epoch_ms(F.col("window_end"), "UTC").alias("window_end"), "province", "cnt")
 
 
 def events_sliding_1h_5s(spark, sf):
@@ -93,11 +95,12 @@ def _marketing_input(spark, sf):
 
 
 def channel_counts_sliding(spark, sf):
-    return marketing_counts(_marketing_input(spark, sf), exclude="signup", by_key=True)
+    return marketing_counts(_marketing_input(spark, sf), exclude="signup", by_key=True, tz="UTC")
 
 
 def total_counts_sliding(spark, sf):
-    return marketing_counts(_marketing_input(spark, sf), exclude="signup", by_key=False, total=True)
+    return marketing_counts(_marketing_input(spark, sf), exclude="signup", by_key=False, total=True,
+                            tz="UTC")
 
 
 def _capped(spark, sf):
