@@ -37,11 +37,12 @@ def by_key(rows, order=lambda r: (r[3], r[0])):
     return {k: sorted(v, key=order) for k, v in g.items()}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_with_neighbors(spark, seed):
+@pytest.mark.parametrize("seed,bucketed", [(1, True), (2, True), (3, True), (4, False)])
+def test_with_neighbors(spark, seed, bucketed):
     rows = gen_rows(seed, null_key=True)
     df = spark.createDataFrame(rows, SCHEMA)
-    res = with_neighbors(df, ["k"], ["t", "seq"], time_bucket(F.col("t"), 4), ["seq"], lags=2, leads=2).collect()
+    bkt = time_bucket(F.col("t"), 4) if bucketed else None
+    res = with_neighbors(df, ["k"], ["t", "seq"], bkt, ["seq"], lags=2, leads=2).collect()
     got = {r.seq: tuple(None if r[c] is None else r[c].seq for c in ("prev1", "prev2", "next1", "next2"))
            for r in res}
     want = {}

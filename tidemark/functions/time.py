@@ -12,12 +12,26 @@ from pyspark.sql import types as T
 
 US_PER = {"us": 1, "ms": 1_000, "s": 1_000_000}
 
+def _session_is_utc() -> bool:
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    return s is not None and s.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
+
 def _ntz_micros(c: Column) -> Column:
-    """Wall-clock fields of a TIMESTAMP_NTZ read as UTC - no zone conversion."""
+    """Wall-clock value of a TIMESTAMP_NTZ read as UTC, whatever the session zone.
+
+    Under a UTC session the cast is exact (and cheapest).  Otherwise whole
+    seconds come from the zone-free date/hour/minute/second fields and the
+    sub-second part from the cast (zone offsets are whole seconds).
+    """
+    as_ts = F.unix_micros(c.cast("timestamp"))
+    if _session_is_utc():  # the zone is fixed into the cast when the plan is analysed
+        return as_ts
     day = F.unix_date(c.cast("date")).cast("long")
-    hm = (F.hour(c) * 60 + F.minute(c)).cast("long")
-    sec = (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
-    return day * F.lit(86_400_000_000) + hm * F.lit(60_000_000) + sec
+    secs = (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("long")
+    return day * F.lit(86_400_000_000) + secs * F.lit(1_000_000) + F.pmod(as_ts, F.lit(1_000_000))
 
 
 def parse_duration(d) -> int:

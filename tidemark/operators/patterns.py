@@ -29,6 +29,7 @@ def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], withi
 
     Attempts overlap (every start is judged).  Returns one row per start whose
     kind is in ``emit``, with ``<c>_<i>`` for each carried column of step i.
+    ``bucket`` bounds one key's rows per task; None gives a plain per-key window.
     """
     n = len(steps)
     if n < 2:
@@ -41,8 +42,8 @@ def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], withi
         base = base.withColumn(f"_s{i}", F.coalesce(p, F.lit(False)))
     ordering = [F.col("_t")] + ([F.col(seq)] if seq else [])
     payload = list(dict.fromkeys([*carry, "_t", *[f"_s{i}" for i in range(1, n)]]))
-    nb = with_neighbors(base, [key], ordering,
-                        time_bucket(F.col("_t"), parse_duration(bucket)), payload, leads=n - 1)
+    bkt = None if bucket is None else time_bucket(F.col("_t"), parse_duration(bucket))
+    nb = with_neighbors(base, [key], ordering, bkt, payload, leads=n - 1)
     outcome: Column = F.lit("match")
     for i in range(n - 1, 0, -1):
         nx = F.col(f"next{i}")

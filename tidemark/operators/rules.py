@@ -77,16 +77,19 @@ def consecutive_events(df: DataFrame, key: str, type_col: str = "event_type", ev
 
     ``order='arrival'`` follows ``seq`` (the reference processes rows as they
     arrive); ``order='event'`` follows (ts, seq).  Adds ``prev_<c>`` for each
-    carried column and the alert text ``msg``.
+    carried column and the alert text ``msg``.  ``bucket_rows`` / ``bucket``
+    bound the rows of one key per task (see ``with_neighbors``); None gives a
+    plain per-key window.
     """
     carry = list(carry) if carry is not None else [c for c in (seq, ts) if c]
     g = parse_duration(gap)
     base = df.withColumn("_t", epoch_micros(df, ts, unit))
     if order == "arrival":
-        ordering, bkt = [F.col(seq)], seq_bucket(F.col(seq), bucket_rows)
+        ordering = [F.col(seq)]
+        bkt = None if bucket_rows is None else seq_bucket(F.col(seq), bucket_rows)
     else:
         ordering = [F.col("_t")] + ([F.col(seq)] if seq else [])
-        bkt = time_bucket(F.col("_t"), parse_duration(bucket))
+        bkt = None if bucket is None else time_bucket(F.col("_t"), parse_duration(bucket))
     payload = list(dict.fromkeys([type_col, "_t", *carry]))
     nb = with_neighbors(base, [key], ordering, bkt, payload, lags=1)
     p = F.col("prev1")

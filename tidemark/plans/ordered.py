@@ -26,7 +26,7 @@ def _ordered(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column,
+def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column | None,
                    payload: Sequence[str], lags: int = 0, leads: int = 0,
                    prefix: tuple[str, str] = ("prev", "next")) -> DataFrame:
     """Add ``prev1..prev{lags}`` / ``next1..next{leads}`` struct columns.
@@ -41,18 +41,27 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket:
     bucket and map task, and the full rows are shuffled exactly once.
     """
     order_cols = _ordered(order)
+    if bucket is None:
+        return _plain_neighbors(df, keys, order_cols, payload, lags, leads, prefix)
     # one struct key: NULL key values group (and join) together, as in a window
     base = (df.withColumn("_nb_k", F.struct(*[F.col(k) for k in keys]))
-              .withColumn("_nb_b", bucket)
-              .withColumn("_nb_p", F.struct(*[F.col(c) for c in payload])))
+              .withColumn("_nb_b", bucket))
     keys = ["_nb_k"]
     w = Window.partitionBy(*keys, "_nb_b").orderBy(*order_cols)
+
+    def shifted(fn, j):
+        # per-column lag/lead (a prebuilt struct would ride the shuffle twice);
+        # ``_nb_rn``/row presence tells a missing neighbour from NULL values
+        present = fn(F.lit(True), j).over(w)
+        return F.when(present, F.struct(*[fn(F.col(c), j).over(w).alias(c) for c in payload]))
+
     extra = [F.row_number().over(w).alias("_nb_rn")] if lags else []
     for j in range(1, lags + 1):
-        extra.append(F.lag("_nb_p", j).over(w).alias(f"_nb_lag{j}"))
+        extra.append(shifted(F.lag, j).alias(f"_nb_lag{j}"))
     for j in range(1, leads + 1):
-        extra.append(F.lead("_nb_p", j).over(w).alias(f"_nb_lead{j}"))
+        extra.append(shifted(F.lead, j).alias(f"_nb_lead{j}"))
     ranked = base.select("*", *extra)
+    base = base.withColumn("_nb_p", F.struct(*[F.col(c) for c in payload]))
 
     ws = Window.partitionBy(*keys).orderBy("_nb_b")
     summ = None
@@ -91,6 +100,16 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket:
     return j.select(*df.columns, *out)
 
 
+def _plain_neighbors(df, keys, order_cols, payload, lags, leads, prefix):
+    """``bucket=None``: one window per key - fewer stages, but a key is one task.
+    Only for inputs whose keys are known to be small."""
+    w = Window.partitionBy(*keys).orderBy(*order_cols)
+    p = F.struct(*[F.col(c) for c in payload])
+    out = [F.lag(p, j).over(w).alias(f"{prefix[0]}{j}") for j in range(1, lags + 1)]
+    out += [F.lead(p, j).over(w).alias(f"{prefix[1]}{j}") for j in range(1, leads + 1)]
+    return df.select("*", *out)
+
+
 def floor_div(c: Column, width: int) -> Column:
     """Exact integer floor division (also for negatives): the numerator is
     made an exact multiple of ``width`` before dividing."""
