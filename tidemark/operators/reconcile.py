@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.time import epoch_micros, micros_of, parse_duration
 
 
-def latest_per_key(df: DataFrame, key: str, ts: str, seq: str | None = None, unit: str = "auto",
+def latest_per_key(df: DataFrame, key, ts: str, seq: str | None = None, unit: str = "auto",
                    name: str = "row") -> DataFrame:
     """(key, struct of the latest row by (ts, seq)).  ``max_by`` is a plain
     aggregate: partial per map task, so a hot key costs one row per task."""
     ordering = F.struct(epoch_micros(df, ts, unit).alias("t"),
                         *([F.col(seq).alias("s")] if seq else []))
     payload = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(key).agg(F.max_by(payload, ordering).alias(name))
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.groupBy(*keys).agg(F.max_by(payload, ordering).alias(name))
 
 
-def reconcile(orders: DataFrame, pays: DataFrame, key: str = "order_id",
+def reconcile(orders: DataFrame, pays: DataFrame, key="order_id",
               orders_ts: str = "ts", pays_ts: str = "ts", orders_seq: str | None = None,
               pays_seq: str | None = None, unit: str = "auto", tolerance=None,
               kind: str = "kind") -> DataFrame:
@@ -30,9 +31,10 @@ def reconcile(orders: DataFrame, pays: DataFrame, key: str = "order_id",
     structs of the original rows.  Both sides are reduced to one row per key
     before the full outer join, which then reuses their hash partitioning.
     """
-    o = latest_per_key(orders, key, orders_ts, orders_seq, unit, "order")
-    p = latest_per_key(pays, key, pays_ts, pays_seq, unit, "pay")
-    j = o.join(p, on=key, how="full_outer")
+    keys = [key] if isinstance(key, str) else list(key)
+    o = latest_per_key(orders, keys, orders_ts, orders_seq, unit, "order")
+    p = latest_per_key(pays, keys, pays_ts, pays_seq, unit, "pay")
+    j = o.join(p, on=keys, how="full_outer")
     both = F.col("order").isNotNull() & F.col("pay").isNotNull()
     if tolerance is not None:
         tol = parse_duration(tolerance)
@@ -45,8 +47,8 @@ def reconcile(orders: DataFrame, pays: DataFrame, key: str = "order_id",
               .when(both, F.array(F.lit("unmatched_order"), F.lit("unmatched_pay")))
               .when(F.col("order").isNotNull(), F.array(F.lit("unmatched_order")))
               .otherwise(F.array(F.lit("unmatched_pay"))))
-    res = j.select(key, F.explode(kinds).alias(kind), "order", "pay")
-    return res.select(key, kind,
+    res = j.select(*keys, F.explode(kinds).alias(kind), "order", "pay")
+    return res.select(*keys, kind,
                       F.when(F.col(kind) != "unmatched_pay", F.col("order")).alias("order"),
                       F.when(F.col(kind) != "unmatched_order", F.col("pay")).alias("pay"))
 

@@ -46,7 +46,7 @@ _GEO = f"""
 WITH g AS (SELECT epoch_us(e.ts) AS t, n.n_name AS province
            FROM events e JOIN customer c ON e.user_id = c.c_custkey
                          JOIN nation n ON c.c_nationkey = n.n_nationkey
-           WHERE e.event_type = 'click' AND e.ts < TIMESTAMP '2024-01-02'),
+           WHERE e.event_type = 'click'),
 w AS (SELECT province, {_slide('t', H, 5_000_000)} AS we FROM g)
 SELECT strftime(make_timestamp(we), {FMT}) AS window_end, province, count(*) AS cnt
 FROM w GROUP BY we, province"""
@@ -56,7 +56,7 @@ def _marketing(total: bool) -> str:
     keys = "'Total' AS channel, 'Total' AS behavior" if total else "'events' AS channel, event_type AS behavior"
     return f"""
 WITH m AS (SELECT epoch_us(ts) AS t, {keys} FROM events
-           WHERE ts < TIMESTAMP '2024-01-06' AND event_type <> 'signup'),
+           WHERE event_type <> 'signup'),
 w AS (SELECT channel, behavior, {_slide('t', 60_000_000, 1_000_000)} AS we FROM m)
 SELECT strftime(make_timestamp(we - 60000000), {FMT}) AS window_start,
        strftime(make_timestamp(we), {FMT}) AS window_end, channel, behavior, count(*) AS cnt
@@ -110,39 +110,37 @@ WHERE c.event_type = 'click'
                   AND o.t >= c.t AND o.t <= c.t + {SIX_H})"""
 
 
-def _reconcile(kind: str) -> str:
-    return f"""
-WITH e AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-03'),
-o AS (SELECT user_id, event_id AS order_event_id FROM (
-        SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+_DAILY = """
+WITH e AS (SELECT *, CAST(CAST(ts AS DATE) - DATE '1970-01-01' AS BIGINT) AS day FROM events),
+o AS (SELECT user_id, day, event_id AS order_event_id, epoch_us(ts) AS ot FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) AS rn
         FROM e WHERE event_type = 'signup') WHERE rn = 1),
-p AS (SELECT user_id, event_id AS pay_event_id FROM (
-        SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-        FROM e WHERE event_type = 'purchase') WHERE rn = 1),
-j AS (SELECT coalesce(o.user_id, p.user_id) AS user_id,
+p AS (SELECT user_id, day, event_id AS pay_event_id, epoch_us(ts) AS pt FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY ts DESC, event_id DESC) AS rn
+        FROM e WHERE event_type = 'purchase') WHERE rn = 1)"""
+
+
+def _reconcile(kind: str) -> str:
+    return _DAILY + f""",
+j AS (SELECT coalesce(o.user_id, p.user_id) AS user_id, coalesce(o.day, p.day) AS day,
              CASE WHEN o.user_id IS NOT NULL AND p.user_id IS NOT NULL THEN 'matched'
                   WHEN o.user_id IS NOT NULL THEN 'unmatched_order' ELSE 'unmatched_pay' END AS kind,
-             o.order_event_id, p.pay_event_id
-      FROM o FULL OUTER JOIN p ON o.user_id = p.user_id)
-SELECT user_id, kind, order_event_id, pay_event_id FROM j WHERE kind = '{kind}'"""
+             order_event_id, pay_event_id
+      FROM o FULL OUTER JOIN p ON o.user_id = p.user_id AND o.day = p.day)
+SELECT user_id, day, kind, order_event_id, pay_event_id FROM j WHERE kind = '{kind}'"""
 
 
-_RECONCILE_TOL = f"""
-WITH e AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-03'),
-o AS (SELECT user_id, event_id AS order_event_id, epoch_us(ts) AS ot FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-        FROM e WHERE event_type = 'signup') WHERE rn = 1),
-p AS (SELECT user_id, event_id AS pay_event_id, epoch_us(ts) AS pt FROM (
-        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-        FROM e WHERE event_type = 'purchase') WHERE rn = 1)
-SELECT o.user_id, 'matched' AS kind, order_event_id, pay_event_id
-  FROM o JOIN p ON o.user_id = p.user_id WHERE abs(pt - ot) <= {12 * H}
+_RECONCILE_TOL = _DAILY + f"""
+SELECT o.user_id, o.day, 'matched' AS kind, order_event_id, pay_event_id
+  FROM o JOIN p ON o.user_id = p.user_id AND o.day = p.day WHERE abs(pt - ot) <= {12 * H}
 UNION ALL
-SELECT o.user_id, 'unmatched_order', order_event_id, NULL
-  FROM o LEFT JOIN p ON o.user_id = p.user_id WHERE p.user_id IS NULL OR abs(pt - ot) > {12 * H}
+SELECT o.user_id, o.day, 'unmatched_order', order_event_id, NULL
+  FROM o LEFT JOIN p ON o.user_id = p.user_id AND o.day = p.day
+  WHERE p.user_id IS NULL OR abs(pt - ot) > {12 * H}
 UNION ALL
-SELECT p.user_id, 'unmatched_pay', NULL, pay_event_id
-  FROM p LEFT JOIN o ON o.user_id = p.user_id WHERE o.user_id IS NULL OR abs(pt - ot) > {12 * H}"""
+SELECT p.user_id, p.day, 'unmatched_pay', NULL, pay_event_id
+  FROM p LEFT JOIN o ON o.user_id = p.user_id AND o.day = p.day
+  WHERE o.user_id IS NULL OR abs(pt - ot) > {12 * H}"""
 
 ORACLE: dict[str, str] = {
     "hot_items_topn": _TOPN,
