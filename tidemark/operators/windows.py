@@ -13,7 +13,9 @@
    a pane is copied into at most 1 + size/block blocks;
 3. **segments** - a running sum over each block's deltas gives a count that
    is constant between consecutive change points; each constant segment is
-   expanded to its window ends as the very last, map-side step.
+   expanded to its window ends as the very last, map-side step.  The deltas
+   exchange keeps ``spark.sql.shuffle.partitions`` partitions (no AQE
+   coalescing), because the expansion after it is where the output is made.
 
 Shuffle volume is O(panes), not O(rows x size/slide); output is one row per
 non-empty (keys, window) exactly as ``F.window`` gives.
@@ -65,6 +67,12 @@ def windows_from_panes(panes: DataFrame, keys, size, slide, out: str = "cnt",
         deltas = copies.select(*keys, "_blk", F.explode(F.filter(
             F.array(enter, leave), lambda x: x.isNotNull())).alias("e"))
         deltas = deltas.select(*keys, "_blk", F.col("e.t").alias("_t"), F.col("e.d").alias("_d"))
+        # The deltas are small but each segment expands to many windows after this
+        # exchange: fix its width at the configured shuffle parallelism so AQE does
+        # not coalesce it into a few tasks that then emit all the output.  The
+        # window reuses this (keys, block) partitioning - no extra exchange.
+        n = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        deltas = deltas.repartition(n, *keys, "_blk")
         w = Window.partitionBy(*keys, "_blk").orderBy("_t")
         seg = deltas.select(
             *keys, "_t", "_blk",
