@@ -114,10 +114,13 @@ def render_epoch_ms(c: Column, tz: str | None = None, fraction: bool = False) ->
     if tz != "UTC":
         raise ValueError("tz must be None (session zone) or 'UTC'")
     ms = c.cast("long")
-    whole = (ms - F.pmod(ms, F.lit(1000))) / F.lit(1000)  # exact: numerator is a multiple of 1000
-    ntz = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), whole.cast("decimal(18,6)"))
-    txt = ntz.cast("string")  # whole seconds: the cast prints no fraction
+    whole_ms = ms - F.pmod(ms, F.lit(1000))
+    if _session_is_utc():  # zone fixed into the cast at analysis: exact and cheapest
+        txt = F.timestamp_millis(whole_ms).cast("string")
+    else:
+        ntz = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), (whole_ms / F.lit(1000)).cast("decimal(18,6)"))
+        txt = ntz.cast("string")  # whole seconds: the cast prints no fraction
     if fraction:
         txt = F.concat(txt, F.lit("."), (F.pmod(ms, F.lit(1000)) / F.lit(100)).cast("long").cast("string"))
     return txt
