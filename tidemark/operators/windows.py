@@ -38,6 +38,12 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _shuffle_width(spark) -> int:
+    """The configured shuffle parallelism (default parallelism if not a number)."""
+    v = spark.conf.get("spark.sql.shuffle.partitions", "")
+    return int(v) if str(v).isdigit() else spark.sparkContext.defaultParallelism
+
+
 def pane_counts(df: DataFrame, keys, slide, ts: str = "ts", unit: str = "auto") -> DataFrame:
     """Rows per (keys, pane end); pane end in epoch microseconds (``_pe``)."""
     s = parse_duration(slide)
@@ -71,8 +77,7 @@ def windows_from_panes(panes: DataFrame, keys, size, slide, out: str = "cnt",
         # exchange: fix its width at the configured shuffle parallelism so AQE does
         # not coalesce it into a few tasks that then emit all the output.  The
         # window reuses this (keys, block) partitioning - no extra exchange.
-        n = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        deltas = deltas.repartition(n, *keys, "_blk")
+        deltas = deltas.repartition(_shuffle_width(panes.sparkSession), *keys, "_blk")
         w = Window.partitionBy(*keys, "_blk").orderBy("_t")
         seg = deltas.select(
             *keys, "_t", "_blk",
