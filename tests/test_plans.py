@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tidemark import daily_cap, sliding_count, top_n_per_window
+from tidemark import daily_cap
 from tidemark.plans import queries as Q
 from tidemark.plans.ordered import time_bucket, with_neighbors
 
