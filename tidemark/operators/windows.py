@@ -40,8 +40,11 @@ def _keys(keys) -> list[str]:
 
 def _shuffle_width(spark) -> int:
     """The configured shuffle parallelism (default parallelism if not a number)."""
-    v = spark.conf.get("spark.sql.shuffle.partitions", "")
-    return int(v) if str(v).isdigit() else spark.sparkContext.defaultParallelism
+    try:
+        v = spark.conf.get("spark.sql.shuffle.partitions")
+    except Exception:  # not readable as a number on this deployment
+        v = None
+    return int(v) if v is not None and str(v).isdigit() else spark.sparkContext.defaultParallelism
 
 
 def pane_counts(df: DataFrame, keys, slide, ts: str = "ts", unit: str = "auto") -> DataFrame:
