@@ -37,7 +37,7 @@ def daily_cap(df: DataFrame, keys: str | Sequence[str], max_count: int = 100, ts
     t = epoch_micros(df, ts, unit)
     base = df.withColumn("_t", t).withColumn("_day", floor_div(F.col("_t"), DAY_US))
     order = [F.col("_t")] + ([F.col(seq)] if seq else [])
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if limit <= threshold:
         w = Window.partitionBy(*keys, "_day").orderBy(*order)
         ranked = base.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
