@@ -14,7 +14,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tidemark import consecutive_events, daily_cap, sliding_count  # noqa: E402
+from tidemark import (consecutive_events, daily_cap, match_sequence, order_timeout,  # noqa: E402
+                      sliding_count)
 from tidemark.session import get_session  # noqa: E402
 
 
@@ -44,6 +45,11 @@ def main():
         "naive lag over partitionBy(user)": lambda: df.withColumn(
             "p", F.lag("event_type").over(Window.partitionBy("user_id").orderBy("event_id"))).filter(
             "event_type = 'error' AND p = 'error'"),
+        "match_sequence click->purchase (bucketed)": lambda: match_sequence(
+            df, "user_id", ["click", "purchase"], "6 hours", seq="event_id", emit=("match", "timeout"),
+            carry=["event_id"]),
+        "order_timeout (range frames per time bucket)": lambda: order_timeout(
+            df, "user_id", "event_type", "click", "6 hours"),
         "daily_cap (map-side group limit)": lambda: daily_cap(df, ["user_id", "event_type"], 2, seq="event_id"),
         "sliding_count 1h/5s by user": lambda: sliding_count(df, ["user_id"], "1 hour", "5 seconds"),
     }
