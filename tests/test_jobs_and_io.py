@@ -81,8 +81,8 @@ def test_parse_is_strict(spark):
 
 
 def test_kafka_options_and_decode(spark):
-    o = kafka_options("broker:9092", "hotitems", group_id="consumer-group")
-    assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "hotitems",
+    o = kafka_options("broker:9092", "clicks", group_id="consumer-group")
+    assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "clicks",
                  "startingOffsets": "latest", "kafka.group.id": "consumer-group"}
     raw = spark.createDataFrame([(None, bytearray(b"543462,1715,beijing,beijing,1511658000"))], "key binary, value binary")
     r = decode_records(raw, AD_CLICK).first()

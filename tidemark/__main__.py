@@ -1,7 +1,7 @@
 """Run one of the reference's programs on its text input and print the result.
 
-    python -m tidemark hot_items UserBehavior.csv
-    python -m tidemark blacklist AdClickLog.csv --max-count 100
+    python -m tidemark hot_items behavior.csv
+    python -m tidemark blacklist clicks.csv --max-count 100
     python -m tidemark tx_match orders.csv pays.csv
     spark-submit --py-files tidemark.zip -m tidemark ...   (on a cluster)
 
