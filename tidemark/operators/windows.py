@@ -118,7 +118,7 @@ def marketing_counts(df: DataFrame, channel: str = "channel", behavior: str = "b
                      size="60 seconds", slide="1 second", ts: str = "ts", unit: str = "auto",
                      exclude: str | Sequence[str] | None = "UNINSTALL", by_key: bool = True,
                      total: bool = False, label: str = "Total", tz: str | None = None) -> DataFrame:
-    """MarketingCountView rows (window_start, window_end as text, channel, behavior, cnt).
+    """Marketing count rows (window_start, window_end as text, channel, behavior, cnt).
 
     ``by_key`` gives counts per (channel, behavior); ``total`` the same windows
     over all rows labelled ``label``/``label``.  When both are asked the total

@@ -20,7 +20,7 @@ from ..sources.delimited import AD_CLICK, USER_BEHAVIOR, read_delimited
 
 
 def user_behavior(spark: SparkSession, path: str) -> DataFrame:
-    """UserBehavior text file (user, item, category, behavior, epoch seconds)."""
+    """Behaviour text file (user, item, category, behavior, epoch seconds)."""
     return read_delimited(spark, path, USER_BEHAVIOR)
 
 
@@ -51,7 +51,7 @@ def unique_visitors(behavior: DataFrame, size="1 hour", method: str = "exact") -
 
 
 def ad_statistics_by_geo(clicks: DataFrame, size="1 hour", slide="5 seconds") -> DataFrame:
-    """Clicks per province over sliding windows (CountByProvince: end as text)."""
+    """Clicks per province over sliding windows (window end as text)."""
     res = sliding_count(clicks, ["province"], size, slide, ts="event_time", unit="s")
     return res.select(render_epoch_ms(F.col("window_end")).alias("window_end"), "province", "cnt")
 
@@ -67,7 +67,7 @@ def blacklist(clicks: DataFrame, max_count: int = 100, size="1 hour", slide="5 s
 
 
 def app_marketing_by_channel(events: DataFrame, size="60 seconds", slide="1 second") -> DataFrame:
-    """MarketingUserBehavior rows (event_time in ms), UNINSTALL excluded."""
+    """Marketing behaviour rows (event_time in ms), UNINSTALL excluded."""
     return marketing_counts(events, size=size, slide=slide, ts="event_time", unit="ms")
 
 
