@@ -8,7 +8,7 @@
    per map task, not one per event;
 2. **deltas** - a pane of n rows raises every window it belongs to by n: +n at
    its first window end, -n just after its last.  Window ends are cut into
-   blocks of ``block`` (default: the window size) so the running sum is
+   blocks of ``block`` (default: the window size, at least one hour) so the running sum is
    partitioned by (keys, block) - never by a whole key or a whole time line;
    a pane is copied into at most 1 + size/block blocks;
 3. **segments** - a running sum over each block's deltas gives a count that
@@ -64,7 +64,10 @@ def windows_from_panes(panes: DataFrame, keys, size, slide, out: str = "cnt",
     if z == s:  # tumbling: a pane is a window
         res = panes.select(*keys, F.col("_pe").alias("_we"), F.col("_n").alias(out))
     else:
-        b = z if block is None else max(s, -(-parse_duration(block) // s) * s)
+        # default block: the window size, but at least an hour - small windows in tiny
+        # blocks mean many tiny sort groups and two copies of most panes
+        want = max(z, 3_600_000_000) if block is None else parse_duration(block)
+        b = max(s, -(-want // s) * s)
         pe, n = F.col("_pe"), F.col("_n")
         blk = F.col("_blk")
         bstart = blk * F.lit(b)
