@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from .decontaminate import op6_decontamination
 from .mixing import op7_mixing
 from .quality_rules import op1_quality_rules
 from .sharding import op4_sharding
 from .simhash_dedup import op2_simhash
 from .token_counts import op10_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op7_mixing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op6_decontamination, op7_mixing, op10_token_counts)}
