@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from .decontaminate import op6_decontamination
+from .language_id import op3_language_id
 from .mixing import op7_mixing
+from .quality_classifier import op9_quality
 from .quality_rules import op1_quality_rules
 from .sharding import op4_sharding
 from .simhash_dedup import op2_simhash
 from .token_counts import op10_token_counts
+from .toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_simhash, op4_sharding, op6_decontamination, op7_mixing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_simhash, op3_language_id, op4_sharding, op5_toxicity, op6_decontamination, op7_mixing,
+    op9_quality, op10_token_counts)}
