@@ -16,12 +16,14 @@ tú ti tus usted ustedes vosotros vuestra vuestro os""".split()
 #: Characters that stand for letters in obfuscated words.
 LEET = str.maketrans("013457@$!|", "oleastasil")
 NEAR = 5
+#: Lengths of the word beginnings that count as stems.
+STEMS = (3, 4, 5, 6, 7, 8)
 MAX_MEMO = 400_000
 EDGE = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SYMBOLS = frozenset(b"#*$%&|<>@^~=+_\\{}[]")
 
 SECOND, HIT, HIDDEN, CAPS, SHOUT, SYMBOL, DIGIT, BARE = (1 << i for i in range(8))
-NAMES = ["log_words", "hits", "log_hits", "hit_weight", "second", "near", "caps", "shout", "symbol", "digit",
+NAMES = ["log_words", "hits", "log_hits", "hit_weight", "log_weight", "second", "near", "caps", "shout", "symbol", "digit",
          "bare", "hidden", "word_chars", "distinct", "dup_lines", "lines", "stops", "long_words", "repeats"]
 SHOUT_CHARS = (b"!", b"?")
 
@@ -36,11 +38,14 @@ def squeeze(w: str) -> str:
 
 
 class Features:
-    """Feature rows of texts.  ``lexicon`` maps lower-case words to weights above 0."""
+    """Feature rows of texts.  ``lexicon`` maps lower-case words, and stems written
+    ``stem*`` of ``STEMS`` characters, to weights above 0."""
 
     def __init__(self, lexicon: dict[str, float] | None = None):
-        self.lexicon = {k.encode(): v for k, v in (lexicon or {}).items()}
-        self.squeezed = {squeeze(k): v for k, v in (lexicon or {}).items() if len(k) >= 4}
+        lexicon = lexicon or {}
+        self.lexicon = {k.encode(): v for k, v in lexicon.items() if not k.endswith("*")}
+        self.stems = {k[:-1]: v for k, v in lexicon.items() if k.endswith("*")}
+        self.squeezed = {squeeze(k): v for k, v in lexicon.items() if len(k) >= 4 and not k.endswith("*")}
         self.second = {w.encode() for w in SECOND_PERSON}
         self.memo: dict[bytes, tuple] = {}
 
@@ -52,6 +57,8 @@ class Features:
         key = low.encode("utf-8", "replace")
         code = min(len(text), 255) << 8
         weight = self.lexicon.get(key, 0.0)
+        if self.stems:
+            weight = max(weight, 0.0, *(self.stems.get(low[:n], 0.0) for n in STEMS if len(low) > n))
         if weight:
             code |= HIT
         elif self.squeezed and not low.isalpha() or len(low) >= 5 and any(a == b == c for a, b, c in zip(low, low[1:], low[2:])):
@@ -107,7 +114,8 @@ class Features:
         kept = [x for x in lines if x.strip()]
         rate = lambda flag: np.count_nonzero(c & flag) / n
         kinds = len(set(words))
-        return [np.log1p(n), len(hit) / n, np.log1p(len(hit)), float((c >> 16).sum()) / 1000 / n, rate(SECOND),
+        weight = float((c >> 16).sum()) / 1000
+        return [np.log1p(n), len(hit) / n, np.log1p(len(hit)), weight / n, np.log1p(weight), rate(SECOND),
                 near / n, rate(CAPS), rate(SHOUT), rate(SYMBOL), rate(DIGIT), rate(BARE), rate(HIDDEN),
                 float(size.mean()), kinds / n, 1 - len(set(kept)) / max(1, len(kept)), len(kept) / n,
                 np.count_nonzero(size <= 3) / n, np.count_nonzero(size >= 15) / n,

@@ -4,8 +4,8 @@ Features of a whole text: densities and weights of a lexicon, its words near a
 second-person word, shares of capitals, exclamations, symbols, digits and bare
 punctuation, and lexicon words that show only after undoing letter
 substitutions, inserted marks and stretched letters.  The lexicon is a short
-list of insults plus the words whose smoothed log-odds between toxic and other
-training texts are high; equal texts count once.
+list of insults plus the words and word beginnings whose smoothed log-odds
+between toxic and other training texts are high; equal texts count once.
 
 The trees minimise the logistic loss on quantile bins (numpy, on a bounded
 sample); a slice of the sample that the trees do not see fits an isotonic map
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, documents, prepare
-from .text_features import EDGE, NAMES, Features, labelled_sample
+from .text_features import EDGE, NAMES, STEMS, Features, labelled_sample
 
 SAMPLE = 20_000
 LEXICON = 1000
@@ -147,13 +147,16 @@ def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
     n1, n0 = sample.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     n1, n0 = n1 or 0, n0 or 0
     edge = "".join("\\" + chr(c) for c in EDGE)
-    words = sample.select("label", F.explode(F.array_distinct(F.transform(
-        F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+"),
-        lambda w: F.regexp_replace(w, f"^[{edge}]+|[{edge}]+$", "")))).alias("word"))
+    words = F.transform(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+"),
+                        lambda w: F.regexp_replace(w, f"^[{edge}]+|[{edge}]+$", ""))
+    stems = [F.transform(F.filter("_w", lambda w, n=n: F.length(w) > n),
+                         lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in STEMS]
+    words = (sample.select("label", F.array_distinct(words).alias("_w"))
+                   .select("label", F.explode(F.array_distinct(F.concat("_w", *stems))).alias("word")))
     odds = F.log((F.col("ones") + 0.1) / (n1 + 0.2)) - F.log((F.col("zeros") + 0.1) / (n0 + 0.2))
     top = (words.filter(F.length("word").between(2, 40)).groupBy("word")
                 .agg(F.sum("label").alias("ones"), F.sum(1 - F.col("label")).alias("zeros"))
-                .filter(F.col("ones") >= max(3, n1 * MIN_SHARE)).withColumn("odds", odds)
+                .filter(F.col("ones") >= max(4, n1 * MIN_SHARE)).withColumn("odds", odds)
                 .filter(F.col("odds") > 2.5).orderBy(F.desc("ones"), "word").limit(size).collect())
     return {r["word"]: min(float(r["odds"]), 8.0) for r in top}
 
