@@ -2,9 +2,11 @@
 
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from tidemark import daily_cap
+from tidemark import daily_cap, sliding_count
 from tidemark.plans import queries as Q
 from tidemark.plans.ordered import time_bucket, with_neighbors
 
@@ -20,12 +22,12 @@ def test_sliding_count_no_expand_partial_agg_then_block_window(spark):
     assert "Expand" not in p
     assert "partial_count(1)" in p
     # the running sum is partitioned by (key, time block), never by the key alone
-    assert re.search(r"Exchange hashpartitioning\(province#\d+, _blk#\d+", p)
+    assert re.search(r"Exchange hashpartitioning\(_part#\d+", p) and "struct(_blk" in p
 
 
 def test_no_key_total_is_split_by_time_block(spark):
     p = plan(Q.total_counts_sliding(spark, SF))
-    assert re.search(r"Exchange hashpartitioning\(_blk#\d+", p)
+    assert re.search(r"Exchange hashpartitioning\(_part#\d+", p)
     assert "SinglePartition" not in p
 
 
@@ -37,16 +39,43 @@ def test_top_n_and_cap_limit_map_side(spark):
     assert re.search(r"WindowGroupLimit .*Partial", p2)
 
 
-def test_neighbors_shuffle_full_rows_once_by_bucket(spark):
+def test_neighbors_shuffle_full_rows_by_bucket(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("_t", F.unix_micros(F.col("ts").cast("timestamp")))
     df = with_neighbors(ev, ["user_id"], ["_t", "event_id"], time_bucket(F.col("_t"), 3_600_000_000),
                         ["event_id"], lags=1, leads=1)
     p = plan(df)
-    # full rows are partitioned by (key, bucket), never by the key alone
+    # full rows are partitioned by (key, bucket), never by the plain key column
     assert re.search(r"Exchange hashpartitioning\(_nb_k#\d+, _nb_b#\d+", p)
     assert not re.search(r"Exchange hashpartitioning\(user_id#\d+, \d+\)", p)
-    # summaries go through a map-side group limit before their exchange
-    assert p.count("Partial") >= 2
+    assert "Join" not in p
+
+
+@pytest.mark.parametrize("keys", [["channel"], ["channel", "event_type"], None])
+def test_sliding_count_has_one_exchange_after_the_panes(spark, keys):
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("channel", F.lit("one"))
+    p = plan(sliding_count(ev, keys, "60 seconds", "1 second"))
+    panes = p.index("HashAggregate")
+    assert len(re.findall(r"Exchange hashpartitioning\(_part#", p)) == 1
+    assert len(re.findall(r"\bExchange hashpartitioning", p[:panes])) == 1
+
+
+def test_order_timeout_frames_are_one_sided(spark):
+    p = plan(Q.order_timeouts(spark, SF))
+    assert "specifiedwindowframe(RangeFrame, unboundedpreceding$()" in p
+    assert not re.search(r"RangeFrame, (cast\()?-\d+", p) and "Generate explode" not in p
+
+
+def test_reconcile_matched_is_an_inner_join(spark):
+    p = plan(Q.reconcile_matched(spark, SF))
+    assert "Inner" in p and "FullOuter" not in p
+    assert "LeftAnti" in plan(Q.reconcile_unmatched_left(spark, SF))
+
+
+def test_daily_cap_has_one_plan(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    shapes = [re.sub(r"#\d+L?|plan_id=\d+|<= \d+|, \d+, (Partial|Final)|WindowGroupLimit.*", "", plan(daily_cap(ev, ["user_id"], m, seq="event_id")))
+              for m in (100, 700)]
+    assert [len(re.findall("Exchange", x)) for x in shapes][0] == [len(re.findall("Exchange", x)) for x in shapes][1]
 
 
 def test_scans_prune_and_push_down(spark):

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 
 from tidemark import (consecutive_events, daily_cap, match_sequence, order_timeout, reconcile,
                       sliding_count)
-from tidemark.plans.ordered import time_bucket, with_neighbors
+from tidemark.plans.ordered import balanced_buckets, time_bucket, with_neighbors
 from pyspark.sql import functions as F
 
 SCHEMA = "seq long, k string, typ string, t long"
@@ -86,26 +86,33 @@ def cap_py(rows, mx):
     return out
 
 
-@pytest.mark.parametrize("seed,threshold", [(5, None), (6, "1")])
-def test_daily_cap(spark, seed, threshold):
+@pytest.mark.parametrize("seed,target", [(5, 1 << 18), (6, 4), (15, 2)])
+def test_daily_cap(spark, seed, target):
     rows = [(i, k, typ, t * 7000) for i, k, typ, t in gen_rows(seed, n=200, span=50, null_key=True)]
     df = spark.createDataFrame(rows, SCHEMA)
-    old = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    if threshold:  # force the bucket-offset path
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
-    try:
-        res = daily_cap(df, ["k", "typ"], 3, ts="t", unit="s", seq="seq", bucket="2 hours").collect()
-    finally:
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", old)
+    res = daily_cap(df, ["k", "typ"], 3, ts="t", unit="s", seq="seq", bucket="2 hours", target_rows=target).collect()
     assert {r.seq: r.kind for r in res} == cap_py(rows, 3)
 
 
+def test_daily_cap_arrival_order_and_large_limit(spark):
+    rows = [(i, k, typ, t * 700) for i, k, typ, t in gen_rows(16, n=200, span=50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    res = daily_cap(df, ["k"], 5, ts="t", unit="s", seq="seq", order="arrival", target_rows=7).collect()
+    seen, want = {}, {}
+    for i, k, _, t in rows:
+        n = seen[k, t // 86400] = seen.get((k, t // 86400), 0) + 1
+        if n <= 7:
+            want[i] = "pass" if n <= 6 else "warning"
+    assert {r.seq: r.kind for r in res} == want
+    assert daily_cap(df, ["k"], 5000, ts="t", unit="s", seq="seq").filter("kind = 'warning'").count() == 0
+
+
 @pytest.mark.parametrize("seed,order", [(7, "arrival"), (8, "arrival"), (14, "event")])
 def test_consecutive_events(spark, seed, order):
     rows = gen_rows(seed, n=150, span=40)
     df = spark.createDataFrame(rows, SCHEMA)
-    res = consecutive_events(df, "k", "typ", "a", 5, ts="t", unit="s", seq="seq", bucket_rows=3,
-                             order=order, bucket=4, carry=["seq"]).collect()
+    res = consecutive_events(df, "k", "typ", "a", 5, ts="t", unit="s", seq="seq",
+                             order=order, bucket=4, carry=["seq"], target_rows=5).collect()
     want = set()
     key_order = (lambda r: r[0]) if order == "arrival" else (lambda r: (r[3], r[0]))
     for k, lst in by_key(rows, order=key_order).items():
@@ -125,7 +132,7 @@ def test_match_sequence_three_steps(spark, seed):
     rows = gen_rows(seed, n=150, span=60)
     df = spark.createDataFrame(rows, SCHEMA)
     res = match_sequence(df, "k", ["a", "b", "c"], 6, ts="t", unit="s", seq="seq", type_col="typ",
-                         emit=("match", "timeout", "broken"), carry=["seq"], bucket=4).collect()
+                         emit=("match", "timeout", "broken"), carry=["seq"], bucket=4, target_rows=6).collect()
     got = {r.seq_0: r.kind for r in res}
     want = {}
     for k, lst in by_key(rows).items():
@@ -145,12 +152,12 @@ def test_match_sequence_three_steps(spark, seed):
     assert got == want
 
 
-@pytest.mark.parametrize("seed,bucket", [(11, None), (12, 3)])
-def test_order_timeout(spark, seed, bucket):
+@pytest.mark.parametrize("seed,bucket,target", [(11, None, 1), (12, 3, 5), (17, 2, 1), (18, 3600, 1 << 18)])
+def test_order_timeout(spark, seed, bucket, target):
     rows = gen_rows(seed, n=150, span=80)
     df = spark.createDataFrame(rows, SCHEMA)
     res = order_timeout(df, "k", "typ", "a", 4, ts="t", unit="s",
-                        bucket=None if bucket is None else bucket).collect()
+                        bucket=bucket, target_rows=target).collect()
     want = set()
     for k, lst in by_key(rows).items():
         for c in lst:
@@ -185,3 +192,19 @@ def test_reconcile_random(spark):
         else:
             want.append((k, "unmatched_pay"))
     assert got == sorted(want)
+
+
+def test_balanced_buckets_follow_the_order_and_bound_their_rows(spark):
+    rows = gen_rows(19, n=400, span=60) + [(1000 + i, "hot", "a", 30) for i in range(50)] \
+        + [(2000 + i, "hot", "a", i * 13) for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = balanced_buckets(df, ["k"], F.col("t"), 100, 40, "b").collect()
+    assert len(got) == len(rows)
+    for k, lst in by_key([(r.seq, r.k, r.b, r.t) for r in got]).items():
+        buckets = [x[2] for x in sorted(lst, key=lambda x: x[3])]
+        assert buckets == sorted(buckets)
+        if len(lst) <= 40:
+            assert set(buckets) == {0}
+        else:
+            # a run of sparse slots and one more slot at most; equal times stay together
+            assert 0 not in buckets and max(buckets.count(b) for b in set(buckets)) <= 80 + 50

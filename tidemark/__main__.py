@@ -6,7 +6,8 @@
     spark-submit --py-files tidemark.zip -m tidemark ...   (on a cluster)
 
 Inputs are the reference's comma-separated layouts (see ``sources.delimited``).
-``--out DIR`` writes parquet instead of printing.
+``--out DIR`` writes parquet; without it every result row is printed, fetched
+partition by partition.
 """
 
 from __future__ import annotations
@@ -52,7 +53,6 @@ def main(argv=None) -> None:
     ap.add_argument("--method", default="exact", choices=["exact", "bitmap", "approx"])
     ap.add_argument("--max-count", type=int, default=100)
     ap.add_argument("--out")
-    ap.add_argument("--rows", type=int, default=50)
     a = ap.parse_args(argv)
     spark = get_session()
     if a.job == "tx_match":
@@ -64,7 +64,9 @@ def main(argv=None) -> None:
         if a.out:
             df.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{a.job}_{i}")
         else:
-            df.show(a.rows, truncate=False)
+            print("\t".join(df.columns))
+            for row in df.toLocalIterator():
+                print("\t".join("" if v is None else str(v) for v in row))
 
 
 if __name__ == "__main__":

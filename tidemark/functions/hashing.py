@@ -23,10 +23,3 @@ def hash61(c: Column | str, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -> C
     return F.aggregate(chars, F.lit(0).cast("long"),
                        lambda acc, x: (acc * seed + x).bitwiseAND(F.lit(mask)))
 
-
-def hash61_py(s: str, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -> int:
-    """Plain-Python twin for tests (int32 arithmetic as in the reference)."""
-    r = 0
-    for ch in s:
-        r = (r * seed + ord(ch)) & 0xFFFFFFFF
-    return r & (bits - 1)

@@ -37,7 +37,9 @@ def unique_per_window_bitmap(df: DataFrame, user: str = "user_id", size="1 hour"
     overcount, exactly like the reference's single-hash bitmap.
     """
     we = _window_end(df, size, ts, unit).alias("window_end")
-    h = df.select(we, hash61(F.col(user)).alias("_h"))
+    # distinct hashes first (a hash aggregate): the bitmap aggregate sorts and
+    # keeps 4 KiB buffers, so it should see each bit once
+    h = df.select(we, hash61(F.col(user)).alias("_h")).distinct()
     chunks = (h.groupBy("window_end", F.bitmap_bucket_number("_h").alias("_bk"))
                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bm")))
     return chunks.groupBy("window_end").agg(F.sum(F.bitmap_count("_bm")).cast("long").alias(out))

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, parse_duration
-from ..plans.ordered import floor_div, time_bucket, with_neighbors
+from ..plans.ordered import TARGET_ROWS, balanced_buckets, balanced_neighbors
 
 
 def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], within,
                    ts: str = "ts", seq: str | None = "seq", unit: str = "auto",
                    type_col: str = "event_type", emit: Sequence[str] = ("match",),
                    carry: Sequence[str] | None = None, kind: str = "kind",
-                   bucket="1 hour") -> DataFrame:
+                   bucket="1 hour", target_rows: int = TARGET_ROWS) -> DataFrame:
     """``begin(steps[0]).next(steps[1])...within(within)`` per key.
 
     Rows of a key are taken in event-time order (ties by ``seq``).  Each row
@@ -29,7 +29,8 @@ def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], withi
 
     Attempts overlap (every start is judged).  Returns one row per start whose
     kind is in ``emit``, with ``<c>_<i>`` for each carried column of step i.
-    ``bucket`` bounds one key's rows per task; None gives a plain per-key window.
+    Keys with more than ``target_rows`` rows are cut along time (counted in slots
+    of ``bucket``); ``bucket=None`` gives a plain per-key window.
     """
     n = len(steps)
     if n < 2:
@@ -42,8 +43,8 @@ def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], withi
         base = base.withColumn(f"_s{i}", F.coalesce(p, F.lit(False)))
     ordering = [F.col("_t")] + ([F.col(seq)] if seq else [])
     payload = list(dict.fromkeys([*carry, "_t", *[f"_s{i}" for i in range(1, n)]]))
-    bkt = None if bucket is None else time_bucket(F.col("_t"), parse_duration(bucket))
-    nb = with_neighbors(base, [key], ordering, bkt, payload, leads=n - 1)
+    nb = balanced_neighbors(base, [key], ordering, F.col("_t"), None if bucket is None else parse_duration(bucket),
+                            payload, leads=n - 1, target=target_rows)
     outcome: Column = F.lit("match")
     for i in range(n - 1, 0, -1):
         nx = F.col(f"next{i}")
@@ -61,32 +62,39 @@ def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], withi
 
 
 def order_timeout(df: DataFrame, key: str, type_col: str = "event_type", start: str = "create",
-                  limit="15 minutes", ts: str = "ts", unit: str = "auto", bucket=None) -> DataFrame:
+                  limit="15 minutes", ts: str = "ts", unit: str = "auto", bucket="1 hour",
+                  target_rows: int = TARGET_ROWS) -> DataFrame:
     """F4 (state + timer form) as an event-time contract.
 
     A ``start`` row c alerts when (a) no other start of its key lies in
     [c.ts - limit, c.ts) - a repeated start is absorbed by the pending one -
     and (b) no non-start row of its key lies in [c.ts, c.ts + limit].
 
-    Two bounded range frames over (key, time bucket).  A row is copied into a
-    neighbouring bucket only when it lies within ``limit`` of that bucket's
-    edge (starts to the right, other rows to the left), so frames near an edge
-    are complete and a hot key is still split by time.
+    Only the latest start before c and the first other row from c on matter:
+    two running aggregates per (key, bucket).  Keys with more than
+    ``target_rows`` rows are cut along time; of their other buckets a summary
+    of two times per bucket is enough, so no row is copied and nothing depends
+    on ``limit``.
     """
     lim = parse_duration(limit)
-    width = max(lim, parse_duration(bucket)) if bucket is not None else max(lim, 3_600_000_000)
     t = F.col("_t")
-    is_start = F.col(type_col) == start
-    base = df.withColumn("_t", epoch_micros(df, ts, unit)).withColumn("_st", F.coalesce(is_start, F.lit(False)))
-    own = floor_div(t, width)
-    lo = F.when(F.col("_st"), own).otherwise(floor_div(t - F.lit(lim), width))
-    hi = F.when(F.col("_st"), floor_div(t + F.lit(lim), width)).otherwise(own)
-    rep = (base.withColumn("_own", own)
-               .withColumn("_b", F.explode(F.sequence(lo, hi))))
-    w = Window.partitionBy(key, "_b").orderBy("_t")
-    starts_before = F.count(F.when(F.col("_st"), 1)).over(w.rangeBetween(-lim, -1))
-    others_after = F.count(F.when(~F.col("_st"), 1)).over(w.rangeBetween(0, lim))
-    res = (rep.select("*", starts_before.alias("_sb"), others_after.alias("_oa"))
-              .filter((F.col("_b") == F.col("_own")) & F.col("_st")
-                      & (F.col("_sb") == 0) & (F.col("_oa") == 0)))
-    return res.select(*df.columns)
+    base = (df.withColumn("_t", epoch_micros(df, ts, unit))
+              .withColumn("_st", F.coalesce(F.col(type_col) == start, F.lit(False))))
+    cut = balanced_buckets(base, [key], t, parse_duration(bucket), target_rows, "_b") if bucket is not None \
+        else base.withColumn("_b", F.lit(0).cast("long"))
+    cut = cut.withColumn("_k", F.struct(F.col(key)))
+    start_t, other_t = F.when(F.col("_st"), t), F.when(~F.col("_st"), t)
+    up = Window.partitionBy("_k", "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    down = (Window.partitionBy("_k", "_b").orderBy(F.col("_t").desc())
+                  .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = cut.select("*", F.max(start_t).over(up).alias("_before"), F.min(other_t).over(down).alias("_after"))
+    # what the other buckets of a cut key hold: the last start and the first other row
+    per = (cut.filter(F.col("_b") > 0).groupBy("_k", "_b")
+              .agg(F.max(start_t).alias("_ls"), F.min(other_t).alias("_fo")))
+    wk = Window.partitionBy("_k").orderBy("_b")
+    per = per.select("_k", "_b", F.max("_ls").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_xb"),
+                     F.min("_fo").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_xa"))
+    res = rows.filter(F.col("_st")).join(per, ["_k", "_b"], "left")
+    before, after = F.greatest("_before", "_xb"), F.least("_after", "_xa")  # both skip NULLs
+    return (res.filter((before.isNull() | (before < t - F.lit(lim))) & (after.isNull() | (after > t + F.lit(lim))))
+               .select(*df.columns))

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.time import epoch_micros, micros_of, parse_duration
 
 
+KINDS = ("matched", "unmatched_order", "unmatched_pay")
+_JOINS = {frozenset(KINDS): "full_outer", frozenset(KINDS[:1]): "inner", frozenset(KINDS[:2]): "left",
+          frozenset((KINDS[0], KINDS[2])): "right", frozenset(KINDS[1:]): "full_outer"}
+
+
 def latest_per_key(df: DataFrame, key, ts: str, seq: str | None = None, unit: str = "auto",
                    name: str = "row") -> DataFrame:
     """(key, struct of the latest row by (ts, seq)).  ``max_by`` is a plain
@@ -22,33 +27,38 @@ def latest_per_key(df: DataFrame, key, ts: str, seq: str | None = None, unit: st
 def reconcile(orders: DataFrame, pays: DataFrame, key="order_id",
               orders_ts: str = "ts", pays_ts: str = "ts", orders_seq: str | None = None,
               pays_seq: str | None = None, unit: str = "auto", tolerance=None,
-              kind: str = "kind") -> DataFrame:
+              kind: str = "kind", kinds=KINDS) -> DataFrame:
     """Pair each key's latest order row with its latest pay row.
 
     kind = 'matched' (both sides, and within ``tolerance`` of each other if
     given), 'unmatched_order', 'unmatched_pay' (a pair outside the tolerance
     yields both unmatched rows).  Columns: key, kind, ``order`` and ``pay``
     structs of the original rows.  Both sides are reduced to one row per key
-    before the full outer join, which then reuses their hash partitioning.
+    before the join, which then reuses their hash partitioning.  ``kinds`` names
+    the wanted results: without a tolerance the join is only as wide as they
+    need (inner, one-sided, anti or full).
     """
     keys = [key] if isinstance(key, str) else list(key)
     o = latest_per_key(orders, keys, orders_ts, orders_seq, unit, "order")
     p = latest_per_key(pays, keys, pays_ts, pays_seq, unit, "pay")
+    has_o, has_p = F.col("order").isNotNull(), F.col("pay").isNotNull()
+    if tolerance is None:
+        k = (F.when(has_o & has_p, F.lit("matched")).when(has_o, F.lit("unmatched_order"))
+              .otherwise(F.lit("unmatched_pay")))
+        res = o.join(p, on=keys, how=_JOINS[frozenset(kinds)]) if len(kinds) > 1 or "matched" in kinds else None
+        if res is None:  # one unmatched side: an anti join, the other struct stays NULL
+            mine, other, name, lost = (o, p, "order", "pay") if "unmatched_order" in kinds else (p, o, "pay", "order")
+            res = mine.join(other, on=keys, how="left_anti").withColumn(lost, F.lit(None).cast(other.schema[lost].dataType))
+        return res.select(*keys, k.alias(kind), "order", "pay").filter(F.col(kind).isin(list(kinds)))
     j = o.join(p, on=keys, how="full_outer")
-    both = F.col("order").isNotNull() & F.col("pay").isNotNull()
-    if tolerance is not None:
-        tol = parse_duration(tolerance)
-        o_us = micros_of(F.col(f"order.{orders_ts}"), orders.schema[orders_ts].dataType, unit)
-        p_us = micros_of(F.col(f"pay.{pays_ts}"), pays.schema[pays_ts].dataType, unit)
-        ok = F.abs(p_us - o_us) <= F.lit(tol)
-    else:
-        ok = F.lit(True)
-    kinds = (F.when(both & ok, F.array(F.lit("matched")))
-              .when(both, F.array(F.lit("unmatched_order"), F.lit("unmatched_pay")))
-              .when(F.col("order").isNotNull(), F.array(F.lit("unmatched_order")))
+    tol = parse_duration(tolerance)
+    o_us = micros_of(F.col(f"order.{orders_ts}"), orders.schema[orders_ts].dataType, unit)
+    p_us = micros_of(F.col(f"pay.{pays_ts}"), pays.schema[pays_ts].dataType, unit)
+    states = (F.when(has_o & has_p & (F.abs(p_us - o_us) <= F.lit(tol)), F.array(F.lit("matched")))
+              .when(has_o & has_p, F.array(F.lit("unmatched_order"), F.lit("unmatched_pay")))
+              .when(has_o, F.array(F.lit("unmatched_order")))
               .otherwise(F.array(F.lit("unmatched_pay"))))
-    res = j.select(*keys, F.explode(kinds).alias(kind), "order", "pay")
+    res = j.select(*keys, F.explode(states).alias(kind), "order", "pay").filter(F.col(kind).isin(list(kinds)))
     return res.select(*keys, kind,
                       F.when(F.col(kind) != "unmatched_pay", F.col("order")).alias("order"),
                       F.when(F.col(kind) != "unmatched_order", F.col("pay")).alias("pay"))
-

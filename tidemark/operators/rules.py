@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cap_warning, login_alert
 from ..functions.time import epoch_micros, parse_duration
-from ..plans.ordered import floor_div, seq_bucket, time_bucket, with_neighbors
+from ..plans.ordered import TARGET_ROWS, balanced_buckets, balanced_neighbors, floor_div
 
 DAY_US = 86_400_000_000
+#: Sequence numbers per counting slot when rows are taken in arrival order.
+ARRIVAL_SLOT = 1 << 20
 
 
 def _keys(k) -> list[str]:
@@ -20,78 +22,68 @@ def _keys(k) -> list[str]:
 
 def daily_cap(df: DataFrame, keys: str | Sequence[str], max_count: int = 100, ts: str = "ts",
               seq: str | None = None, unit: str = "auto", kind: str = "kind", msg: str = "msg",
-              bucket="1 hour") -> DataFrame:
+              bucket="1 hour", target_rows: int = TARGET_ROWS, order: str = "event") -> DataFrame:
     """Per key and UTC day, rows 1..max+1 pass, row max+2 warns, the rest drop.
 
     (The reference checks ``count > max`` *before* counting the row, so max+1
     rows pass.)  Returns the surviving rows with ``kind`` in ('pass','warning')
-    and the warning text in ``msg``.
+    and the warning text in ``msg``.  ``order='event'`` counts by (ts, seq);
+    ``order='arrival'`` by ``seq``, as the reference meets the rows.
 
-    Plan: ``row_number() <= max+2`` gets a partial WindowGroupLimit below the
-    exchange, so a hot (key, day) ships at most max+2 rows per map task.  Above
-    Spark's group-limit threshold the rank is instead assembled from per-bucket
-    counts (exact, bounded per task) - see ``_rank_by_bucket_offsets``.
+    One plan for every ``max_count``: rows are ranked inside (key, day, bucket)
+    and at most max+2 of a bucket stay; a (key, day) with more than
+    ``target_rows`` rows is cut along its order, and the rank is completed by
+    the row counts of its earlier buckets.
     """
     keys = _keys(keys)
     limit = max_count + 2
-    t = epoch_micros(df, ts, unit)
-    base = df.withColumn("_t", t).withColumn("_day", floor_div(F.col("_t"), DAY_US))
-    order = [F.col("_t")] + ([F.col(seq)] if seq else [])
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if limit <= threshold:
-        w = Window.partitionBy(*keys, "_day").orderBy(*order)
-        ranked = base.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= limit)
+    base = df.withColumn("_t", epoch_micros(df, ts, unit)).withColumn("_day", floor_div(F.col("_t"), DAY_US))
+    if order == "arrival":
+        ordering, pos, width = [F.col(seq)], F.col(seq), ARRIVAL_SLOT
     else:
-        ranked = _rank_by_bucket_offsets(base, [*keys, "_day"], order, parse_duration(bucket), limit)
+        ordering, pos, width = [F.col("_t")] + ([F.col(seq)] if seq else []), F.col("_t"), parse_duration(bucket)
+    b = (balanced_buckets(base, [*keys, "_day"], pos, width, target_rows, "_bk")
+         .withColumn("_gk", F.struct(*[F.col(k) for k in keys], F.col("_day"))))  # NULL-safe group key
+    ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_gk", "_bk").orderBy(*ordering)))
+    ranked = ranked.filter(F.col("_rn") <= limit)
+    counts = b.filter(F.col("_bk") > 0).groupBy("_gk", "_bk").agg(F.count(F.lit(1)).alias("_bc"))
+    ws = Window.partitionBy("_gk").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_gk", "_bk", F.coalesce(F.sum("_bc").over(ws), F.lit(0)).alias("_off"))
+    ranked = (ranked.join(offsets, ["_gk", "_bk"], "left")
+                    .withColumn("_rn", F.col("_rn") + F.coalesce("_off", F.lit(0))).filter(F.col("_rn") <= limit))
     return (ranked.withColumn(kind, F.when(F.col("_rn") <= max_count + 1, F.lit("pass"))
                               .otherwise(F.lit("warning")))
                   .withColumn(msg, F.when(F.col(kind) == "warning", cap_warning(max_count)))
                   .select(*df.columns, kind, msg))
 
 
-def _rank_by_bucket_offsets(base: DataFrame, group: list[str], order, width_us: int,
-                            limit: int) -> DataFrame:
-    """Exact rank <= limit without one task per group: rank = rows of the group
-    in earlier time buckets + rank inside the bucket; buckets that start at or
-    beyond ``limit`` are dropped before any sort."""
-    b = (base.withColumn("_bk", time_bucket(F.col("_t"), width_us))
-             .withColumn("_gk", F.struct(*[F.col(g) for g in group])))  # NULL-safe group key
-    group = ["_gk"]
-    counts = b.groupBy(*group, "_bk").agg(F.count(F.lit(1)).alias("_bc"))
-    ws = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (counts.withColumn("_off", F.coalesce(F.sum("_bc").over(ws), F.lit(0)))
-                  .filter(F.col("_off") < limit).select(*group, "_bk", "_off"))
-    w = Window.partitionBy(*group, "_bk").orderBy(*order)
-    return (b.join(offs, on=[*group, "_bk"], how="inner")
-             .withColumn("_rn", F.col("_off") + F.row_number().over(w))
-             .filter(F.col("_rn") <= limit))
-
-
 def consecutive_events(df: DataFrame, key: str, type_col: str = "event_type", event: str = "fail",
                        gap="2 seconds", ts: str = "ts", seq: str = "seq", unit: str = "auto",
                        order: str = "arrival", carry: Sequence[str] | None = None,
-                       bucket_rows: int = 1 << 20, bucket="1 hour") -> DataFrame:
+                       bucket="1 hour", target_rows: int = TARGET_ROWS) -> DataFrame:
     """alert on an ``event`` row whose immediately preceding row of the same
     key is also ``event`` and lies less than ``gap`` earlier (strict; a negative
     gap - out-of-order input - alerts too).  Any other type in between resets.
 
     ``order='arrival'`` follows ``seq`` (the reference processes rows as they
     arrive); ``order='event'`` follows (ts, seq).  Adds ``prev_<c>`` for each
-    carried column and the alert text ``msg``.  ``bucket_rows`` / ``bucket``
-    bound the rows of one key per task (see ``with_neighbors``); None gives a
-    plain per-key window.
+    carried column and the alert text ``msg``.  Keys with more than
+    ``target_rows`` rows are cut along the order; ``bucket=None`` gives a plain
+    per-key window.
     """
     carry = list(carry) if carry is not None else [c for c in (seq, ts) if c]
     g = parse_duration(gap)
     base = df.withColumn("_t", epoch_micros(df, ts, unit))
     if order == "arrival":
-        ordering = [F.col(seq)]
-        bkt = None if bucket_rows is None else seq_bucket(F.col(seq), bucket_rows)
+        ordering, pos, width = [F.col(seq)], F.col(seq), ARRIVAL_SLOT
     else:
-        ordering = [F.col("_t")] + ([F.col(seq)] if seq else [])
-        bkt = None if bucket is None else time_bucket(F.col("_t"), parse_duration(bucket))
+        ordering, pos, width = [F.col("_t")] + ([F.col(seq)] if seq else []), F.col("_t"), bucket
+    if bucket is None:
+        width = None
+    elif order != "arrival":
+        width = parse_duration(bucket)
     payload = list(dict.fromkeys([type_col, "_t", *carry]))
-    nb = with_neighbors(base, [key], ordering, bkt, payload, lags=1)
+    nb = balanced_neighbors(base, [key], ordering, pos, width, payload, lags=1, target=target_rows)
     p = F.col("prev1")
     hit = ((F.col(type_col) == event) & (p[type_col] == event)
            & (F.col("_t") < p["_t"] + F.lit(g)))

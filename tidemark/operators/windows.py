@@ -39,12 +39,9 @@ def _keys(keys) -> list[str]:
 
 
 def _shuffle_width(spark) -> int:
-    """The configured shuffle parallelism (default parallelism if not a number)."""
-    try:
-        v = spark.conf.get("spark.sql.shuffle.partitions")
-    except Exception:  # not readable as a number on this deployment
-        v = None
-    return int(v) if v is not None and str(v).isdigit() else spark.sparkContext.defaultParallelism
+    """The configured shuffle parallelism: size it for the output rows, which are
+    made after this exchange."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def pane_counts(df: DataFrame, keys, slide, ts: str = "ts", unit: str = "auto") -> DataFrame:
@@ -81,10 +78,13 @@ def windows_from_panes(panes: DataFrame, keys, size, slide, out: str = "cnt",
         deltas = deltas.select(*keys, "_blk", F.col("e.t").alias("_t"), F.col("e.d").alias("_d"))
         # The deltas are small but each segment expands to many windows after this
         # exchange: fix its width at the configured shuffle parallelism so AQE does
-        # not coalesce it into a few tasks that then emit all the output.  The
-        # window reuses this (keys, block) partitioning - no extra exchange.
-        deltas = deltas.repartition(_shuffle_width(panes.sparkSession), *keys, "_blk")
-        w = Window.partitionBy(*keys, "_blk").orderBy("_t")
+        # not coalesce it into a few tasks that then emit all the output.  Keys and
+        # block travel as one struct: the optimizer drops constant keys from a
+        # window's partitioning but not from a repartition, and would then add a
+        # second exchange; it cannot take the struct apart.
+        deltas = deltas.withColumn("_part", F.struct(F.col("_blk"), *[F.col(c) for c in keys]))
+        deltas = deltas.repartition(_shuffle_width(panes.sparkSession), "_part")
+        w = Window.partitionBy("_part").orderBy("_t")
         seg = deltas.select(
             *keys, "_t", "_blk",
             F.sum("_d").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),

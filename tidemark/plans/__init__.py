@@ -1,3 +1,3 @@
-from .ordered import floor_div, seq_bucket, time_bucket, with_neighbors
+from .ordered import balanced_buckets, balanced_neighbors, floor_div, time_bucket, with_neighbors
 
-__all__ = ["floor_div", "seq_bucket", "time_bucket", "with_neighbors"]
+__all__ = ["balanced_buckets", "balanced_neighbors", "floor_div", "time_bucket", "with_neighbors"]

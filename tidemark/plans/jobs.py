@@ -104,8 +104,8 @@ def order_timeout_state(orders: DataFrame, limit="5 seconds") -> DataFrame:
 def tx_match(orders: DataFrame, pays: DataFrame, seq: str | None = "seq",
              tolerance=None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(matched, unmatched orders, unmatched pays)."""
-    r = reconcile(orders, pays, "order_id", "event_time", "event_time", seq, seq, unit="s",
-                  tolerance=tolerance)
-    return (r.filter(F.col("kind") == "matched"),
-            r.filter(F.col("kind") == "unmatched_order").select("order.*"),
-            r.filter(F.col("kind") == "unmatched_pay").select("pay.*"))
+    def side(*kinds):
+        return reconcile(orders, pays, "order_id", "event_time", "event_time", seq, seq, unit="s",
+                         tolerance=tolerance, kinds=kinds)
+
+    return (side("matched"), side("unmatched_order").select("order.*"), side("unmatched_pay").select("pay.*"))

@@ -29,6 +29,7 @@ r AS (SELECT window_end, item_id, cnt,
              row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, item_id) AS rank FROM c)
 SELECT window_end, item_id, cnt, CAST(rank AS BIGINT) AS rank FROM r WHERE rank <= 3"""
 
+# The report's labels and rules (see functions/text.py).
 _REPORT = f"""
 WITH top AS ({_TOPN})
 SELECT window_end,
@@ -53,7 +54,7 @@ FROM w GROUP BY we, province"""
 
 
 def _marketing(total: bool) -> str:
-    keys = "'Total' AS channel, 'Total' AS behavior" if total else "'events' AS channel, event_type AS behavior"
+    keys = "'Total' AS channel, 'Total' AS behavior" if total else "'ch' || (CAST(json_extract_string(props, '$.k') AS BIGINT) % 6) AS channel, event_type AS behavior"
     return f"""
 WITH m AS (SELECT epoch_us(ts) AS t, {keys} FROM events
            WHERE event_type <> 'signup'),
@@ -169,4 +170,19 @@ SELECT we // 1000 AS window_end, count(*) AS cnt FROM w GROUP BY we""",
     "reconcile_matched": _reconcile("matched"),
     "reconcile_unmatched_left": _reconcile("unmatched_order"),
     "reconcile_unmatched_right": _reconcile("unmatched_pay"),
+    "parsed_events": "SELECT event_id, user_id, event_type, epoch_us(ts) AS event_time FROM events",
+    "decoded_events": "SELECT event_id AS key, event_id, user_id, event_type, epoch_us(ts) AS event_time FROM events",
+    "epoch_scaling": f"""
+WITH t AS (SELECT epoch_us(ts) AS t FROM events),
+w AS (SELECT (t - t % {H} + {H}) // 1000 AS window_end, count(*) AS cnt FROM t GROUP BY 1)
+SELECT unit, window_end, cnt FROM w, (VALUES ('s'), ('ms'), ('txt')) u(unit)""",
+    "login_alerts": f"""
+WITH n AS (SELECT event_id, user_id, event_type, ts,
+                  lag(event_type) OVER w AS pt, lag(ts) OVER w AS pts
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+SELECT event_id, CAST(user_id AS VARCHAR) || '2s内连续登录失败' AS msg FROM n
+WHERE event_type = 'error' AND pt = 'error' AND epoch_us(ts) < epoch_us(pts) + {SIX_H}""",
+    "unique_visitors_approx_error": f"""
+WITH v AS ({_VIEWS})
+SELECT DISTINCT {_HOUR_END} AS window_end, true AS within FROM v""",
 }

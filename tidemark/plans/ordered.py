@@ -1,17 +1,14 @@
 """Skew-safe neighbour lookups over a per-key order.
 
 ``Window.partitionBy(key).orderBy(...)`` sends every row of a key to one task;
-with one key holding a third of the data that task is the whole job.  Here the
-rows are ranked inside ``(key, bucket)``, where the bucket is a monotone
-function of the order (a time slice or a block of sequence numbers), so no
-task sees more than one bucket of one key.  Neighbours that live in other
-buckets come from a per-bucket summary holding only its first/last k rows;
-a second window runs over those summaries (one row per bucket).
-
-Plan: Exchange(key, bucket) -> Sort -> Window (lag/lead) over the full rows;
-      summaries: partial WindowGroupLimit(k) -> small Exchange -> collect <= k
-      -> Exchange(key) on summaries -> Window over buckets
-      -> join back on (key, bucket) (only the small side moves).
+with one key holding a third of the data that task is the whole job.
+``balanced_buckets`` therefore cuts the keys with more than ``target`` rows -
+and only those - into buckets along the order, with edges from row counts, so
+a bucket holds about ``target`` rows however dense a stretch of time is.  Keys
+below the target keep one bucket and cost what a plain window costs.
+
+``with_neighbors`` ranks rows inside (key, bucket) and takes the neighbours of
+a cut key's edge rows from a second window over its edge rows only.
 """
 
 from __future__ import annotations
@@ -21,83 +18,85 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Keys with more rows than this are cut into buckets of about this many rows.
+TARGET_ROWS = 1 << 18
+_CUTS = 1 << 20
+
 
 def _ordered(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def balanced_buckets(df: DataFrame, keys: Sequence[str], pos: Column, width: int,
+                     target: int = TARGET_ROWS, out: str = "_nb_b") -> DataFrame:
+    """Add ``out``: 0 for every row of a key with at most ``target`` rows, else a
+    bucket number above 0 that does not decrease along ``pos`` (a long).
+
+    A key's rows are counted per slot of ``width`` (partial aggregates on two
+    columns); runs of sparse slots share a bucket and a slot with more rows than
+    the target is cut evenly.  Rows of one single ``pos`` are never parted.  The
+    edges decide where work is done, never a result.
+    """
+    base = (df.withColumn("_bb_k", F.struct(*[F.col(k) for k in keys]))
+              .withColumn("_bb_p", pos.cast("long"))
+              .withColumn("_bb_s", floor_div(F.col("_bb_p"), width)))
+    large = (base.groupBy("_bb_k").agg(F.count(F.lit(1)).alias("_bb_n"))
+                 .filter(F.col("_bb_n") > target).select("_bb_k"))
+    slots = (base.select("_bb_k", "_bb_s").join(large, "_bb_k", "left_semi")
+                 .groupBy("_bb_k", "_bb_s").agg(F.count(F.lit(1)).alias("_bb_n")))
+    w = Window.partitionBy("_bb_k").orderBy("_bb_s").rowsBetween(Window.unboundedPreceding, -1)
+    edges = slots.select("_bb_k", "_bb_s", floor_div(F.coalesce(F.sum("_bb_n").over(w), F.lit(0)), target).alias("_bb_g"),
+                         F.when(F.col("_bb_n") > target, F.least(F.ceil(F.col("_bb_n") / target), F.lit(_CUTS)))
+                          .alias("_bb_c"))
+    dense = F.col("_bb_c").isNotNull()
+    part = floor_div((F.col("_bb_p") - F.col("_bb_s") * F.lit(width)) * F.col("_bb_c"), width)
+    bucket = ((F.col("_bb_g") * 2 + dense.cast("long")) * F.lit(_CUTS) + F.coalesce(part, F.lit(0)) + 1)
+    return (base.join(edges, ["_bb_k", "_bb_s"], "left")
+                .withColumn(out, F.coalesce(bucket, F.lit(0)).cast("long"))
+                .select(*df.columns, out))
+
+
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column | None,
                    payload: Sequence[str], lags: int = 0, leads: int = 0,
-                   prefix: tuple[str, str] = ("prev", "next")) -> DataFrame:
+                   prefix: tuple[str, str] = ("prev", "next"), whole: Column | None = None) -> DataFrame:
     """Add ``prev1..prev{lags}`` / ``next1..next{leads}`` struct columns.
 
     ``prevj`` is the payload of the j-th row before this one in ``order`` within
     the same key (NULL if none), ``nextj`` the j-th row after.  ``order`` must
     be a total order per key and ``bucket`` must not decrease along it.
+    ``whole`` is true for rows whose key has a single bucket.
 
-    The bucket summaries (first ``leads`` / last ``lags`` rows per bucket) are
-    taken from the input with ``row_number() <= k``, which Spark cuts map-side
-    (partial WindowGroupLimit): their exchange carries at most k rows per
-    bucket and map task, and the full rows are shuffled exactly once.
+    A row among the first or last k = max(lags, leads) of its bucket may have
+    neighbours elsewhere; in the sequence of all such rows of a key they are
+    at the same distance, so a window over these rows alone (2k per bucket)
+    completes them.  All other rows are complete inside their bucket.
     """
     order_cols = _ordered(order)
     if bucket is None:
         return _plain_neighbors(df, keys, order_cols, payload, lags, leads, prefix)
-    # one struct key: NULL key values group (and join) together, as in a window
-    base = (df.withColumn("_nb_k", F.struct(*[F.col(k) for k in keys]))
-              .withColumn("_nb_b", bucket))
-    keys = ["_nb_k"]
-    w = Window.partitionBy(*keys, "_nb_b").orderBy(*order_cols)
+    k = max(lags, leads)
+    # one struct key: NULL key values group together, as in a window
+    base = df.withColumn("_nb_k", F.struct(*[F.col(c) for c in keys])).withColumn("_nb_b", bucket)
+    base = base.withColumn("_nb_w", F.lit(False) if whole is None else whole)
+    w = Window.partitionBy("_nb_k", "_nb_b").orderBy(*order_cols)
 
-    def shifted(fn, j):
+    def shifted(fn, j, over):
         # per-column lag/lead (a prebuilt struct would ride the shuffle twice);
-        # ``_nb_rn``/row presence tells a missing neighbour from NULL values
-        present = fn(F.lit(True), j).over(w)
-        return F.when(present, F.struct(*[fn(F.col(c), j).over(w).alias(c) for c in payload]))
-
-    extra = [F.row_number().over(w).alias("_nb_rn")] if lags else []
-    for j in range(1, lags + 1):
-        extra.append(shifted(F.lag, j).alias(f"_nb_lag{j}"))
-    for j in range(1, leads + 1):
-        extra.append(shifted(F.lead, j).alias(f"_nb_lead{j}"))
-    ranked = base.select("*", *extra)
-    base = base.withColumn("_nb_p", F.struct(*[F.col(c) for c in payload]))
-
-    ws = Window.partitionBy(*keys).orderBy("_nb_b")
-    summ = None
-    if leads:
-        head = (base.withColumn("_nb_r", F.row_number().over(w)).filter(F.col("_nb_r") <= leads)
-                    .groupBy(*keys, "_nb_b")
-                    .agg(F.sort_array(F.collect_list(F.struct("_nb_r", "_nb_p"))).alias("_nb_h")))
-        # every bucket holds >= 1 row, so the next `leads` buckets suffice
-        summ = head.select(*keys, "_nb_b", F.transform(
-            F.flatten(F.collect_list("_nb_h").over(ws.rowsBetween(1, leads))),
-            lambda x: x["_nb_p"]).alias("_nb_nh"))
-    if lags:
-        wd = Window.partitionBy(*keys, "_nb_b").orderBy(*[c.desc() for c in order_cols])
-        tail = (base.withColumn("_nb_r", F.row_number().over(wd)).filter(F.col("_nb_r") <= lags)
-                    .groupBy(*keys, "_nb_b")
-                    .agg(F.sort_array(F.collect_list(F.struct("_nb_r", "_nb_p")), asc=False).alias("_nb_tl")))
-        tl = tail.select(*keys, "_nb_b", F.transform(
-            F.flatten(F.collect_list("_nb_tl").over(ws.rowsBetween(-lags, -1))),
-            lambda x: x["_nb_p"]).alias("_nb_pt"))
-        summ = tl if summ is None else summ.join(tl, on=[*keys, "_nb_b"], how="full")
-
-    j = ranked.join(summ, on=[*keys, "_nb_b"], how="left")
-    out = []
-    for k in range(1, lags + 1):
-        out.append(F.coalesce(F.col(f"_nb_lag{k}"),
-                              F.when(F.col("_nb_rn") <= k,
-                                     F.try_element_at("_nb_pt", (F.col("_nb_rn") - F.lit(k) - 1).cast("int"))))
-                   .alias(f"{prefix[0]}{k}"))
-    if leads:
-        # rows after this one inside its bucket, capped at `leads`
-        after = sum((F.col(f"_nb_lead{k}").isNotNull().cast("int") for k in range(1, leads + 1)), F.lit(0))
-        for k in range(1, leads + 1):
-            out.append(F.coalesce(F.col(f"_nb_lead{k}"),
-                                  F.when(after < k, F.try_element_at("_nb_nh", (F.lit(k) - after).cast("int"))))
-                       .alias(f"{prefix[1]}{k}"))
-    return j.select(*df.columns, *out)
+        # row presence tells a missing neighbour from NULL values
+        present = fn(F.lit(True), j).over(over)
+        return F.when(present, F.struct(*[fn(F.col(c), j).over(over).alias(c) for c in payload]))
+
+    moves = [(F.lag, j, f"{prefix[0]}{j}") for j in range(1, lags + 1)]
+    moves += [(F.lead, j, f"{prefix[1]}{j}") for j in range(1, leads + 1)]
+    ranked = base.select("*", F.row_number().over(w).alias("_nb_rn"),
+                         F.lead(F.lit(True), k).over(w).isNull().alias("_nb_last"),
+                         *[shifted(fn, j, w).alias(name) for fn, j, name in moves])
+    edge = ~F.col("_nb_w") & ((F.col("_nb_rn") <= k) | F.col("_nb_last"))
+    inner = ranked.filter(~edge).select(*df.columns, *[m[2] for m in moves])
+    wk = Window.partitionBy("_nb_k").orderBy(*order_cols)
+    outer = ranked.filter(edge).select(*df.columns, *[
+        F.coalesce(F.col(name), shifted(fn, j, wk)).alias(name) for fn, j, name in moves])
+    return inner.unionByName(outer)
 
 
 def _plain_neighbors(df, keys, order_cols, payload, lags, leads, prefix):
@@ -110,6 +109,17 @@ def _plain_neighbors(df, keys, order_cols, payload, lags, leads, prefix):
     return df.select("*", *out)
 
 
+def balanced_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, pos: Column, width: int | None,
+                       payload: Sequence[str], lags: int = 0, leads: int = 0,
+                       target: int = TARGET_ROWS) -> DataFrame:
+    """``with_neighbors`` over ``balanced_buckets``; ``width=None`` is one plain window per key."""
+    if width is None:
+        return with_neighbors(df, keys, order, None, payload, lags, leads)
+    b = balanced_buckets(df, keys, pos, width, target, "_bb_b")
+    return with_neighbors(b, keys, order, F.col("_bb_b"), payload, lags, leads,
+                          whole=F.col("_bb_b") == 0).drop("_bb_b")
+
+
 def floor_div(c: Column, width: int) -> Column:
     """Exact integer floor division (also for negatives): the numerator is
     made an exact multiple of ``width`` before dividing."""
@@ -120,8 +130,3 @@ def floor_div(c: Column, width: int) -> Column:
 def time_bucket(t_us: Column, width_us: int) -> Column:
     """Bucket id of an epoch-microsecond column."""
     return floor_div(t_us, width_us)
-
-
-def seq_bucket(seq: Column, width: int) -> Column:
-    """Bucket id of a sequence number (arrival order)."""
-    return floor_div(seq, width)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import format_topn_report
 from ..operators.distinct import (unique_per_window, unique_per_window_approx,
@@ -23,9 +24,13 @@ from ..operators.rules import consecutive_events, daily_cap
 from ..operators.topn import top_n_per_window
 from ..operators.windows import marketing_counts, sliding_count, tumbling_count
 from ..functions.time import render_epoch_ms
+from ..sources.delimited import parse_delimited
+from ..sources.kafka import decode_records
 from ..sources.tables import table
 
 SIX_HOURS = "6 hours"
+EVENT_LINE = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()), T.StructField("event_time", T.LongType())])
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +92,9 @@ def events_total_60s_1s(spark, sf):
 
 
 def _marketing_input(spark, sf):
-    return _events(spark, sf).select("ts", F.lit("events").alias("channel"),
+    """A channel per row (the item's remainder by 6) and its behaviour."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    return _events(spark, sf).select("ts", F.concat(F.lit("ch"), F.pmod(k, F.lit(6)).cast("string")).alias("channel"),
                                      F.col("event_type").alias("behavior"))
 
 
@@ -167,24 +174,65 @@ def reconcile_tolerance(spark, sf):
                     F.col("pay.event_id").alias("pay_event_id"))
 
 
-def _reconciled(spark, sf):
+def _reconciled(spark, sf, wanted):
     """Each (user, day)'s latest signup against its latest purchase."""
     orders, pays = _daily(spark, sf)
-    r = reconcile(orders, pays, key=["user_id", "day"], orders_seq="event_id", pays_seq="event_id")
+    r = reconcile(orders, pays, key=["user_id", "day"], orders_seq="event_id", pays_seq="event_id", kinds=[wanted])
     return r.select("user_id", "day", "kind", F.col("order.event_id").alias("order_event_id"),
                     F.col("pay.event_id").alias("pay_event_id"))
 
 
 def reconcile_matched(spark, sf):
-    return _reconciled(spark, sf).filter(F.col("kind") == "matched")
+    return _reconciled(spark, sf, "matched")
 
 
 def reconcile_unmatched_left(spark, sf):
-    return _reconciled(spark, sf).filter(F.col("kind") == "unmatched_order")
+    return _reconciled(spark, sf, "unmatched_order")
 
 
 def reconcile_unmatched_right(spark, sf):
-    return _reconciled(spark, sf).filter(F.col("kind") == "unmatched_pay")
+    return _reconciled(spark, sf, "unmatched_pay")
+
+
+def parsed_events(spark, sf):
+    """Every event written as delimited text and parsed back (typed, extra trailing field)."""
+    ev = _events(spark, sf)
+    lines = ev.select(F.concat_ws("|", F.col("event_id"), F.col("user_id"), F.col("event_type"),
+                                  F.unix_micros(F.col("ts").cast("timestamp")), F.lit("extra")).alias("value"))
+    return parse_delimited(lines, EVENT_LINE, sep="|")
+
+
+def decoded_events(spark, sf):
+    """S3: the same records as binary key / value pairs, decoded like a topic's."""
+    ev = _events(spark, sf)
+    raw = ev.select(F.col("event_id").cast("string").cast("binary").alias("key"),
+                    F.concat_ws(",", "event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")))
+                     .cast("binary").alias("value"))
+    return decode_records(raw, EVENT_LINE).withColumn("key", F.col("key").cast("long"))
+
+
+def epoch_scaling(spark, sf):
+    """Times given in seconds, milliseconds and text seconds, counted per hour."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    sec, ms = (us / 1_000_000).cast("long"), (us / 1000).cast("long")
+    ev = _events(spark, sf).select(sec.alias("s"), ms.alias("ms"), sec.cast("string").alias("txt"))
+    parts = [tumbling_count(ev, "1 hour", ts=c, unit=u).select(F.lit(c).alias("unit"), "window_end", "cnt")
+             for c, u in (("s", "s"), ("ms", "ms"), ("txt", "s"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def login_alerts(spark, sf):
+    """F1 with its alert text."""
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    return consecutive_events(ev, "user_id", "event_type", "error", SIX_HOURS, seq="event_id",
+                              carry=["event_id"]).select("event_id", "msg")
+
+
+def unique_visitors_approx_error(spark, sf):
+    """A6 against A4: per window, whether the sketch is within 4 standard errors."""
+    approx, exact = unique_visitors_approx(spark, sf), unique_visitors_hourly(spark, sf).withColumnRenamed("uv", "n")
+    return approx.join(exact, "window_end").select(
+        "window_end", (F.abs(F.col("uv") - F.col("n")) <= F.greatest(F.lit(1.0), F.col("n") * 4 * 0.05)).alias("within"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -211,4 +259,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reconcile_matched": reconcile_matched,
     "reconcile_unmatched_left": reconcile_unmatched_left,
     "reconcile_unmatched_right": reconcile_unmatched_right,
+    "parsed_events": parsed_events,
+    "decoded_events": decoded_events,
+    "epoch_scaling": epoch_scaling,
+    "login_alerts": login_alerts,
+    "unique_visitors_approx_error": unique_visitors_approx_error,
 }

@@ -9,6 +9,7 @@ create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,15 +46,15 @@ def get_session(master: str | None = None, app_name: str = "tidemark",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """The shared checkpoint folder, asked for by jobs that need one; a local one
+    is made only where the setting is absent and the master is this process."""
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
