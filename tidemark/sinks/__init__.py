@@ -7,20 +7,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_location
-
 
 def kafka_sink(df: DataFrame, servers: str, topic: str, value: str = "value",
                key: str | None = None, checkpoint: str | None = None):
-    """Write one text record per row to ``topic`` (batch: a job; stream: a query)."""
+    """Write one text record per row to ``topic`` (batch: a job; stream: a query,
+    which needs a named checkpoint to go on after a restart without gaps)."""
     cols = [F.col(value).cast("string").alias("value")]
     if key:
         cols.insert(0, F.col(key).cast("string").alias("key"))
     out = df.select(*cols)
     if df.isStreaming:
+        if not checkpoint:
+            raise ValueError("a stream into a topic needs a named checkpoint")
         return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
                    .option("topic", topic)
-                   .option("checkpointLocation", checkpoint or checkpoint_location(df.sparkSession, topic))
+                   .option("checkpointLocation", checkpoint)
                    .start())
     out.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
     return None
@@ -45,27 +46,43 @@ def foreach_kind(writers: dict[str, Callable[[DataFrame, int], None]], kind: str
     return run
 
 
-def upsert_batch(path: str, keys: Sequence[str]):
+def upsert_batch(path: str, keys: Sequence[str], run: int = 0, order: str | None = None):
     """``foreachBatch`` function that appends each micro-batch as
-    ``<path>/batch_id=<epoch>`` (overwritten on retry: idempotent).  The
-    current value per key is the row of the highest batch - see ``read_upserted``."""
-    def run(batch: DataFrame, epoch: int) -> None:
-        (batch.dropDuplicates(list(keys)).write.mode("overwrite")
-              .parquet(f"{path.rstrip('/')}/batch_id={epoch}"))
-    return run
-
-
-def upsert_sink(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str | None = None,
-                output_mode: str = "update"):
-    """S6 as a streaming query: keyed upsert of ``df`` into ``path``."""
-    return (df.writeStream.outputMode(output_mode)
-              .option("checkpointLocation", checkpoint or checkpoint_location(df.sparkSession, "upsert"))
-              .foreachBatch(upsert_batch(path, keys)).start())
+    ``<path>/run=<run>/batch_id=<epoch>`` (overwritten on retry: idempotent).
+
+    ``run`` numbers the query's checkpoint: a query that goes on from its
+    checkpoint keeps it (its epochs go on too); one that starts over with a new
+    checkpoint takes the next number, so its values are the newer ones.  Of
+    several rows of a key in a batch the one with the largest ``order`` stays
+    (without ``order`` a key must occur once per batch).
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        rows = batch
+        if order is not None:
+            vals = [c for c in batch.columns if c not in keys]
+            rows = (batch.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col(order)).alias("_v"))
+                         .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals]))
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/batch_id={epoch}")
+    return write
+
+
+def upsert_sink(df: DataFrame, keys: Sequence[str], path: str, checkpoint: str,
+                output_mode: str = "update", run: int = 0, order: str | None = None):
+    """S6 as a streaming query: keyed upsert of ``df`` into ``path``.  The
+    checkpoint must be named: a restarted query has to find it again."""
+    return (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+              .foreachBatch(upsert_batch(path, keys, run, order)).start())
 
 
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Latest value per key over all batches (max_by: partial aggregation)."""
-    log = spark.read.parquet(path)
-    vals = [c for c in log.columns if c not in keys and c != "batch_id"]
-    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col("batch_id")).alias("_v"))
+    """Latest value per key over all runs and batches (max_by: partial aggregation)."""
+    log = spark.read.option("basePath", path).parquet(path)
+    vals = [c for c in log.columns if c not in [*keys, "run", "batch_id"]]
+    latest = log.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.struct("run", "batch_id")).alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+
+
+def compact_upserted(spark: SparkSession, path: str, keys: Sequence[str], out: str, run: int) -> None:
+    """Write the current value of every key as one batch (epoch 0 of ``run``, above all
+    runs so far) of a new log ``out``; the sink then goes on there with a higher run."""
+    read_upserted(spark, path, keys).write.mode("overwrite").parquet(f"{out.rstrip('/')}/run={run}/batch_id=0")

@@ -13,6 +13,7 @@ Input frames carry ``_t`` (event time, epoch microseconds) and ``_seq``
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -22,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.text import CAP_WARNING, LOGIN_ALERT_SUFFIX
 from ..functions.time import epoch_micros, parse_duration
+from ..plans.ordered import floor_div
 
 DAY_MS = 86_400_000
 
@@ -52,13 +54,14 @@ def _emit(r: Row, cols: Sequence[str], **extra) -> Row:
 class DailyCapProcessor(StatefulProcessor):
     """Rows 1..max+1 of a key per day pass, row max+2 warns once, the rest drop.
 
-    ``day_mode='event'`` resets on the row's UTC day (an event-time timer at
-    the day's end only frees the state); ``'processing'`` resets at the next
-    UTC midnight of the wall clock, as the reference does.
+    ``day_mode='event'``: one state per (key, UTC day of the row), so rows of
+    neighbouring days may mix in any order; it is cleared when the watermark
+    passes the day.  ``'processing'``: one state per key, reset at the next UTC
+    midnight of the wall clock, as the reference does.
     """
 
-    def __init__(self, cols: Sequence[str], max_count: int, day_mode: str = "event"):
-        self.cols, self.max_count, self.day_mode = list(cols), max_count, day_mode
+    def __init__(self, cols: Sequence[str], max_count: int, day_mode: str = "event", order: str = "event"):
+        self.cols, self.max_count, self.day_mode, self.order = list(cols), max_count, day_mode, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -67,14 +70,11 @@ class DailyCapProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         day, cnt, warned = self.state.get() if self.state.exists() else (None, 0, False)
         msg = CAP_WARNING.format(max=self.max_count)
-        for r in sorted(rows, key=lambda r: (r["_t"], r["_seq"])):
-            rday = r["_t"] // (DAY_MS * 1000)
-            if self.day_mode == "event" and rday != day:
-                day, cnt, warned = rday, 0, False
-                self.handle.registerTimer((rday + 1) * DAY_MS)
-            elif self.day_mode == "processing" and day is None:
+        by = (lambda r: r["_seq"]) if self.order == "arrival" else (lambda r: (r["_t"], r["_seq"]))
+        for r in sorted(rows, key=by):
+            if day is None:
                 now = int(timerValues.getCurrentProcessingTimeInMs())
-                day, cnt, warned = now // DAY_MS, 0, False
+                day = key[-1] if self.day_mode == "event" else now // DAY_MS
                 self.handle.registerTimer((day + 1) * DAY_MS)
             if cnt > self.max_count:
                 if not warned:
@@ -95,13 +95,23 @@ class DailyCapProcessor(StatefulProcessor):
 
 
 def stream_daily_cap(df: DataFrame, keys: Sequence[str], max_count: int = 100,
-                     day_mode: str = "event") -> DataFrame:
-    """Run R1 on a ``prepare``d stream; columns = input + kind + msg."""
+                     day_mode: str = "event", order: str = "event", event_time: str | None = None) -> DataFrame:
+    """Run R1 on a ``prepare``d stream; columns = input + kind + msg.
+
+    ``order`` sorts the rows of a micro-batch: by (time, seq), or ``'arrival'``
+    by ``seq``, which equals the batch operator's arrival order however the
+    stream is cut.  ``event_time`` names the watermarked column, so that
+    event-time operators may follow (``stream_sliding_count(chained=True)``).
+    """
     fields = _user_fields(df.schema)
     schema = T.StructType(fields + [T.StructField("kind", T.StringType()), T.StructField("msg", T.StringType())])
+    by = list(keys)
+    if day_mode == "event":
+        df = df.withColumn("_day", floor_div(F.col("_t"), DAY_MS * 1000))
+        by.append("_day")
     mode = "EventTime" if day_mode == "event" else "ProcessingTime"
-    return df.groupBy(*keys).transformWithState(
-        DailyCapProcessor([f.name for f in fields], max_count, day_mode), schema, "Append", mode)
+    proc = DailyCapProcessor([f.name for f in fields], max_count, day_mode, order)
+    return df.groupBy(*by).transformWithState(proc, schema, "Append", mode, eventTimeColumnName=event_time or "")
 
 
 # --------------------------------------------------------------------------- F1
@@ -144,41 +154,53 @@ def stream_consecutive_events(df: DataFrame, key: str, type_col: str = "event_ty
 
 
 # --------------------------------------------------------------------------- F2/F3
+def _kept_schema(fields, extra: str) -> T.StructType:
+    """State rows: bookkeeping columns, then the user's."""
+    return T.StructType(T._parse_datatype_string(extra).fields + [T.StructField(f.name, f.dataType) for f in fields])
+
+
 class SequenceProcessor(StatefulProcessor):
     """strict-contiguity pattern per key in event-time order.
 
-    Rows wait in a list until the watermark passes ``start + within``; then
-    every row the start's outcome depends on has arrived, and the start is
-    judged exactly like the batch ``match_sequence``.  Only rows from the
-    earliest undecided start on are kept.
+    A start waits until the watermark passes ``start + within``; then every row
+    its outcome depends on has arrived, and it is judged exactly like the batch
+    ``match_sequence``.  Kept are the rows from the earliest open start on and,
+    while none is open, rows the watermark has not passed (an earlier start may
+    still come); a timer per row frees both, so idle keys hold nothing.
     """
 
-    def __init__(self, type_col: str, steps: Sequence[str], within_us: int, emit: Sequence[str]):
-        self.type_col, self.steps, self.w, self.emit = type_col, list(steps), within_us, set(emit)
+    def __init__(self, fields, key: str, type_col: str, steps: Sequence[str], within_us: int, emit: Sequence[str],
+                 carry: Sequence[str]):
+        self.key, self.type_col, self.steps = key, type_col, list(steps)
+        self.w, self.emit, self.carry = within_us, set(emit), list(carry)
+        self.cols = [f.name for f in fields]
+        self.schema = _kept_schema(fields, "_kt long, _ks long")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", "t long, seq long, typ string")
+        self.buf = handle.getListState("buf", self.schema)
+        self.typ, self.own = 2 + self.cols.index(self.type_col), 2 + self.cols.index(self.key)
 
     def _load(self):
-        return sorted(self.buf.get(), key=lambda x: (x[0], x[1])) if self.buf.exists() else []
+        return sorted((tuple(x) for x in self.buf.get()), key=lambda x: x[:2]) if self.buf.exists() else []
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        buf = self._load()
         for r in rows:
-            buf.append((r["_t"], r["_seq"], r[self.type_col]))
-            if r[self.type_col] == self.steps[0]:
-                self.handle.registerTimer(-(-(r["_t"] + self.w) // 1000))
-        buf.sort(key=lambda x: (x[0], x[1]))
-        self.buf.put(buf)
+            t = r["_t"]
+            self.buf.appendValue((t, r["_seq"], *(r[c] for c in self.cols)))
+            start = r[self.type_col] == self.steps[0]
+            self.handle.registerTimer(-(-(t + self.w) // 1000) if start else t // 1000 + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = _wm_us(timerValues)
+        if not self.buf.exists():  # an earlier timer of this batch settled all
+            return iter([])
         buf = self._load()
         out, keep_from = [], None
-        for i, (t, seq, typ) in enumerate(buf):
-            if typ != self.steps[0]:
+        for i, row in enumerate(buf):
+            t, seq = row[:2]
+            if row[self.typ] != self.steps[0]:
                 continue
             if t + self.w > wm:
                 keep_from = i if keep_from is None else keep_from
@@ -189,71 +211,101 @@ class SequenceProcessor(StatefulProcessor):
                 if nx is None or nx[0] - t >= self.w:
                     kind = "timeout"
                     break
-                if nx[2] != self.steps[step]:
+                if nx[self.typ] != self.steps[step]:
                     kind = "broken"
                     break
             if kind in self.emit:
-                last = buf[i + len(self.steps) - 1] if kind == "match" else None
-                out.append(Row(key=str(key[0]), kind=kind, start_t=t, start_seq=seq,
-                               end_seq=None if last is None else last[1]))
+                steps = buf[i:i + len(self.steps)] if kind == "match" else [row]
+                d = {self.key: row[self.own], "kind": kind, "start_t": t, "start_seq": seq,
+                     "end_seq": steps[-1][1] if kind == "match" else None}
+                for n in range(len(self.steps)):
+                    for c in self.carry:
+                        d[f"{c}_{n}"] = steps[n][2 + self.cols.index(c)] if n < len(steps) else None
+                out.append(Row(**d))
+        left = buf[keep_from:] if keep_from is not None else [x for x in buf if x[0] > wm]
         self.buf.clear()
-        if keep_from is not None:
-            self.buf.put(buf[keep_from:])
+        if left:
+            self.buf.put(left)
         return iter(out)
 
     def close(self) -> None:
         pass
 
 
-SEQUENCE_SCHEMA = "key string, kind string, start_t long, start_seq long, end_seq long"
-
-
 def stream_match_sequence(df: DataFrame, key: str, steps: Sequence[str], within,
-                          type_col: str = "event_type", emit=("match",)) -> DataFrame:
-    proc = SequenceProcessor(type_col, steps, parse_duration(within), emit)
-    return df.groupBy(key).transformWithState(proc, SEQUENCE_SCHEMA, "Append", "EventTime")
+                          type_col: str = "event_type", emit=("match",), carry: Sequence[str] | None = None) -> DataFrame:
+    """F2/F3 on a ``prepare``d stream: the key (its own type), kind, start_t,
+    start_seq, end_seq, and ``<c>_<i>`` for each carried column of step i
+    (default: every input column but the key)."""
+    fields = _user_fields(df.schema)
+    carry = [f.name for f in fields if f.name != key] if carry is None else list(carry)
+    types = {f.name: f.dataType for f in fields}
+    schema = T.StructType([T.StructField(key, types[key])]
+                          + T._parse_datatype_string("kind string, start_t long, start_seq long, end_seq long").fields
+                          + [T.StructField(f"{c}_{i}", types[c]) for i in range(len(steps)) for c in carry])
+    proc = SequenceProcessor(fields, key, type_col, steps, parse_duration(within), emit, carry)
+    return df.groupBy(key).transformWithState(proc, schema, "Append", "EventTime")
 
 
 # --------------------------------------------------------------------------- F4
 class OrderTimeoutProcessor(StatefulProcessor):
     """F4 contract: alert start c unless another start lies in [c-limit, c) or
-    a non-start in [c, c+limit]; judged once the watermark passes c+limit."""
+    a non-start in [c, c+limit]; judged once the watermark passes c+limit.
 
-    def __init__(self, type_col: str, start: str, limit_us: int):
+    Other rows are kept as times only, while an open or possible start may need
+    them; every kept row has a timer, so idle keys hold nothing.
+    """
+
+    def __init__(self, fields, type_col: str, start: str, limit_us: int):
         self.type_col, self.start, self.lim = type_col, start, limit_us
+        self.cols = [f.name for f in fields]
+        self.schema = _kept_schema(fields, "_kt long, _ks long, _kd boolean")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", "t long, seq long, st boolean, done boolean")
+        self.starts = handle.getListState("starts", self.schema)
+        self.others = handle.getListState("others", "t long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        buf = list(self.buf.get()) if self.buf.exists() else []
         for r in rows:
-            st = r[self.type_col] == self.start
-            buf.append((r["_t"], r["_seq"], st, False))
-            if st:
-                self.handle.registerTimer((r["_t"] + self.lim) // 1000 + 1)
-        self.buf.put(buf)
+            t = r["_t"]
+            if r[self.type_col] == self.start:
+                self.starts.appendValue((t, r["_seq"], False, *(r[c] for c in self.cols)))
+                self.handle.registerTimer((t + self.lim) // 1000 + 1)
+            else:
+                self.others.appendValue((t,))
+                self.handle.registerTimer(t // 1000 + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = _wm_us(timerValues)
-        buf = list(self.buf.get()) if self.buf.exists() else []
-        out, nbuf = [], []
-        for t, seq, st, done in buf:
-            if st and not done and t + self.lim < wm:
-                a = any(s[2] and t - self.lim <= s[0] < t for s in buf)
-                b = any((not o[2]) and t <= o[0] <= t + self.lim for o in buf)
-                if not a and not b:
-                    out.append(Row(key=str(key[0]), start_t=t, start_seq=seq))
-                done = True
-            nbuf.append((t, seq, st, done))
-        pending = [x[0] for x in nbuf if x[2] and not x[3]]
-        horizon = (min(pending) if pending else wm) - self.lim
-        self.buf.clear()
-        kept = [x for x in nbuf if x[0] >= horizon]
-        if kept:
-            self.buf.put(kept)
+        starts = sorted((tuple(x) for x in self.starts.get()), key=lambda x: x[:2]) if self.starts.exists() else []
+        others = sorted(x[0] for x in self.others.get()) if self.others.exists() else []
+        times = [x[0] for x in starts]
+        out, after = [], []
+        for row in starts:
+            t, seq, done = row[:3]
+            if not done and t + self.lim < wm:
+                i, j = bisect_left(times, t), bisect_left(others, t)
+                absorbed = i > 0 and times[i - 1] >= t - self.lim
+                answered = j < len(others) and others[j] <= t + self.lim
+                if not absorbed and not answered:
+                    out.append(Row(**dict(zip(self.cols, row[3:])), start_t=t, start_seq=seq))
+                row = (t, seq, True, *row[3:])
+            after.append(row)
+        first = min([x[0] for x in after if not x[2]] + [wm])  # open starts and those that may come
+        left = [x for x in after if not x[2] or x[0] >= first - self.lim]
+        # a judged start matters no longer than limit: free it by a timer of its own
+        for x in left:
+            if x[2]:
+                self.handle.registerTimer((max(x[0] + self.lim, wm) // 1000) + 1)
+        self.starts.clear()
+        if left:
+            self.starts.put(left)
+        later = [(t,) for t in others if t >= first]
+        self.others.clear()
+        if later:
+            self.others.put(later)
         return iter(out)
 
     def close(self) -> None:
@@ -262,17 +314,21 @@ class OrderTimeoutProcessor(StatefulProcessor):
 
 def stream_order_timeout(df: DataFrame, key: str, type_col: str = "event_type", start: str = "create",
                          limit="15 minutes") -> DataFrame:
-    proc = OrderTimeoutProcessor(type_col, start, parse_duration(limit))
-    return df.groupBy(key).transformWithState(proc, "key string, start_t long, start_seq long",
-                                              "Append", "EventTime")
+    """F4 on a ``prepare``d stream: the alerted input rows with start_t, start_seq."""
+    fields = _user_fields(df.schema)
+    proc = OrderTimeoutProcessor(fields, type_col, start, parse_duration(limit))
+    schema = T.StructType(fields + T._parse_datatype_string("start_t long, start_seq long").fields)
+    return df.groupBy(key).transformWithState(proc, schema, "Append", "EventTime")
 
 
 # --------------------------------------------------------------------------- J1
 class ReconcileProcessor(StatefulProcessor):
-    """Each side keeps its latest unmatched row; the other side's arrival
-    emits the pair; a row still alone ``wait`` after its event time is
-    reported unmatched.  Input rows carry ``_side`` ('order'/'pay') and a
-    ``detail`` text of the original row."""
+    """Each side keeps its latest unmatched row.  A row of the other side at
+    most ``wait`` away in event time makes the pair; if it is further away the
+    earlier of the two has expired and is reported, the later one stays.  A row
+    still alone when the watermark passes its time + ``wait`` is reported.
+    Event times decide, so the answer does not depend on how rows are batched.
+    Input rows carry ``_side`` ('order'/'pay') and a ``detail`` text."""
 
     def __init__(self, wait_us: int):
         self.wait = wait_us
@@ -283,34 +339,48 @@ class ReconcileProcessor(StatefulProcessor):
         self.pay = handle.getValueState("pay", "t long, detail string, timer long")
 
     def _timer(self, t: int) -> int:
-        return -(-(t + self.wait) // 1000)
+        return (t + self.wait) // 1000 + 1
+
+    def _alone(self, key, side: str, detail: str) -> Row:
+        order = side == "order"
+        return Row(key=key, kind=f"unmatched_{side}", order_detail=detail if order else None,
+                   pay_detail=None if order else detail)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        k = str(key[0])
+        k = key[0]
         for r in sorted(rows, key=lambda r: (r["_t"], r["_side"] == "pay", r["_seq"])):
-            mine, other = (self.order, self.pay) if r["_side"] == "order" else (self.pay, self.order)
+            side, t = r["_side"], r["_t"]
+            far = "pay" if side == "order" else "order"
+            mine, other = (self.order, self.pay) if side == "order" else (self.pay, self.order)
             if other.exists():
                 o = other.get()
+                if abs(o[0] - t) <= self.wait:
+                    self.handle.deleteTimer(o[2])
+                    other.clear()
+                    od, pd = (r["detail"], o[1]) if side == "order" else (o[1], r["detail"])
+                    yield Row(key=k, kind="matched", order_detail=od, pay_detail=pd)
+                    continue
+                if t < o[0]:
+                    yield self._alone(k, side, r["detail"])
+                    continue
                 self.handle.deleteTimer(o[2])
                 other.clear()
-                od, pd = (r["detail"], o[1]) if r["_side"] == "order" else (o[1], r["detail"])
-                yield Row(key=k, kind="matched", order_detail=od, pay_detail=pd)
-            else:
-                if mine.exists():
-                    self.handle.deleteTimer(mine.get()[2])
-                tm = self._timer(r["_t"])
-                mine.update((r["_t"], r["detail"], tm))
-                self.handle.registerTimer(tm)
+                yield self._alone(k, far, o[1])
+            if mine.exists():
+                m = mine.get()
+                if m[0] > t:
+                    continue  # a later row of this side already waits
+                self.handle.deleteTimer(m[2])
+            tm = self._timer(t)
+            mine.update((t, r["detail"], tm))
+            self.handle.registerTimer(tm)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        k = str(key[0])
-        out = []
-        if self.order.exists():
-            out.append(Row(key=k, kind="unmatched_order", order_detail=self.order.get()[1], pay_detail=None))
-            self.order.clear()
-        if self.pay.exists():
-            out.append(Row(key=k, kind="unmatched_pay", order_detail=None, pay_detail=self.pay.get()[1]))
-            self.pay.clear()
+        now, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        for side, state in (("order", self.order), ("pay", self.pay)):
+            if state.exists() and state.get()[2] <= now:
+                out.append(self._alone(key[0], side, state.get()[1]))
+                state.clear()
         return iter(out)
 
     def close(self) -> None:

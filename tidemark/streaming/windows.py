@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import hash61
 from ..functions.time import epoch_micros, floor_to, parse_duration, render_epoch_ms
 from ..operators.topn import top_n_per_window
 
@@ -39,10 +40,20 @@ def _with_window_ends(df: DataFrame, size, slide, ts: str, lateness) -> DataFram
 
 
 def stream_sliding_count(df: DataFrame, keys, size, slide, ts: str = "ts", lateness=0,
-                         out: str = "cnt", with_start: bool = False) -> DataFrame:
-    """A2 on a stream; same columns as the batch ``sliding_count``."""
+                         out: str = "cnt", with_start: bool = False, chained: bool = False) -> DataFrame:
+    """A2 on a stream; same columns as the batch ``sliding_count``.
+
+    ``chained``: the input comes from a stateful operator that keeps the
+    watermark on ``ts`` (a stream takes no second one), which then also closes
+    the windows; ``lateness`` is that watermark's delay.
+    """
     keys = _keys(keys)
     z = parse_duration(size)
+    if chained:
+        w = F.window(F.col(ts), f"{z} microseconds", f"{parse_duration(slide)} microseconds")
+        agg = df.groupBy(*keys, w.alias("_w")).agg(F.count(F.lit(1)).alias(out))
+        cols = [*keys] + ([F.unix_millis("_w.start").alias("window_start")] if with_start else [])
+        return agg.select(*cols, F.unix_millis("_w.end").alias("window_end"), out)
     agg = _with_window_ends(df, size, slide, ts, lateness).groupBy(*keys, "_we").agg(
         F.count(F.lit(1)).alias(out))
     cols = [*keys]
@@ -60,13 +71,30 @@ def stream_tumbling_count(df: DataFrame, size, keys=None, ts: str = "ts", latene
 def stream_unique_per_window(df: DataFrame, user: str = "user_id", size="1 hour", ts: str = "ts",
                              lateness=0, out: str = "uv") -> DataFrame:
     """A4 on a stream: ``countDistinct`` is not allowed on streams, so dedup
-    (window, user) with watermark-bounded state, then count per window."""
+    (window, user) with watermark-bounded state, then count per window.  NULL
+    users are no visitors, as in the batch form."""
     w = _with_window_ends(df, size, size, ts, lateness)
     pairs = w.dropDuplicates(["_we", user])
-    return pairs.groupBy("_we").agg(F.count(F.lit(1)).alias(out)).select(
+    return pairs.groupBy("_we").agg(F.count(F.col(user)).alias(out)).select(
         F.unix_millis("_we").alias("window_end"), out)
 
 
+def stream_unique_bitmap(df: DataFrame, user: str = "user_id", size="1 hour", ts: str = "ts",
+                         lateness=0, out: str = "uv") -> DataFrame:
+    """A5 on a stream: per (window, bitmap bucket) the bits set so far.  In update
+    mode each micro-batch refines the buckets it touches (T6); upsert them by
+    (window_end, bucket) and add them up with ``unique_from_buckets``."""
+    w = _with_window_ends(df, size, size, ts, lateness).withColumn("_h", hash61(F.col(user)))
+    agg = w.groupBy("_we", F.bitmap_bucket_number("_h").alias("bucket")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("_h"))).cast("long").alias(out))
+    return agg.select(F.unix_millis("_we").alias("window_end"), "bucket", out)
+
+
+def unique_from_buckets(buckets: DataFrame, out: str = "uv") -> DataFrame:
+    """Visitors per window from the current bucket counts."""
+    return buckets.groupBy("window_end").agg(F.sum(out).cast("long").alias(out))
+
+
 def stream_unique_approx(df: DataFrame, user: str = "user_id", size="1 hour", ts: str = "ts",
                          lateness=0, rsd: float = 0.05, out: str = "uv") -> DataFrame:
     """A6 on a stream (HLL buffers in the state store)."""
