@@ -15,12 +15,16 @@ from ..session import ensure_checkpoint_dir
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver found it
-    (a path that a worker does not have is ignored)."""
+    """Ready the session for Python work on texts: workers find this package where
+    the driver found it (a path that a worker does not have is ignored), and
+    Arrow batches are cut small, since one text may have megabytes."""
+    if int(spark.conf.get(_BATCH)) > 512:
+        spark.conf.set(_BATCH, "512")
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:

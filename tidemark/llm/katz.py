@@ -14,21 +14,25 @@ d_c is the Good-Turing discount of counts up to ``KNOWN``, separately for words
 and pairs, from the counts of counts of all training texts.
 
 How it runs.  Each task turns its texts into the n-grams (none, w) and (v, w),
-grouped: per bucket (hash of the n-gram) one packed blob of the different
-n-grams, their training counts, and which texts hold them how often.  The
-blobs are shuffled once.  Per bucket the counts are added up and become the
-tables of words and pairs, which Spark joins into per-n-gram values; the
-values go to the same buckets, where the n-grams of the same (already
-shuffled) blobs look them up, and each text gets the sum of its values:
+grouped: per bucket one packed blob of the different n-grams, their training
+counts, and which texts hold them how often.  A word's own count and all pairs
+it begins share a bucket (hash of the word).  The blobs are shuffled once.  Per
+bucket the counts are added up: the tables of words and pairs.  Spark joins the
+kept pairs with the counts of their second words and sends them back to their
+buckets, where a context's sums, its backoff weight and the n-grams' values are
+local; the n-grams of the same (already shuffled) blobs look them up, and each
+text gets the sum of its values:
 
   log P(text) = a(start) + sum over tokens (log a(token) + log P(token))
               + sum over kept pairs (log P(w | v) - log a(v) - log P(w)).
 
 Words are told apart by 64-bit hashes.  The ``COMMON`` most frequent words of a
-bounded sample get short numbers instead (smaller blobs, nothing else), and
-n-grams of the first ``HOT`` of them are dealt over ``SALTS`` buckets, so no
-bucket holds all texts of a hot pair.  Nothing of the corpus passes the driver
-but counts of counts and totals.
+sample get short numbers instead (smaller blobs, nothing else).  The start and
+the first ``HOT`` of them are dealt over ``SALTS`` buckets: pairs by their
+second word, the words themselves and pairs of the first ``TOP`` by chunk, so
+that no bucket holds a hot context or all texts of a hot pair; the sums of
+these contexts (at most HOT rows) are added up by Spark and broadcast.  Nothing
+else of the corpus passes the driver but counts of counts and totals.
 
 Defined results: null is the empty text (one token, the end); equal texts have
 equal scores and count as often as they occur; without training texts every
@@ -52,11 +56,12 @@ from .common import crc_mod, documents, prepare, shuffle_width, staged
 HELD_OUT = (5, 1)
 MIN_PAIR = 2
 KNOWN = 5
-COMMON = 65_000
-SAMPLE = 4096
-HOT = 128
-SALTS = 16
-CHUNK_TOKENS = 2_500_000
+COMMON = 200_000
+SAMPLE = 8192
+HOT = 1024
+TOP = 64
+SALTS = 32
+CHUNK_TOKENS = 1_500_000
 NONE, START, END = 0, 1, 2  # reserved token numbers
 _MARK = np.uint64(1 << 63)
 
@@ -80,9 +85,18 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-def is_hot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    top = np.uint64(END + HOT)
-    return (a <= top) & (b <= top)
+def is_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """N-grams whose texts are dealt by chunk, so that counts meet only in Spark."""
+    hot, top = np.uint64(END + HOT), np.uint64(END + TOP)
+    return np.where(a == NONE, b <= hot, (a <= top) & (b <= top))
+
+
+def places(a: np.ndarray, b: np.ndarray, chunk_salt: int, buckets: int) -> np.ndarray:
+    """Bucket of each n-gram; ``chunk_salt`` counts only where ``is_shared``."""
+    word = np.where(a == NONE, b, a)
+    salt = np.where(word <= np.uint64(END + HOT), mixed(b, b) % np.uint64(SALTS), np.uint64(0))
+    salt = np.where(is_shared(a, b), np.uint64(chunk_salt), salt)
+    return (mixed(word, salt) % np.uint64(buckets)).astype(np.int32)
 
 
 def pack(*columns: np.ndarray) -> bytes:
@@ -140,7 +154,7 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
     """(bucket, kind, blob) of one chunk.  ``texts``: text -> [training copies]."""
     keys = np.array([hash_of(t) for t in texts], np.uint64)
     copies = np.array([v[0] for v in texts.values()], np.int64)
-    rows = [numbering.numbers(t.lower().split()) for t in texts]
+    rows = [np.array(numbering.numbers(t.lower().split()), np.uint64) for t in texts]
     sizes = np.array([len(r) for r in rows], np.int64)
     chunk = int(np.bitwise_xor.reduce(mixed(keys, np.arange(len(keys), dtype=np.uint64)))) >> 1
     doc = np.repeat(np.arange(len(rows), dtype=np.uint16), sizes + 1)
@@ -148,17 +162,15 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
     ends = np.cumsum(sizes + 1) - 1
     body = np.ones(len(flat), bool)
     body[ends] = False
-    flat[body] = np.fromiter((x for r in rows for x in r), np.uint64, int(sizes.sum()))
+    flat[body] = np.concatenate(rows)
+    del rows, body
     before = np.empty_like(flat)
     before[1:] = flat[:-1]
     before[0] = START
     before[ends[:-1] + 1] = START
-    del rows
     yield chunk % buckets, 1, pack(np.array([chunk], np.int64), keys, (sizes + 1).astype(np.uint32))
     for a in (np.full(len(flat), NONE, np.uint64), before):
-        h = mixed(a, flat)
-        salt = np.where(is_hot(a, flat), np.uint64(chunk % SALTS), np.uint64(0))
-        place = (mixed(h, salt) % np.uint64(buckets)).astype(np.uint32)
+        place = places(a, flat, chunk % SALTS, buckets)
         order = np.lexsort((flat, a, place))
         a_, b_, d_, p_ = a[order], flat[order], doc[order], place[order]
         new = np.ones(len(order), bool)
@@ -221,7 +233,7 @@ def _same(bucket):
 
 def _count_bucket(part):
     """Training counts of the bucket's n-grams: words, pairs from MIN_PAIR on
-    (hot pairs always), and the number of other pairs by count."""
+    (shared n-grams always), and the number of other pairs counted once."""
     grams = [unpack(v[1], GRAMS)[1:4] for _, v in part if v[0] == 0]
     if not grams:
         return
@@ -237,39 +249,43 @@ def _count_bucket(part):
         return
     c = np.add.reduceat(c, at)
     a, b = a[at], b[at]
-    rare = (a != NONE) & (c < MIN_PAIR) & ~is_hot(a, b)
+    shared = is_shared(a, b)
+    rare = (a != NONE) & (c < MIN_PAIR) & ~shared
     singles = int((c[rare] == 1).sum())
-    yield (pack(a[~rare], b[~rare], c[~rare], np.array([singles], np.int64)),)
+    yield (pack(a[~rare], b[~rare], c[~rare], shared[~rare].astype(np.int8), np.array([singles], np.int64)),)
 
 
 def _unpack_counts(batches):
     for batch in batches:
         for blob in batch.column(0).to_pylist():
-            a, b, c, singles = unpack(blob, "<u8 <u8 <i8 <i8")
+            a, b, c, shared, singles = unpack(blob, "<u8 <u8 <i8 <i1 <i8")
             a = np.append(a, np.uint64(END)).view(np.int64)  # (END, NONE): the pairs seen once and left out
             b = np.append(b, np.uint64(NONE)).view(np.int64)
             c = np.append(c, singles)
+            shared = np.append(shared, 1).astype(bool)
             for i in range(0, len(a), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 50_000]) for x in (a, b, c)], names=["a", "b", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 50_000]) for x in (a, b, c, shared)],
+                                                 names=["a", "b", "c", "shared"])
 
 
 def _pack_values(buckets: int):
-    """Values by bucket; those of hot n-grams go to the buckets of all salts."""
+    """Counted n-grams (a, b, c, cb) by bucket; shared ones go to the buckets of all salts."""
     def run(batches):
         for batch in batches:
-            a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            v = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
-            h, hot = mixed(a, b), is_hot(a, b)
-            idx, place = [], []
-            for s in range(SALTS):
-                own = np.flatnonzero(hot if s else np.ones(len(a), bool))
-                idx.append(own)
-                place.append((mixed(h[own], np.full(len(own), s, np.uint64)) % np.uint64(buckets)).astype(np.int32))
+            if not batch.num_rows:
+                continue
+            a, b = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for i in (0, 1))
+            c, cb = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
+            more = np.flatnonzero(is_shared(a, b))
+            idx, place = [np.arange(len(a))], [places(a, b, 0, buckets)]
+            for salt in range(1, SALTS):
+                idx.append(more)
+                place.append(places(a[more], b[more], salt, buckets))
             idx, place = np.concatenate(idx), np.concatenate(place)
-            order = np.argsort(place, kind="stable")
-            idx, place = idx[order], place[order]
+            pair = np.unique(place.astype(np.int64) * len(a) + idx)  # a bucket gets an n-gram once
+            idx, place = pair % len(a), pair // len(a)
             edge = np.searchsorted(place, np.arange(buckets + 1))
-            out = [(k, pack(a[i], b[i], v[0][i].astype(np.float64), v[1][i].astype(np.int64)))
+            out = [(k, pack(a[i], b[i], c[i], cb[i]))
                    for k in np.flatnonzero(np.diff(edge)).tolist() for i in (idx[edge[k]:edge[k + 1]],)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
@@ -278,32 +294,97 @@ def _pack_values(buckets: int):
     return run
 
 
-def _sum_bucket(unseen: float):
+class Model:
+    """What every bucket needs: totals, discounts, and the sums of hot contexts."""
+
+    def __init__(self, total=0, kinds=0, fix=1.0, unknown=1.0, words=None, pairs=None):
+        self.total, self.kinds, self.fix, self.unknown = total, kinds, fix, unknown
+        self.words, self.pairs = words or {}, pairs or {}
+        self.hot: dict[int, tuple] = {}  # context -> (factor, log a, count)
+
+    @staticmethod
+    def _discounted(c: np.ndarray, d: dict[int, float]) -> np.ndarray:
+        table = np.ones(KNOWN + 2)
+        for r, x in d.items():
+            table[r] = x
+        return c * table[np.minimum(c, KNOWN + 1)]
+
+    def p(self, c: np.ndarray) -> np.ndarray:
+        """Probabilities of words from their counts."""
+        return self._discounted(c, self.words) * (self.fix / max(self.total, 1))
+
+    def context(self, dc, pb, cv):
+        """(factor, log a) from a context's discounted counts, backed-off mass and count."""
+        kept = dc / cv
+        factor = np.where(1 - kept < 0.5 / (cv + 1), (1 - 1 / (cv + 1)) / kept, 1.0)
+        return factor, np.log10((1 - factor * kept) / (1 - pb))
+
+    def values(self, a, b, c, cb):
+        """Value of each n-gram of a bucket: words log P + log a, pairs their correction."""
+        word = a == NONE
+        out = np.zeros(len(a))
+        out[word] = np.log10(self.p(c[word]))
+        own_w, own_c = b[word], c[word]
+        order = np.argsort(own_w)
+        own_w, own_c, slot = own_w[order], own_c[order], np.flatnonzero(word)[order]
+        pa_, pc, pcb = a[~word], c[~word], cb[~word]
+        dc, pb = self._discounted(pc, self.pairs), self.p(pcb)
+        ctx, back = np.unique(pa_, return_inverse=True)
+        factor, la, cv = np.ones(len(ctx)), np.zeros(len(ctx)), np.ones(len(ctx))
+        hot = ctx <= np.uint64(END + HOT)
+        if len(ctx):
+            at = np.searchsorted(own_w, ctx[~hot])
+            cv[~hot] = own_c[at]  # a context's own count is in its bucket
+            sums, mass = np.bincount(back, dc, len(ctx)), np.bincount(back, pb, len(ctx))
+            factor[~hot], la[~hot] = self.context(sums[~hot], mass[~hot], cv[~hot])
+            for i in np.flatnonzero(hot).tolist():
+                factor[i], la[i], cv[i] = self.hot[int(ctx[i])]
+            out[~word] = np.log10(factor[back] * dc / cv[back]) - la[back] - np.log10(pb)
+            found = np.searchsorted(own_w, ctx)
+            has = found < len(own_w)
+            has[has] = own_w[found[has]] == ctx[has]
+            has &= ~hot
+            out[slot[found[has]]] += la[has]
+        warm = own_w <= np.uint64(END + HOT)
+        for i in np.flatnonzero(warm).tolist():
+            if int(own_w[i]) in self.hot:
+                out[slot[i]] += self.hot[int(own_w[i])][1]
+        return out
+
+
+def _sum_bucket(model):
     """Sums of the bucket's n-gram values per text: blobs (chunk, text numbers, sums)."""
     def run(part):
-        values, blobs = [], []
+        counted, blobs = [], []
         for _, (kind, blob) in part:
             if kind == 2:
-                values.append(unpack(blob, "<u8 <u8 <f8 <i8"))
+                counted.append(unpack(blob, "<u8 <u8 <i8 <i8"))
             elif kind == 0:
                 blobs.append(blob)
-        va, vb, vs, vc = (np.concatenate(x) for x in zip(*values)) if values else (np.empty(0, np.uint64),) * 4
+        m = model.value
+        unseen = float(np.log10(m.unknown))
+        none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        va, vb, vc, vcb = (np.concatenate(x) for x in zip(*counted)) if counted else none
+        vs = m.values(va, vb, vc, vcb)
         key = mixed(va, vb)
         order = np.argsort(key)
         va, vb, vs, vc, key = va[order], vb[order], vs[order], vc[order], key[order]
         for blob in blobs:
             chunk, a, b, _, held, doc, times = unpack(blob, GRAMS)
-            at = np.minimum(np.searchsorted(key, mixed(a, b)), max(len(key) - 1, 0))
-            hit = (va[at] == a) & (vb[at] == b) if len(key) else np.zeros(len(a), bool)
+            value, count = np.zeros(len(a)), np.zeros(len(a), np.int64)
             word = a == NONE
-            at = np.where(hit, at, 0)
-            value = np.where(hit, vs[at] if len(key) else 0.0, np.where(word, unseen, 0.0))
-            count = np.where(hit & word, vc[at] if len(key) else 0, 0)
+            value[word] = unseen
+            if len(key):
+                at = np.minimum(np.searchsorted(key, mixed(a, b)), len(key) - 1)
+                hit = (va[at] == a) & (vb[at] == b)
+                value[hit] = vs[at[hit]]
+                count[hit] = vc[at[hit]]
+            count[~word] = 0
             gram = np.repeat(np.arange(len(a)), held)
             docs, back = np.unique(doc, return_inverse=True)
             n = len(docs)
-            sums = np.bincount(back, value[gram] * times, n)
             only = word[gram]
+            sums = np.bincount(back, value[gram] * times, n)
             known = np.bincount(back, (times * (count[gram] > 0)) * only, n)
             # the base score is a function of the counts; +0.5 as in the contract
             base = np.bincount(back, np.log10(count[gram] + 0.5) * times * only, n)
@@ -341,8 +422,9 @@ def _unpack_rows(batches):
 
 
 def common_words(docs: DataFrame) -> list[int]:
-    """Hashes of the most frequent words of a bounded sample: they only get shorter numbers."""
-    sample = docs.select("text").orderBy(F.xxhash64(F.lit(8), "text")).limit(SAMPLE)
+    """Hashes of the most frequent words of about ``SAMPLE`` texts: they only get shorter numbers."""
+    rows = docs.count()
+    sample = docs.select("text").filter(F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(max(1, rows // SAMPLE))) == 0)
     # lower() may differ from A-Z lowering beyond ASCII; such words merely stay uncommon
     words = sample.select(F.explode(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+")).alias("w"))
     top = words.filter("w <> ''").groupBy("w").count().orderBy(F.desc("count"), "w").limit(COMMON).select("w").collect()
@@ -366,59 +448,50 @@ def discounts(n: dict[int, int], known: int = KNOWN) -> dict[int, float]:
     return out
 
 
-def _discounted(c, d: dict[int, float]):
-    col = F.when(c > KNOWN, c.cast("double"))
-    for r, x in d.items():
-        col = col.when(c == r, F.lit(x * r))
-    return col
-
-
-def _counts_of_counts(t: DataFrame, extra: dict[int, int] | None = None) -> dict[int, int]:
+def _counts_of_counts(t: DataFrame, extra: int = 0) -> dict[int, int]:
     n = {int(r[0]): int(r[1]) for r in t.filter(F.col("c") <= KNOWN + 1).groupBy("c").count().collect()}
-    for k, v in (extra or {}).items():
-        n[k] = n.get(k, 0) + v
+    n[1] = n.get(1, 0) + extra
     return n
 
 
-def model_values(counts: DataFrame, train_texts: int):
-    """(values, totals) from the table of counted n-grams (a, b, c).
-
-    values: (a, b, s, c) with s = log P + log a for words and the pair's
-    correction for pairs; totals: N, V, unknown-word term, log a(start).
-    """
-    grams = staged(counts.groupBy("a", "b").agg(F.sum("c").alias("c")), "ngrams")
-    uni = grams.filter(F.col("a") == NONE).select(F.col("b").alias("w"), "c")
-    singles = grams.filter((F.col("b") == NONE) & (F.col("a") == END)).agg(F.sum("c")).first()[0] or 0
+def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
+    """(counted n-grams with the count of their second word, model) from (a, b, c, shared)."""
+    parts = counts.filter("not shared").drop("shared").unionByName(
+        counts.filter("shared").groupBy("a", "b").agg(F.sum("c").alias("c")))
+    grams = staged(parts, "ngrams")
+    uni = grams.filter(F.col("a") == NONE)
+    pairs = grams.filter((F.col("a") != NONE) & (F.col("b") != NONE))
+    singles = grams.filter((F.col("a") == END) & (F.col("b") == NONE)).agg(F.sum("c")).first()[0] or 0
+    by_count = {int(r[0]): int(r[1]) for r in uni.groupBy(F.least("c", F.lit(KNOWN + 1)).alias("c"))
+                .agg(F.sum("c")).collect()}
     total, kinds = uni.agg(F.sum("c"), F.count(F.lit(1))).first()
-    total, kinds = total or 0, kinds or 0
     if not total:
-        return None, {"N": 0, "V": 0, "unseen": 0.0, "start": 0.0}
+        return None, Model()
     du = discounts(_counts_of_counts(uni))
-    mass = uni.agg(F.sum(_discounted(F.col("c"), du))).first()[0] / total
+    mass = sum(v * du.get(r, 1.0) for r, v in by_count.items()) / total
     fix = 1.0 if mass < 1 - 1e-12 else total / (total + 1.0)
-    unknown = 1 - mass * fix
-    uni = uni.withColumn("p", _discounted(F.col("c"), du) * F.lit(fix / total))
-    pairs = grams.filter((F.col("a") != NONE) & (F.col("b") != NONE))
-    dp = discounts(_counts_of_counts(pairs, {1: int(singles)}))
-    pairs = pairs.filter(F.col("c") >= MIN_PAIR).withColumn("dc", _discounted(F.col("c"), dp))
-    pairs = pairs.join(uni.select(F.col("w").alias("b"), "p"), "b")
-    sums = pairs.groupBy("a").agg(F.sum("dc").alias("dc"), F.sum("p").alias("pb"))
-    contexts = uni.select("w", F.col("c").alias("cv")).filter(F.col("w") != END)
-    start = contexts.sparkSession.createDataFrame([(START, int(train_texts))], "w long, cv long")
-    sums = sums.join(contexts.unionByName(start), F.col("a") == F.col("w"))
-    kept = F.col("dc") / F.col("cv")
-    least = 0.5 / (F.col("cv") + 1)
-    factor = F.when(1 - kept < least, (1 - 1 / (F.col("cv") + 1)) / kept).otherwise(F.lit(1.0))
-    ctx = staged(sums.select("a", "cv", factor.alias("f"),
-                             F.log10((1 - factor * kept) / (1 - F.col("pb"))).alias("la")), "contexts")
-    start_a = ctx.filter(F.col("a") == START).select("la").first()
-    words = (uni.join(ctx.select(F.col("a").alias("w"), "la"), "w", "left")
-                .select(F.lit(NONE).cast("long").alias("a"), F.col("w").alias("b"),
-                        (F.log10("p") + F.coalesce("la", F.lit(0.0))).alias("s"), "c"))
-    both = (pairs.select("a", "b", "c", F.col("dc"), "p").join(ctx, "a")
-                 .select("a", "b", (F.log10(F.col("f") * F.col("dc") / F.col("cv")) - F.col("la") - F.log10("p")).alias("s"), "c"))
-    return words.unionByName(both), {"N": int(total), "V": int(kinds), "unseen": float(np.log10(unknown)),
-                                     "start": float(start_a[0]) if start_a else 0.0}
+    model = Model(int(total), int(kinds), fix, 1 - mass * fix, du, discounts(_counts_of_counts(pairs, int(singles))))
+    kept = pairs.filter(F.col("c") >= MIN_PAIR).join(uni.select("b", F.col("c").alias("cb")), "b")
+    kept = kept.select("a", "b", "c", "cb")
+    # contexts dealt over several buckets: at most HOT of them, summed by the few counts that occur
+    hot = kept.filter(F.col("a").between(START, END + HOT))
+    sums: dict[int, list] = {}
+
+    def discounted(col, d):
+        e = F.when(col > KNOWN, col.cast("double"))
+        for r, x in d.items():
+            e = e.when(col == r, F.lit(x * r))
+        return e
+
+    for a, dc, pb in hot.groupBy("a").agg(F.sum(discounted(F.col("c"), model.pairs)),
+                                          F.sum(discounted(F.col("cb"), model.words))).collect():
+        sums[a] = [dc, pb * fix / total]
+    sizes = dict(uni.filter(F.col("b") <= END + HOT).filter(F.col("b") > 0).select("b", "c").collect())
+    sizes[START] = train_texts
+    for a, (dc, pb) in sums.items():
+        factor, la = model.context(np.float64(dc), np.float64(pb), np.float64(sizes[a]))
+        model.hot[a] = (float(factor), float(la), float(sizes[a]))
+    return uni.select("a", "b", "c", F.lit(0).cast("long").alias("cb")).unionByName(kept), model
 
 
 def katz_scores(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
@@ -433,28 +506,27 @@ def katz_scores(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFr
         _pack_task(numbering, buckets), "bucket int, kind int, blob binary")
     blobs = packed.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(buckets, _same)
     counted = spark.createDataFrame(blobs.mapPartitions(_count_bucket), "blob binary")
-    counts = counted.mapInArrow(_unpack_counts, "a long, b long, c long")
-    train_texts = docs.filter(~held).count()
-    values, t = model_values(counts, train_texts)
-    if values is None:
-        dealt = blobs
-    else:
-        vals = (values.mapInArrow(_pack_values(buckets), "bucket int, blob binary").rdd
-                      .map(lambda r: (r[0], (2, bytes(r[1])))).partitionBy(buckets, _same))
-        dealt = vals.union(blobs)  # equal partitioners: bucket meets bucket, nothing moves again
-    sums = (dealt.mapPartitions(_sum_bucket(t["unseen"]))
+    counts = counted.mapInArrow(_unpack_counts, "a long, b long, c long, shared boolean")
+    grams, model = fit(counts, docs.filter(~held).count())
+    dealt = blobs
+    if grams is not None:
+        back = (grams.mapInArrow(_pack_values(buckets), "bucket int, blob binary").rdd
+                     .map(lambda r: (r[0], (2, bytes(r[1])))).partitionBy(buckets, _same))
+        dealt = back.union(blobs)  # equal partitioners: bucket meets bucket, nothing moves again
+    sums = (dealt.mapPartitions(_sum_bucket(sc.broadcast(model)))
                  .map(lambda x: (x[0] % buckets, (3, x))).partitionBy(buckets, _same))
     rows = spark.createDataFrame(sums.union(blobs).mapPartitions(_rows_of_chunk), "blob binary").mapInArrow(
         _unpack_rows, "key long, n_tokens long, s double, base double, n_known long")
     # a text may occur in several chunks, with the same sums
     per_text = rows.groupBy("key").agg(F.min("n_tokens").alias("n_tokens"), F.min("s").alias("s"),
                                        F.min("base").alias("base"), F.min("n_known").alias("n_known"))
-    smooth = float(np.log10(t["N"] + 0.5 * (t["V"] + 1)))
+    smooth = float(np.log10(model.total + 0.5 * (model.kinds + 1)))
+    start = model.hot[START][1] if START in model.hot else 0.0
     ids = docs.select("doc_id", held.alias("held_out"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"))
     return (ids.join(per_text, "key", "left")
-               .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(t["N"]).cast("long").alias("train_tokens"),
+               .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
                        (F.col("base") - F.col("n_tokens") * F.lit(smooth)).alias("base_score"),
-                       (F.col("s") + F.lit(t["start"])).alias("score")))
+                       (F.col("s") + F.lit(start)).alias("score")))
 
 
 def op8_katz(spark, sf_dir):

@@ -1,3 +1,31 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others draw on hashes, learned models, heaps or random draws; their tests
+compare them with brute force, a library, or held-out labels.
+"""
+
+_OP1 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS gram
+      FROM (SELECT rid, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w WHERE len(words) >= 6)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS c FROM g) WHERE c > 1),
+p AS (SELECT rid, count(DISTINCT i + k) AS covered FROM r, (SELECT unnest(generate_series(0, 4)) AS k) GROUP BY rid),
+s AS (SELECT w.rid, doc_id, source, CAST(len(words) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(covered, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN p USING (rid)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s),
+h AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS INT)) AS bad FROM f GROUP BY source),
+m AS (SELECT avg(bad / n) AS mean, var_pop(bad / n) AS var, avg(n) AS size FROM h),
+k AS (SELECT mean, CASE WHEN var > 1e-12 AND mean > 0 AND mean < 1
+                        THEN greatest(mean * (1 - mean) / var - 1, 1) ELSE size END AS k FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (h.bad + mean * k) / (h.n + k) <= 0.5 AS kept
+FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source, k
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1}

@@ -129,9 +129,10 @@ def rejected_rows_removed(docs: DataFrame, host: str = "source",
     judged = s.withColumn("_tm_failed", base_failed(F.col("_tm_s.n_words"), F.col("_tm_s.n_repeat_words")))
     v = host_verdicts(judged.select(F.col(host).alias("_tm_h"), "_tm_failed"), "_tm_h", "_tm_failed",
                       max_host_rate).filter("host_ok").select("_tm_h")
+    v = staged(v, "hosts")  # its size is known then, and a small one is broadcast instead of moving the texts
     return (judged.filter(~F.col("_tm_failed"))
                   .join(v, F.col(host).eqNullSafe(F.col("_tm_h")), "left_semi").select(*cols))
 
 
 def op1_quality_rules(spark, sf_dir):
-    return quality_rules(documents(spark, sf_dir))
+    return quality_rules(documents(spark, sf_dir)).drop("shrunk_rate")

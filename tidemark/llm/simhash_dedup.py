@@ -221,12 +221,11 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
     heads = (ids.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label")
                 .agg(F.min("fp").alias("_tm_fp"), F.first("component_id").alias("_tm_id"))
                 .select("_tm_fp", "_tm_id"))
-    rows = docs.withColumn("_tm_f", fingerprint_udf(shingle)("text"))
-    kept = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_tm_id"))
-                     & (F.col("_tm_f") == F.col("_tm_fp")), "left_semi")
-    # a component kept one fingerprint, so this is one row per component; the
-    # group limit drops the other rows before the exchange
-    w = Window.partitionBy("_tm_f").orderBy(F.xxhash64("text"))
+    head = heads.select(F.struct(F.col("_tm_id").alias("i"), F.col("_tm_fp").alias("f")).alias("_tm_key"))
+    rows = docs.withColumn("_tm_key", F.struct(F.col("doc_id").alias("i"), fingerprint_udf(shingle)("text").alias("f")))
+    # the texts move once: join and window share the key
+    kept = rows.join(head, "_tm_key", "left_semi")
+    w = Window.partitionBy("_tm_key").orderBy(F.xxhash64("text"))
     return (kept.withColumn("_tm_n", F.row_number().over(w)).filter("_tm_n = 1")
                 .select(*docs.columns))
 
