@@ -42,7 +42,3 @@ def none(spark):
 def labels(spark):
     data = [(i, i % 2, (i + 1) % 2) for i in range(1, 13)] + [(None, 1, 1), (3, None, None), (99, 1, 0)]
     return spark.createDataFrame(data, "doc_id long, quality int, toxic int")
-
-
-def plain(df, *cols):
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

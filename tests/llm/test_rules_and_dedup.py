@@ -13,8 +13,7 @@ from tidemark.llm import quality_rules as Q
 from tidemark.llm import simhash_dedup as S
 from tidemark.llm.common import components
 
-from conftest import SF
-from llm_help import plain
+from llm_help import SF, plain
 
 
 def slow_stats(text):
