@@ -456,9 +456,9 @@ def _counts_of_counts(t: DataFrame, extra: int = 0) -> dict[int, int]:
 
 def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
     """(counted n-grams with the count of their second word, model) from (a, b, c, shared)."""
-    parts = counts.filter("not shared").drop("shared").unionByName(
-        counts.filter("shared").groupBy("a", "b").agg(F.sum("c").alias("c")))
-    grams = staged(parts, "ngrams")
+    counts = staged(counts, "ngrams")  # once: both halves below read the table
+    shared = staged(counts.filter("shared").groupBy("a", "b").agg(F.sum("c").alias("c")), "shared-ngrams")
+    grams = counts.filter("not shared").drop("shared").unionByName(shared)
     uni = grams.filter(F.col("a") == NONE)
     pairs = grams.filter((F.col("a") != NONE) & (F.col("b") != NONE))
     singles = grams.filter((F.col("a") == END) & (F.col("b") == NONE)).agg(F.sum("c")).first()[0] or 0
