@@ -188,6 +188,14 @@ def test_katz_odd_input(odd, none):
     assert [r.n_tokens for r in got] == [1]
 
 
+def test_katz_chunks_of_equal_texts_are_summed_apart(spark, docs):
+    # every partition is a chunk of one text, the same in several of them; then a table and its copy
+    rows = [(i, t) for i, t in enumerate(["a b a c", "a b a c", "a b a c", None, None, "a b a c a b"])]
+    check_katz(spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string"))
+    few = docs.select("doc_id", "text").limit(60).coalesce(1)
+    check_katz(few.union(few))
+
+
 def library_counts(texts):
     import public_tokenizers
     from tokenizers import Tokenizer

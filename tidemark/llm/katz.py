@@ -48,6 +48,7 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,13 +151,22 @@ class Numbering:
         return found
 
 
-def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, hash_of) -> Iterable[tuple[int, int, bytes]]:
-    """(bucket, kind, blob) of one chunk.  ``texts``: text -> [training copies]."""
+def home_of(chunk: int, buckets: int) -> int:
+    """Bucket that collects the sums of a chunk."""
+    return int(mixed(np.array([chunk], np.uint64), np.array([NONE], np.uint64))[0] % np.uint64(buckets))
+
+
+def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, hash_of,
+                chunk: int) -> Iterable[tuple[int, int, bytes]]:
+    """(bucket, kind, blob) of the chunk numbered ``chunk``.  ``texts``: text -> [training copies].
+
+    The number must be the chunk's own: chunks of equal texts would otherwise be
+    summed as one.  The salt depends on the texts only."""
     keys = np.array([hash_of(t) for t in texts], np.uint64)
     copies = np.array([v[0] for v in texts.values()], np.int64)
     rows = [np.array(numbering.numbers(t.lower().split()), np.uint64) for t in texts]
     sizes = np.array([len(r) for r in rows], np.int64)
-    chunk = int(np.bitwise_xor.reduce(mixed(keys, np.arange(len(keys), dtype=np.uint64)))) >> 1
+    salt = int(np.bitwise_xor.reduce(mixed(keys, np.arange(len(keys), dtype=np.uint64)))) >> 1
     doc = np.repeat(np.arange(len(rows), dtype=np.uint16), sizes + 1)
     flat = np.full(int(sizes.sum()) + len(rows), END, np.uint64)
     ends = np.cumsum(sizes + 1) - 1
@@ -168,9 +178,9 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
     before[1:] = flat[:-1]
     before[0] = START
     before[ends[:-1] + 1] = START
-    yield chunk % buckets, 1, pack(np.array([chunk], np.int64), keys, (sizes + 1).astype(np.uint32))
+    yield home_of(chunk, buckets), 1, pack(np.array([chunk], np.int64), keys, (sizes + 1).astype(np.uint32))
     for a in (np.full(len(flat), NONE, np.uint64), before):
-        place = places(a, flat, chunk % SALTS, buckets)
+        place = places(a, flat, salt % SALTS, buckets)
         order = np.lexsort((flat, a, place))
         a_, b_, d_, p_ = a[order], flat[order], doc[order], place[order]
         new = np.ones(len(order), bool)
@@ -200,12 +210,14 @@ def _pack_task(numbering, buckets: int):
     def run(batches):
         texts: dict[bytes, list] = {}
         size = 0
+        number = TaskContext.get().partitionId() << 32  # a repeated task numbers its chunks alike
 
         def flush():
-            nonlocal size
-            out = list(chunk_blobs(texts, numbering.value, buckets, word_hash)) if texts else []
+            nonlocal size, number
+            out = list(chunk_blobs(texts, numbering.value, buckets, word_hash, number)) if texts else []
             texts.clear()
             size = 0
+            number += 1
             for i in range(0, len(out), 64):
                 part = out[i:i + 64]
                 yield pa.RecordBatch.from_arrays(
@@ -514,7 +526,7 @@ def katz_scores(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFr
                      .map(lambda r: (r[0], (2, bytes(r[1])))).partitionBy(buckets, _same))
         dealt = back.union(blobs)  # equal partitioners: bucket meets bucket, nothing moves again
     sums = (dealt.mapPartitions(_sum_bucket(sc.broadcast(model)))
-                 .map(lambda x: (x[0] % buckets, (3, x))).partitionBy(buckets, _same))
+                 .map(lambda x: (home_of(x[0], buckets), (3, x))).partitionBy(buckets, _same))
     rows = spark.createDataFrame(sums.union(blobs).mapPartitions(_rows_of_chunk), "blob binary").mapInArrow(
         _unpack_rows, "key long, n_tokens long, s double, base double, n_known long")
     # a text may occur in several chunks, with the same sums
