@@ -196,6 +196,18 @@ def test_katz_chunks_of_equal_texts_are_summed_apart(spark, docs):
     check_katz(few.union(few))
 
 
+def test_katz_keeps_pairs_seen_once(spark):
+    x, y = K.END + 1, -5  # a common word and one known by its hash
+    counts = [(K.NONE, x, 3, False), (K.NONE, y, 1, False), (x, x, 2, False), (x, y, 1, False), (y, x, 1, False)]
+    grams, model = K.fit(spark.createDataFrame(counts, "a long, b long, c long, shared boolean"), 1)
+    assert plain(grams, "a", "b", "c", "cb") == sorted(
+        [(K.NONE, x, 3, 0), (K.NONE, y, 1, 0), (x, x, 2, 3), (x, y, 1, 1), (y, x, 1, 3)], key=repr)
+    assert model.pairs == K.discounts({1: 2, 2: 1})
+    assert K.MIN_PAIR == 1  # the brute force leaves no pair out
+    check_katz(spark.createDataFrame([(i, t) for i, t in enumerate(["a b c", "a b d e", "d e", "c b a d", "e d", "b a"] * 2)],
+                                     "doc_id long, text string"))
+
+
 def library_counts(texts):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -5,9 +5,8 @@ is the word before it, or the start.  With c the training counts:
 
 * P(w) = d_c c / N for seen tokens, and the mass the discounts leave for one
   unknown token;
-* P(w | v) = d_c c / c(v) for pairs counted at least ``MIN_PAIR`` times
-  (times a context's factor, 1 unless the context would keep nothing for
-  other words), else a(v) P(w), where a(v) = (1 - sum of kept P(. | v)) /
+* P(w | v) = d_c c / c(v) for all counted pairs (times a context's factor, 1
+  unless the context would keep nothing for other words), else a(v) P(w), where a(v) = (1 - sum of kept P(. | v)) /
   (1 - sum of P over the same words): every context sums to one exactly.
 
 d_c is the Good-Turing discount of counts up to ``KNOWN``, separately for words
@@ -18,8 +17,8 @@ grouped: per bucket one packed blob of the different n-grams, their training
 counts, and which texts hold them how often.  A word's own count and all pairs
 it begins share a bucket (hash of the word).  The blobs are shuffled once.  Per
 bucket the counts are added up: the tables of words and pairs.  Spark joins the
-kept pairs with the counts of their second words and sends them back to their
-buckets, where a context's sums, its backoff weight and the n-grams' values are
+pairs with the counts of their second words (those of the ``COMMON`` words are
+broadcast) and sends them back to their buckets, where a context's sums, its backoff weight and the n-grams' values are
 local; the n-grams of the same (already shuffled) blobs look them up, and each
 text gets the sum of its values:
 
@@ -55,7 +54,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod, documents, prepare, shuffle_width, staged
 
 HELD_OUT = (5, 1)
-MIN_PAIR = 2
+MIN_PAIR = 1  # every counted pair is in the tables
 KNOWN = 5
 COMMON = 200_000
 SAMPLE = 8192
@@ -63,6 +62,7 @@ HOT = 1024
 TOP = 64
 SALTS = 32
 CHUNK_TOKENS = 1_500_000
+VALUE_ROWS = 1 << 16
 NONE, START, END = 0, 1, 2  # reserved token numbers
 _MARK = np.uint64(1 << 63)
 
@@ -244,8 +244,7 @@ def _same(bucket):
 
 
 def _count_bucket(part):
-    """Training counts of the bucket's n-grams: words, pairs from MIN_PAIR on
-    (shared n-grams always), and the number of other pairs counted once."""
+    """Training counts of the bucket's n-grams."""
     grams = [unpack(v[1], GRAMS)[1:4] for _, v in part if v[0] == 0]
     if not grams:
         return
@@ -262,19 +261,14 @@ def _count_bucket(part):
     c = np.add.reduceat(c, at)
     a, b = a[at], b[at]
     shared = is_shared(a, b)
-    rare = (a != NONE) & (c < MIN_PAIR) & ~shared
-    singles = int((c[rare] == 1).sum())
-    yield (pack(a[~rare], b[~rare], c[~rare], shared[~rare].astype(np.int8), np.array([singles], np.int64)),)
+    yield (pack(a, b, c, shared.astype(np.int8)),)
 
 
 def _unpack_counts(batches):
     for batch in batches:
         for blob in batch.column(0).to_pylist():
-            a, b, c, shared, singles = unpack(blob, "<u8 <u8 <i8 <i1 <i8")
-            a = np.append(a, np.uint64(END)).view(np.int64)  # (END, NONE): the pairs seen once and left out
-            b = np.append(b, np.uint64(NONE)).view(np.int64)
-            c = np.append(c, singles)
-            shared = np.append(shared, 1).astype(bool)
+            a, b, c, shared = unpack(blob, "<u8 <u8 <i8 <i1")
+            a, b, shared = a.view(np.int64), b.view(np.int64), shared.astype(bool)
             for i in range(0, len(a), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 50_000]) for x in (a, b, c, shared)],
                                                  names=["a", "b", "c", "shared"])
@@ -282,27 +276,36 @@ def _unpack_counts(batches):
 
 def _pack_values(buckets: int):
     """Counted n-grams (a, b, c, cb) by bucket; shared ones go to the buckets of all salts."""
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for i in (0, 1))
-            c, cb = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
-            more = np.flatnonzero(is_shared(a, b))
-            idx, place = [np.arange(len(a))], [places(a, b, 0, buckets)]
-            for salt in range(1, SALTS):
-                idx.append(more)
-                place.append(places(a[more], b[more], salt, buckets))
-            idx, place = np.concatenate(idx), np.concatenate(place)
-            pair = np.unique(place.astype(np.int64) * len(a) + idx)  # a bucket gets an n-gram once
-            idx, place = pair % len(a), pair // len(a)
-            edge = np.searchsorted(place, np.arange(buckets + 1))
-            out = [(k, pack(a[i], b[i], c[i], cb[i]))
-                   for k in np.flatnonzero(np.diff(edge)).tolist() for i in (idx[edge[k]:edge[k + 1]],)]
+    def packed(columns):
+        a, b = (np.concatenate(x).astype(np.int64).view(np.uint64) for x in columns[:2])
+        c, cb = (np.concatenate(x).astype(np.int64) for x in columns[2:])
+        more = np.flatnonzero(is_shared(a, b))
+        idx, place = [np.arange(len(a))], [places(a, b, 0, buckets)]
+        for salt in range(1, SALTS):
+            idx.append(more)
+            place.append(places(a[more], b[more], salt, buckets))
+        idx, place = np.concatenate(idx), np.concatenate(place)
+        pair = np.unique(place.astype(np.int64) * len(a) + idx)  # a bucket gets an n-gram once
+        idx, place = pair % len(a), pair // len(a)
+        edge = np.searchsorted(place, np.arange(buckets + 1))
+        for k in np.flatnonzero(np.diff(edge)).tolist():
+            i = idx[edge[k]:edge[k + 1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
+                [pa.array([k], pa.int32()), pa.array([pack(a[i], b[i], c[i], cb[i])], pa.binary())],
                 names=["bucket", "blob"])
 
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)])
+                rows += batch.num_rows
+            if rows >= VALUE_ROWS:
+                yield from packed(list(zip(*held)))
+                held, rows = [], 0
+        if held:
+            yield from packed(list(zip(*held)))
+
     return run
 
 
@@ -460,10 +463,8 @@ def discounts(n: dict[int, int], known: int = KNOWN) -> dict[int, float]:
     return out
 
 
-def _counts_of_counts(t: DataFrame, extra: int = 0) -> dict[int, int]:
-    n = {int(r[0]): int(r[1]) for r in t.filter(F.col("c") <= KNOWN + 1).groupBy("c").count().collect()}
-    n[1] = n.get(1, 0) + extra
-    return n
+def _counts_of_counts(t: DataFrame) -> dict[int, int]:
+    return {int(r[0]): int(r[1]) for r in t.filter(F.col("c") <= KNOWN + 1).groupBy("c").count().collect()}
 
 
 def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
@@ -472,8 +473,7 @@ def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
     shared = staged(counts.filter("shared").groupBy("a", "b").agg(F.sum("c").alias("c")), "shared-ngrams")
     grams = counts.filter("not shared").drop("shared").unionByName(shared)
     uni = grams.filter(F.col("a") == NONE)
-    pairs = grams.filter((F.col("a") != NONE) & (F.col("b") != NONE))
-    singles = grams.filter((F.col("a") == END) & (F.col("b") == NONE)).agg(F.sum("c")).first()[0] or 0
+    pairs = grams.filter(F.col("a") != NONE)
     by_count = {int(r[0]): int(r[1]) for r in uni.groupBy(F.least("c", F.lit(KNOWN + 1)).alias("c"))
                 .agg(F.sum("c")).collect()}
     total, kinds = uni.agg(F.sum("c"), F.count(F.lit(1))).first()
@@ -482,9 +482,11 @@ def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
     du = discounts(_counts_of_counts(uni))
     mass = sum(v * du.get(r, 1.0) for r, v in by_count.items()) / total
     fix = 1.0 if mass < 1 - 1e-12 else total / (total + 1.0)
-    model = Model(int(total), int(kinds), fix, 1 - mass * fix, du, discounts(_counts_of_counts(pairs, int(singles))))
-    kept = pairs.filter(F.col("c") >= MIN_PAIR).join(uni.select("b", F.col("c").alias("cb")), "b")
-    kept = kept.select("a", "b", "c", "cb")
+    model = Model(int(total), int(kinds), fix, 1 - mass * fix, du, discounts(_counts_of_counts(pairs)))
+    second = uni.select("b", F.col("c").alias("cb"))
+    # words with small numbers (at most COMMON) are the second ones of many pairs each
+    kept = (pairs.filter("b > 0").join(F.broadcast(second.filter("b > 0")), "b").select("a", "b", "c", "cb")
+                 .unionByName(pairs.filter("b < 0").join(second.filter("b < 0"), "b").select("a", "b", "c", "cb")))
     # contexts dealt over several buckets: at most HOT of them, summed by the few counts that occur
     hot = kept.filter(F.col("a").between(START, END + HOT))
     sums: dict[int, list] = {}
