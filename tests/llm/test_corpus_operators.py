@@ -101,6 +101,29 @@ def test_leaks_reach_recall_and_are_exact(spark):
     assert {r.doc_id for r in D.uncontaminated(df, bench, 2000).collect()} == clean
 
 
+@pytest.mark.parametrize("kind", ["missing", "added", "replaced"])
+@pytest.mark.parametrize("n", [12, 40, 59, 80, 120])
+def test_leaks_reach_recall_at_the_edit_bound(n, kind):
+    rnd = random.Random(f"{n} {kind}")
+    item = [f"item{i}" for i in range(n)]
+    # a smaller item of the same size group fixes the length of its walks
+    index = D.Index([(1, " ".join(item)), (2, " ".join(f"other{i}" for i in range(int(n / 1.2))))])
+    texts = []
+    for _ in range(150):
+        x, at = list(item), rnd.sample(range(n), int(D.allowed(n)))
+        if kind == "missing":
+            x = [w for i, w in enumerate(x) if i not in at]
+        elif kind == "replaced":
+            x = [f"new{i}" if i in at else w for i, w in enumerate(x)]
+        else:
+            for i in at:
+                x.insert(rnd.randrange(1, len(x)), f"new{i}")
+        texts.append(" ".join(["before"] * 9 + x + ["after"] * 9))
+    hits = index.search(texts)
+    assert all(h[0] == 1 and h[3] <= D.allowed(n) for x in hits for h in x)
+    assert sum(map(len, hits)) >= 0.96 * len(texts)
+
+
 def test_leaks_odd_input(odd, none, spark):
     bench = spark.createDataFrame([(1, "the river runs under a stone bridge and the mill wheel turns")], "item_id long, text string")
     kept = D.uncontaminated(odd, bench)

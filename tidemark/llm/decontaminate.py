@@ -12,9 +12,12 @@ without case and punctuation).
 * **Embedding.**  The CGK random walk reads the window's current word, writes
   it, and moves on by a random bit of (step, word): edit distance becomes
   Hamming distance of the written strings.  Items are embedded alike.
-* **LSH.**  ``sampled`` written symbols make a key; ``repetitions`` walks with
-  fresh bits and samples are made, enough for ``recall`` when a written
-  symbol agrees with probability ``agreement``.
+* **LSH.**  At most ``sampled`` written symbols make a key; several walks with
+  fresh bits and samples are made, some sampled early in the walk and some
+  over all of it (every edit shifts the walks against each other, so late
+  symbols of long items agree less).  Each size group takes the most symbols a
+  key and the fewest walks that find ``recall`` of planted copies with the
+  group's allowed number of missing, added or replaced words (``key_plan``).
 * **Verification.**  Windows that share a key with an item are checked by the
   exact edit distance to the item, free at the window's end; the best window
   of each (document, item) is returned.
@@ -49,6 +52,8 @@ SAMPLED = 3
 RECALL = 0.99
 AGREEMENT = 0.5
 BLOCK_BYTES = 8 << 20
+#: Planted copies per kind of edit by which a size group's keys are chosen.
+TRIALS = 400
 #: Words handled at a time in a worker.
 BATCH_WORDS = 1 << 19
 PAIR_BITS = 22
@@ -93,6 +98,78 @@ def prefix_distances(windows: np.ndarray, items: np.ndarray) -> tuple[np.ndarray
     return d[np.arange(rows), end], end
 
 
+def planted(rng, n: int, edits: int, kind: str, width: int) -> np.ndarray:
+    """TRIALS windows (rows of ``width`` words) on copies of an item of the words
+    1..n with random edits, from the first word that is left of the item."""
+    out = np.zeros((TRIALS, width), np.int32)  # 0: words no item has
+    for row in out:
+        at = rng.choice(n, min(edits, n - 1), replace=False)
+        x = np.arange(1, n + 1)
+        if kind == "missing":
+            x = np.delete(x, at)
+        elif kind == "replaced":
+            x[at] = 0
+        else:
+            x = np.insert(x, rng.integers(1, n, edits), 0)
+        x = x[np.flatnonzero(x)[0]:][:width]
+        row[:len(x)] = x
+    return out
+
+
+def agreements(windows: np.ndarray, n: int, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """(walks x windows x steps): does the walk write the same over the item 1..n and the window?"""
+    rows, m = windows.shape
+    item = np.full((1, m), -1, np.int32)
+    item[0, :n] = np.arange(1, n + 1)
+    same = np.zeros((len(mul), rows, mul.shape[1]), bool)
+    both = [[np.broadcast_to(x, (rows, m)).ravel().astype(np.int64) + 2, np.zeros((len(mul), rows), np.int64)]
+            for x in (item, windows)]
+    base = np.arange(rows) * m
+    for j in range(mul.shape[1]):
+        written = []
+        for side in both:
+            flat, pos = side
+            sym = flat[base + np.minimum(pos, m - 1)]
+            sym[pos >= m] = 1
+            written.append(sym)
+            side[1] = pos + ((sym * mul[:, j, None] + add[:, j, None]) >> 40 & 1)
+        same[:, :, j] = written[0] == written[1]
+    return same
+
+
+def key_plan(rng, sizes, max_edits: float = MAX_EDITS, sampled: int = SAMPLED, recall: float = RECALL,
+             agreement: float = AGREEMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(sampled steps per walk, mul, add, worst share found) for a group of items of ``sizes`` words."""
+    a, b = int(min(sizes)), int(max(sizes))
+    steps = 2 * a
+    first = repetitions(recall, agreement, sampled)
+    mul = rng.integers(1, 1 << 62, (8 * first, steps)) | 1
+    add = rng.integers(0, 1 << 62, (8 * first, steps))
+    cases = [(planted(rng, n, int(allowed(n, max_edits)), kind, b + int(allowed(b, max_edits))), n)
+             for n in sorted({a, b}) for kind in ("missing", "added", "replaced")]
+    best = None
+    for take in range(min(sampled, steps), 0, -1):
+        # walk r samples the first steps >> (r mod levels) steps: all of the walk, half of it, ...
+        levels = max(1, int(math.log2(steps / (2 * take))) + 1)
+        at = np.sort(np.array([rng.choice(steps >> r % levels, take, replace=False) for r in range(len(mul))]), axis=1)
+        found = [np.zeros(TRIALS, bool) for _ in cases]
+        lo = 0
+        for hi in (first, 2 * first, 4 * first, 8 * first):
+            for c, (windows, n) in enumerate(cases):
+                left = np.flatnonzero(~found[c])
+                if len(left):
+                    same = agreements(windows[left], n, mul[lo:hi], add[lo:hi])
+                    hit = np.take_along_axis(same, at[lo:hi, None, :].repeat(len(left), 1), axis=2).all(axis=2)
+                    found[c][left[hit.any(axis=0)]] = True
+            lo = hi
+            worst = min(f.mean() for f in found)
+            if best is None or worst > best[3]:
+                best = at[:hi], mul[:hi], add[:hi], float(worst)
+            if worst >= recall:
+                return at[:hi], mul[:hi], add[:hi], float(worst)
+    return best
+
+
 class Index:
     """Items of one benchmark block, embedded and keyed."""
 
@@ -110,7 +187,6 @@ class Index:
         # size groups with a ratio of at most 1.25
         self.groups = []
         rng = np.random.default_rng(seed)
-        reps = repetitions(recall, agreement, sampled)
         left = np.unique(sizes)
         self.pair_groups = np.zeros(1 << PAIR_BITS, np.uint32)
         self.first_groups = np.zeros(len(self.vocabulary) + 1, np.uint32)
@@ -124,12 +200,11 @@ class Index:
             for i in own:
                 self.pair_groups[self.pair_slot(self.words[i][:-1], self.words[i][1:])] |= np.uint32(1 << g)
                 self.first_groups[self.words[i][:self.edits[i] + 1]] |= np.uint32(1 << g)
-            steps = 2 * a
+            at, mul, add, _ = key_plan(rng, sizes[own], max_edits, sampled, recall, agreement)
             group = {
                 "bit": g, "window": b + int(self.edits[own].max()), "items": own,
                 "need": int((sizes[own] - 1 - 2 * self.edits[own]).min()),
-                "at": np.sort(np.array([rng.choice(steps, min(sampled, steps), replace=False) for _ in range(reps)]), axis=1),
-                "mul": rng.integers(1, 1 << 62, (reps, steps)) | 1, "add": rng.integers(0, 1 << 62, (reps, steps)),
+                "at": at, "mul": mul, "add": add,
             }
             padded = np.full((len(own), group["window"]), -1, np.int32)
             for r, i in enumerate(own):
