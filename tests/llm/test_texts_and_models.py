@@ -57,6 +57,15 @@ def test_bptt_gradient_learns_and_pools_whole_texts():
     assert np.allclose(p[0], sums.sum(axis=0) / len(raw))
 
 
+def test_every_language_keeps_training_pieces(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_SEGMENTS", 36)
+    rows = [(1000 * k + i, f"some words of text {i}", f"l{k}") for k in range(5) for i in range(30)]
+    rare = next(i for i in range(9000, 9100) if remainder(i, 3) != 1)
+    df = spark.createDataFrame(rows + [(rare, "a text of its own", "rare")], "doc_id long, text string, lang string")
+    got = Counter(r.lang for r in L.training_segments(df).collect())
+    assert got == {"rare": 3, **{f"l{k}": 6 for k in range(5)}}
+
+
 def test_language_odd_input(odd, none):
     got = L.language_id(odd)
     assert got.count() == odd.count()

@@ -12,7 +12,8 @@ run side by side, the state starting anew in each.  Gates are piecewise linear
 (clipped) and the candidate is x / (1 + |x|): cheap per byte.
 
 Training sees at most ``PER_LANG`` documents of a language and
-``MAX_SEGMENTS`` segments in all (the lowest keyed hashes of the id), from
+``MAX_SEGMENTS`` segments shared equally among the languages found, but no
+fewer than ``PIECES`` for each (the lowest keyed hashes of the id), from
 documents that are not held out and have a language.  Scoring uses the text
 alone.
 
@@ -29,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, prepare
+from .common import crc_mod, documents, prepare, staged
 
 HIDDEN = 8
 SEGMENT = 128
@@ -221,14 +222,18 @@ def training_segments(docs: DataFrame) -> DataFrame:
     pool = pool.withColumn("_h", F.xxhash64(F.lit(3), "doc_id", "text"))
     w = Window.partitionBy("lang").orderBy("_h")
     chosen = pool.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= PER_LANG)
-    pieces = chosen.select("lang", "_h", F.explode(F.array(*[
+    pieces = chosen.select("lang", "_h", F.posexplode(F.array(*[
         F.expr(f"substring(text, cast(1 + pmod(xxhash64(_h, {i}), greatest(length(text) - {TRAIN_BYTES}, 1)) as int), {TRAIN_BYTES})")
-        for i in range(PIECES)])).alias("piece"))
-    return pieces.filter(F.col("piece").rlike(r"\p{L}")).orderBy("_h").limit(MAX_SEGMENTS).select("lang", "piece")
+        for i in range(PIECES)])).alias("_i", "piece"))
+    w = Window.partitionBy("lang").orderBy("_h", "_i")
+    pieces = staged(pieces.filter(F.col("piece").rlike(r"\p{L}")).withColumn("_n", F.row_number().over(w)), "pieces")
+    langs = pieces.filter("_n = 1").count()
+    each = max(MAX_SEGMENTS // max(langs, 1), PIECES)
+    return pieces.filter(F.col("_n") <= each).orderBy("_h", "_i").select("lang", "piece")
 
 
 def train(docs: DataFrame) -> BiGru | None:
-    rows = training_segments(docs).collect()  # at most MAX_SEGMENTS pieces
+    rows = training_segments(docs).collect()  # at most MAX_SEGMENTS pieces, or PIECES for each language
     langs = sorted({r[0] for r in rows})
     if not langs:
         return None
