@@ -4,15 +4,13 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 # Python workers (transformWithState processors) must import the package too.
 os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH")) if p)
 
+from paths import FIXTURES  # noqa: E402
 from tidemark.session import get_session  # noqa: E402
 
-FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
-SF = os.environ.get("TIDEMARK_TEST_SF", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():

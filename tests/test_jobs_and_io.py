@@ -11,7 +11,7 @@ from tidemark.plans import jobs
 from tidemark.sinks import foreach_kind, read_upserted, split_by_kind, upsert_batch
 from tidemark.sources import AD_CLICK, ORDER_EVENT, decode_records, kafka_options, parse_delimited, read_delimited
 
-from conftest import FIXTURES, SF
+from paths import FIXTURES, SF
 
 
 def test_blacklist_job(spark):

@@ -10,7 +10,7 @@ from tidemark import daily_cap, sliding_count
 from tidemark.plans import queries as Q
 from tidemark.plans.ordered import time_bucket, with_neighbors
 
-from conftest import SF
+from paths import SF
 
 
 def plan(df) -> str:

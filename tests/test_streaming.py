@@ -18,7 +18,7 @@ from tidemark.streaming import (prepare, stream_consecutive_events, stream_daily
                                 stream_match_sequence, stream_order_timeout, stream_reconcile,
                                 stream_sliding_count, stream_unique_per_window, top_n_batches)
 
-from conftest import SF
+from paths import SF
 
 N_FILES = 4
 
