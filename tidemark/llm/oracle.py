@@ -28,4 +28,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source, k
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _OP1}
+_OP13 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+s AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS a
+      FROM s, (SELECT unnest(generate_series(1, 5)) AS k) WHERE i + k - 1 <= len(ws) GROUP BY ALL),
+t AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND a >= 100),
+i AS (SELECT DISTINCT lang, array_to_string(ws[x:y], ' ') AS phrase, a
+      FROM c, (SELECT unnest(generate_series(1, 5)) AS x), (SELECT unnest(generate_series(1, 5)) AS y)
+      WHERE x < y AND y <= k AND y - x + 1 < k),
+z AS (SELECT c.* FROM c WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.lang = c.lang AND i.phrase = c.phrase
+                                                             AND 100 * i.a >= 100 * c.a)),
+u AS (SELECT z.lang, z.phrase, z.a, cut, array_to_string(z.ws[1:cut], ' ') AS lp,
+             array_to_string(z.ws[cut + 1:], ' ') AS rp
+      FROM z, (SELECT unnest(generate_series(1, 4)) AS cut) WHERE cut < k),
+v AS (SELECT u.lang, u.phrase, u.a, cut, l.a AS l, r.a AS r, n,
+             (1000::HUGEINT * u.a * n) // (l.a::HUGEINT * r.a) AS score
+      FROM u JOIN f l ON l.lang = u.lang AND l.phrase = lp JOIN f r ON r.lang = u.lang AND r.phrase = rp
+             JOIN t ON t.lang = u.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS o FROM v),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE o = 1)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM k WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op13_phrases": _OP13}

@@ -6,6 +6,7 @@ from .decontaminate import op6_decontamination
 from .katz import op8_katz
 from .language_id import op3_language_id
 from .mixing import op7_mixing
+from .phrases import op13_phrases
 from .quality_classifier import op9_quality
 from .quality_rules import op1_quality_rules
 from .sharding import op4_sharding
@@ -15,4 +16,4 @@ from .toxicity import op5_toxicity
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_simhash, op3_language_id, op4_sharding, op5_toxicity, op6_decontamination, op7_mixing,
-    op8_katz, op9_quality, op10_token_counts)}
+    op8_katz, op9_quality, op10_token_counts, op13_phrases)}
