@@ -57,4 +57,41 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS
 FROM k WHERE rank <= 2000
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op13_phrases": _OP13}
+_OP11 = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+d AS (SELECT *, min(doc_id) OVER (PARTITION BY text) AS low FROM t),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+x AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text)
+                     THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN doc_id > low THEN 'E' ELSE '' END AS fails
+      FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM x GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest(generate_series(1, 5)) AS step)),
+j AS (SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS hit,
+             len(list_intersect(string_split(fails, ''), string_split(before, ''))) > 0 AND before <> '' AND fails <> '' AS gone
+      FROM c, s),
+r AS (SELECT part, filter_order, step, own, sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+      FROM j GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": _OP1, "op11_filter_audit": _OP11, "op13_phrases": _OP13}
