@@ -88,3 +88,23 @@ def test_batch_plans_have_no_python(spark):
     for name, fn in Q.QUERIES.items():
         p = plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_cap_without_large_keys_is_one_window(spark):
+    """One job finds that no key is large (one scan, one exchange); the plan itself has no join."""
+    p = plan(Q.daily_cap_warnings(spark, SF))
+    assert p.count("Scan parquet") == 1 and "Join" not in p
+    assert len(re.findall(r"\bExchange hashpartitioning", p)) == 1
+
+
+def test_prefix_scans_without_large_keys_have_no_join(spark):
+    p = plan(Q.reconcile_repeated(spark, SF))
+    assert "Join" not in p and len(re.findall(r"\bExchange hashpartitioning", p)) == 1
+    p = plan(Q.unique_visitors_running(spark, SF))
+    assert "Join" not in p and p.count("Scan parquet") == 2
+
+
+def test_only_rows_of_large_keys_meet_the_edges(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    p = plan(daily_cap(ev, ["event_type"], 2, seq="event_id", target_rows=3))
+    assert "LeftAnti" in p and "LeftSemi" in p and re.search(r"Window.*_gk#\d+, _bk#\d+", p)

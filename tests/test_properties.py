@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 
 from tidemark import (consecutive_events, daily_cap, match_sequence, order_timeout, reconcile,
                       sliding_count)
-from tidemark.plans.ordered import balanced_buckets, time_bucket, with_neighbors
+from tidemark.plans.ordered import balanced_buckets, large_keys, time_bucket, with_neighbors
 from pyspark.sql import functions as F
 
 SCHEMA = "seq long, k string, typ string, t long"
@@ -198,7 +198,7 @@ def test_balanced_buckets_follow_the_order_and_bound_their_rows(spark):
     rows = gen_rows(19, n=400, span=60) + [(1000 + i, "hot", "a", 30) for i in range(50)] \
         + [(2000 + i, "hot", "a", i * 13) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = balanced_buckets(df, ["k"], F.col("t"), 100, 40, "b").collect()
+    got = balanced_buckets(df, ["k"], F.col("t"), 100, 40, "b", large_keys(df, ["k"], 40)).collect()
     assert len(got) == len(rows)
     for k, lst in by_key([(r.seq, r.k, r.b, r.t) for r in got]).items():
         buckets = [x[2] for x in sorted(lst, key=lambda x: x[3])]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, parse_duration
-from ..plans.ordered import TARGET_ROWS, balanced_buckets, balanced_neighbors
+from ..plans.ordered import TARGET_ROWS, balanced_buckets, balanced_neighbors, large_keys, running
 
 
 def match_sequence(df: DataFrame, key: str, steps: Sequence[Column | str], within,
@@ -80,14 +80,18 @@ def order_timeout(df: DataFrame, key: str, type_col: str = "event_type", start:
     t = F.col("_t")
     base = (df.withColumn("_t", epoch_micros(df, ts, unit))
               .withColumn("_st", F.coalesce(F.col(type_col) == start, F.lit(False))))
-    cut = balanced_buckets(base, [key], t, parse_duration(bucket), target_rows, "_b") if bucket is not None \
-        else base.withColumn("_b", F.lit(0).cast("long"))
-    cut = cut.withColumn("_k", F.struct(F.col(key)))
+    large = large_keys(base, [key], target_rows) if bucket is not None else None
+    width = parse_duration(bucket) if large is not None else 1
+    cut = balanced_buckets(base, [key], t, width, target_rows, "_b", large).withColumn("_k", F.struct(F.col(key)))
     start_t, other_t = F.when(F.col("_st"), t), F.when(~F.col("_st"), t)
     up = Window.partitionBy("_k", "_b").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
     down = (Window.partitionBy("_k", "_b").orderBy(F.col("_t").desc())
                   .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     rows = cut.select("*", F.max(start_t).over(up).alias("_before"), F.min(other_t).over(down).alias("_after"))
+    if large is None:
+        before, after = F.col("_before"), F.col("_after")
+        return (rows.filter(F.col("_st") & (before.isNull() | (before < t - F.lit(lim)))
+                            & (after.isNull() | (after > t + F.lit(lim)))).select(*df.columns))
     # what the other buckets of a cut key hold: the last start and the first other row
     per = (cut.filter(F.col("_b") > 0).groupBy("_k", "_b")
               .agg(F.max(start_t).alias("_ls"), F.min(other_t).alias("_fo")))
@@ -98,3 +102,47 @@ def order_timeout(df: DataFrame, key: str, type_col: str = "event_type", start:
     before, after = F.greatest("_before", "_xb"), F.least("_after", "_xa")  # both skip NULLs
     return (res.filter((before.isNull() | (before < t - F.lit(lim))) & (after.isNull() | (after > t + F.lit(lim))))
                .select(*df.columns))
+
+
+def order_timeout_state(df: DataFrame, key: str, type_col: str = "event_type", start: str = "create",
+                        limit="15 minutes", ts: str = "ts", seq: str = "seq", unit: str = "auto", clock: str = "stream",
+                        bucket="1 hour", target_rows: int = TARGET_ROWS) -> DataFrame:
+    """F4 as the state machine itself: per key one saved row and a timer at every
+    row's time + ``limit``.  A ``start`` is saved if nothing is, any other row
+    replaces what is saved; a timer reports a saved start and clears.
+
+    Rows come in the order of (ts, seq).  A timer has fired before a row if a row
+    before it had a later time than the timer: a row of any key (``clock='stream'``,
+    the reference's watermark after every row) or of this key (``'key'``).  At the
+    end of the input all timers fire.
+
+    Rows and timers are put on one line per key, a row at the time the clock shows
+    when it comes.  The timers that have fired number the runs of rows between two
+    clearings; a run reports its first row if it holds starts only.  So a running
+    count (keys with more than ``target_rows`` events are cut along time) and one
+    aggregate are enough, however many timers a run has.
+    """
+    lim = parse_duration(limit)
+    base = (df.withColumn("_t", epoch_micros(df, ts, unit)).withColumn("_q", F.col(seq).cast("long"))
+              .withColumn("_st", F.coalesce(F.col(type_col) == start, F.lit(False))).withColumn("_all", F.lit(0)))
+    scope = "_all" if clock == "stream" else key
+    base = _cut_running(base, [scope], ["_t", "_q"], "_t", F.col("_t"), "max", "_clock", True, bucket, target_rows)
+    # the first row of all finds a clock that has not begun
+    events = base.withColumn("_e", F.explode(F.array(
+        F.struct(F.coalesce("_clock", F.col("_t")).alias("at"), F.lit(0).alias("fires")),
+        F.struct((F.col("_t") + F.lit(lim)).alias("at"), F.lit(1).alias("fires")))))
+    events = events.withColumn("_at", F.col("_e.at")).withColumn("_fires", F.col("_e.fires"))
+    # a row meets the timers before its clock; at the same instant the row comes first
+    events = _cut_running(events.select(*df.columns, "_t", "_q", "_st", "_at", "_fires"), [key],
+                          ["_at", "_fires", "_t", "_q"], "_at", F.col("_fires"), "sum", "_run", False, bucket, target_rows)
+    rows = events.filter(F.col("_fires") == 0).withColumn("_k", F.struct(F.col(key)))
+    runs = rows.groupBy("_k", "_run").agg(
+        F.min_by(F.struct(*[F.col(c) for c in df.columns]), F.struct("_t", "_q")).alias("_first"), F.min("_st").alias("_only"))
+    return runs.filter("_only").select("_first.*")
+
+
+def _cut_running(df, keys, order, pos, value, how, out, strict, bucket, target_rows):
+    """``running`` with the keys above ``target_rows`` cut along ``pos``."""
+    large = large_keys(df, keys, target_rows)
+    b = balanced_buckets(df, keys, F.col(pos), parse_duration(bucket), target_rows, "_b", large)
+    return running(b, keys, order, value, how, out, None if large is None else "_b", strict).drop("_b")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros, micros_of, parse_duration
+from ..plans.ordered import TARGET_ROWS, balanced_buckets, large_keys, running, with_neighbors
 
 
 KINDS = ("matched", "unmatched_order", "unmatched_pay")
@@ -62,3 +63,57 @@ def reconcile(orders: DataFrame, pays: DataFrame, key="order_id",
     return res.select(*keys, kind,
                       F.when(F.col(kind) != "unmatched_pay", F.col("order")).alias("order"),
                       F.when(F.col(kind) != "unmatched_order", F.col("pay")).alias("pay"))
+
+
+def reconcile_pairs(orders: DataFrame, pays: DataFrame, key="order_id", orders_ts: str = "ts", pays_ts: str = "ts",
+                    orders_seq: str | None = None, pays_seq: str | None = None, unit: str = "auto", tolerance=None,
+                    kind: str = "kind", kinds=KINDS, bucket="1 hour", target_rows: int = TARGET_ROWS) -> DataFrame:
+    """J1 with repeated pairing: a key's rows of both sides meet in event-time
+    order (ties: orders first, then ``seq``), each side keeps its latest waiting
+    row, and a row that finds one of the other side waiting makes a pair with it
+    and clears both; then the key starts anew.  With ``tolerance`` a row waits
+    only that long, and is reported alone when it ends.  A waiting row that a
+    later one of its own side replaces is not reported, as in the reference.
+
+    Columns as in ``reconcile``: key, kind, ``order``, ``pay``; one row per pair
+    and per row left alone.
+
+    A row that follows one of its own side, or none, or one that waits no longer,
+    waits afterwards whatever came before it ("set"); any other row turns
+    waiting into a pair or the reverse ("flip").  Such maps compose, so the state
+    after a row is the parity of the rows since the last "set", a prefix maximum
+    over row numbers, and a pair always consists of neighbours.  Keys with more
+    than ``target_rows`` rows are cut along time.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def side(df, name, ts, seq):
+        empty = {"order": orders, "pay": pays}
+        cols = {n: F.lit(None).cast(d.select(F.struct(*[F.col(c) for c in d.columns])).schema[0].dataType)
+                for n, d in empty.items()}
+        cols[name] = F.struct(*[F.col(c) for c in df.columns])
+        return df.select(*[F.col(k) for k in keys], epoch_micros(df, ts, unit).alias("_t"), F.lit(int(name == "pay")).alias("_side"),
+                         (F.col(seq).cast("long") if seq else F.lit(0).cast("long")).alias("_seq"),
+                         *[c.alias(f"_{n}") for n, c in cols.items()])
+
+    rows = side(orders, "order", orders_ts, orders_seq).unionByName(side(pays, "pay", pays_ts, pays_seq))
+    order = ["_t", "_side", "_seq"]
+    large = large_keys(rows, keys, target_rows)
+    b = balanced_buckets(rows, keys, F.col("_t"), parse_duration(bucket), target_rows, "_b", large)
+    cut = None if large is None else "_b"
+    payload = ["_t", "_side", "_order", "_pay"]
+    nb = with_neighbors(b, keys, order, None if cut is None else F.col(cut), payload, lags=1, leads=1,
+                        whole=F.col("_b") == 0)
+    before, after, t = F.col("prev1"), F.col("next1"), F.col("_t")
+    late = F.lit(False) if tolerance is None else t - before["_t"] > F.lit(parse_duration(tolerance))
+    sets = before.isNull() | (before["_side"] == F.col("_side")) | late
+    nb = running(nb, keys, order, F.lit(1), "sum", "_rn", cut)
+    nb = running(nb, keys, order, F.when(sets, F.col("_rn")), "max", "_set", cut)
+    pairs = (F.col("_rn") - F.col("_set")) % 2 == 1
+    over = after.isNull() if tolerance is None else (
+        after.isNull() | (after["_t"] - t > F.lit(parse_duration(tolerance))))
+    of = (F.when(pairs, F.lit("matched")).when(~over, F.lit(None))
+           .when(F.col("_side") == 0, F.lit("unmatched_order")).otherwise(F.lit("unmatched_pay")))
+    return (nb.withColumn(kind, of).filter(F.col(kind).isin(list(kinds)))
+              .select(*keys, kind, *[F.when(pairs, F.coalesce(F.col(f"_{n}"), before[f"_{n}"])).otherwise(F.col(f"_{n}")).alias(n)
+                                     for n in ("order", "pay")]))

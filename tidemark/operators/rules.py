@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import cap_warning, login_alert
 from ..functions.time import epoch_micros, parse_duration
-from ..plans.ordered import TARGET_ROWS, balanced_buckets, balanced_neighbors, floor_div
+from ..plans.ordered import TARGET_ROWS, balanced_buckets, balanced_neighbors, floor_div, large_keys
 
 DAY_US = 86_400_000_000
 #: Sequence numbers per counting slot when rows are taken in arrival order.
@@ -30,10 +30,10 @@ def daily_cap(df: DataFrame, keys: str | Sequence[str], max_count: int = 100, ts
     and the warning text in ``msg``.  ``order='event'`` counts by (ts, seq);
     ``order='arrival'`` by ``seq``, as the reference meets the rows.
 
-    One plan for every ``max_count``: rows are ranked inside (key, day, bucket)
-    and at most max+2 of a bucket stay; a (key, day) with more than
-    ``target_rows`` rows is cut along its order, and the rank is completed by
-    the row counts of its earlier buckets.
+    One plan for every ``max_count``: where a (key, day) has more than
+    ``target_rows`` rows, rows are ranked inside (key, day, bucket), at most max+2
+    of a bucket stay, and the rank is completed by the row counts of the earlier
+    buckets; where none has, inside (key, day).
     """
     keys = _keys(keys)
     limit = max_count + 2
@@ -42,15 +42,20 @@ def daily_cap(df: DataFrame, keys: str | Sequence[str], max_count: int = 100, ts
         ordering, pos, width = [F.col(seq)], F.col(seq), ARRIVAL_SLOT
     else:
         ordering, pos, width = [F.col("_t")] + ([F.col(seq)] if seq else []), F.col("_t"), parse_duration(bucket)
-    b = (balanced_buckets(base, [*keys, "_day"], pos, width, target_rows, "_bk")
-         .withColumn("_gk", F.struct(*[F.col(k) for k in keys], F.col("_day"))))  # NULL-safe group key
-    ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_gk", "_bk").orderBy(*ordering)))
-    ranked = ranked.filter(F.col("_rn") <= limit)
-    counts = b.filter(F.col("_bk") > 0).groupBy("_gk", "_bk").agg(F.count(F.lit(1)).alias("_bc"))
-    ws = Window.partitionBy("_gk").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_gk", "_bk", F.coalesce(F.sum("_bc").over(ws), F.lit(0)).alias("_off"))
-    ranked = (ranked.join(offsets, ["_gk", "_bk"], "left")
-                    .withColumn("_rn", F.col("_rn") + F.coalesce("_off", F.lit(0))).filter(F.col("_rn") <= limit))
+    large = large_keys(base, [*keys, "_day"], target_rows)
+    if large is None:
+        ranked = base.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_day").orderBy(*ordering)))
+        ranked = ranked.filter(F.col("_rn") <= limit)
+    else:
+        b = (balanced_buckets(base, [*keys, "_day"], pos, width, target_rows, "_bk", large)
+             .withColumn("_gk", F.struct(*[F.col(k) for k in keys], F.col("_day"))))  # NULL-safe group key
+        ranked = b.withColumn("_rn", F.row_number().over(Window.partitionBy("_gk", "_bk").orderBy(*ordering)))
+        ranked = ranked.filter(F.col("_rn") <= limit)
+        counts = b.filter(F.col("_bk") > 0).groupBy("_gk", "_bk").agg(F.count(F.lit(1)).alias("_bc"))
+        ws = Window.partitionBy("_gk").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select("_gk", "_bk", F.coalesce(F.sum("_bc").over(ws), F.lit(0)).alias("_off"))
+        ranked = (ranked.join(offsets, ["_gk", "_bk"], "left")
+                        .withColumn("_rn", F.col("_rn") + F.coalesce("_off", F.lit(0))).filter(F.col("_rn") <= limit))
     return (ranked.withColumn(kind, F.when(F.col("_rn") <= max_count + 1, F.lit("pass"))
                               .otherwise(F.lit("warning")))
                   .withColumn(msg, F.when(F.col(kind) == "warning", cap_warning(max_count)))

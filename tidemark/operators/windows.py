@@ -53,7 +53,8 @@ def pane_counts(df: DataFrame, keys, slide, ts: str = "ts", unit: str = "auto")
 
 def windows_from_panes(panes: DataFrame, keys, size, slide, out: str = "cnt",
                        block=None, with_start: bool = False) -> DataFrame:
-    """Sliding counts from ``pane_counts`` output (see module doc)."""
+    """Sliding counts from ``pane_counts`` output (see module doc).  A column ``_in``
+    of the panes is the first window end that counts them (default: the pane end)."""
     keys = _keys(keys)
     z, s = parse_duration(size), parse_duration(slide)
     if z % s:
@@ -66,12 +67,13 @@ def windows_from_panes(panes: DataFrame, keys, size, slide, out: str = "cnt",
         want = max(z, 3_600_000_000) if block is None else parse_duration(block)
         b = max(s, -(-want // s) * s)
         pe, n = F.col("_pe"), F.col("_n")
+        first = F.col("_in") if "_in" in panes.columns else pe
         blk = F.col("_blk")
         bstart = blk * F.lit(b)
         bend = bstart + F.lit(b)
-        copies = panes.select(*keys, "_pe", "_n", F.explode(F.sequence(
-            floor_div(pe, b), floor_div(pe + F.lit(z - s), b))).alias("_blk"))
-        enter = F.struct(F.greatest(pe, bstart).alias("t"), n.alias("d"))
+        copies = panes.select(*panes.columns, F.explode(F.sequence(
+            floor_div(first, b), floor_div(pe + F.lit(z - s), b))).alias("_blk"))
+        enter = F.struct(F.greatest(first, bstart).alias("t"), n.alias("d"))
         leave = F.when(pe + F.lit(z) < bend, F.struct((pe + F.lit(z)).alias("t"), (-n).alias("d")))
         deltas = copies.select(*keys, "_blk", F.explode(F.filter(
             F.array(enter, leave), lambda x: x.isNotNull())).alias("e"))

@@ -143,6 +143,86 @@ SELECT p.user_id, p.day, 'unmatched_pay', NULL, pay_event_id
   FROM p LEFT JOIN o ON o.user_id = p.user_id AND o.day = p.day
   WHERE o.user_id IS NULL OR abs(pt - ot) > {12 * H}"""
 
+
+def _pairs(tolerance: int | None) -> str:
+    """A waiting row per user, walked row by row (ws: side that waits, wi: its id, wt: its time)."""
+    gone = "false" if tolerance is None else f"t - wt > {tolerance}"
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, epoch_us(ts) AS t, CAST(event_type = 'purchase' AS INT) AS side,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_type = 'purchase', event_id) AS rn
+  FROM events WHERE event_type IN ('signup', 'purchase')),
+s AS (
+  SELECT user_id, 0::BIGINT AS rn, -1 AS ws, NULL::BIGINT AS wi, NULL::BIGINT AS wt, NULL::BIGINT AS mo, NULL::BIGINT AS mp,
+         -1 AS xs, NULL::BIGINT AS xi
+  FROM (SELECT DISTINCT user_id FROM e)
+  UNION ALL
+  SELECT user_id, rn, CASE WHEN pair THEN -1 ELSE side END, CASE WHEN pair THEN NULL ELSE event_id END,
+         CASE WHEN pair THEN NULL ELSE t END,
+         CASE WHEN pair THEN CASE WHEN side = 0 THEN event_id ELSE wi END END,
+         CASE WHEN pair THEN CASE WHEN side = 1 THEN event_id ELSE wi END END,
+         CASE WHEN gone THEN ws ELSE -1 END, CASE WHEN gone THEN wi END
+  FROM (SELECT e.*, ws, wi, ws >= 0 AND {gone} AS gone, wt,
+               ws >= 0 AND NOT ({gone}) AND ws <> side AS pair
+        FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1)),
+l AS (SELECT user_id, max(rn) AS rn FROM s GROUP BY user_id)
+SELECT user_id, 'matched' AS kind, mo AS order_event_id, mp AS pay_event_id FROM s WHERE mo IS NOT NULL
+UNION ALL
+SELECT user_id, CASE WHEN xs = 0 THEN 'unmatched_order' ELSE 'unmatched_pay' END, CASE WHEN xs = 0 THEN xi END,
+       CASE WHEN xs = 1 THEN xi END FROM s WHERE xi IS NOT NULL
+UNION ALL
+SELECT user_id, CASE WHEN ws = 0 THEN 'unmatched_order' ELSE 'unmatched_pay' END, CASE WHEN ws = 0 THEN wi END,
+       CASE WHEN ws = 1 THEN wi END FROM s JOIN l USING (user_id, rn) WHERE ws >= 0"""
+
+
+def _machine(clock: str) -> str:
+    """The saved row per user, walked over rows and timers (state: 0 none, 1 click, 2 other)."""
+    over = "ORDER BY ts, event_id" if clock == "stream" else "PARTITION BY user_id ORDER BY ts, event_id"
+    return f"""
+WITH RECURSIVE r AS (
+  SELECT user_id, event_id, event_type, epoch_us(ts) AS t, coalesce(lag(epoch_us(ts)) OVER ({over}), epoch_us(ts)) AS clock
+  FROM events),
+v AS (SELECT user_id, event_id, t, clock AS pos, 0 AS fires, CAST(event_type = 'click' AS INT) AS st FROM r
+      UNION ALL SELECT user_id, event_id, t, t + {SIX_H}, 1, 0 FROM r),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY pos, fires, t, event_id) AS rn FROM v),
+s AS (
+  SELECT user_id, 0::BIGINT AS rn, 0 AS state, NULL::BIGINT AS saved, NULL::BIGINT AS alert
+  FROM (SELECT DISTINCT user_id FROM n)
+  UNION ALL
+  SELECT n.user_id, n.rn,
+         CASE WHEN fires = 1 THEN 0 WHEN st = 0 THEN 2 WHEN state = 0 THEN 1 ELSE state END,
+         CASE WHEN fires = 1 THEN NULL WHEN st = 0 OR state = 0 THEN event_id ELSE saved END,
+         CASE WHEN fires = 1 AND state = 1 THEN saved END
+  FROM s JOIN n ON n.user_id = s.user_id AND n.rn = s.rn + 1)
+SELECT user_id, alert AS event_id FROM s WHERE alert IS NOT NULL"""
+
+
+_HALF_H = H // 2
+_ARRIVED = """
+WITH a AS (SELECT event_id, event_type, epoch_us(ts) AS t,
+                  (epoch_us(ts) + ((event_id * 7919) % 14400) * 1000000) * 1024 + event_id % 1024 AS arrival FROM events),
+m AS (SELECT *, max(t) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a)"""
+_LATE_KEPT = _ARRIVED + f""",
+w AS (SELECT event_id, seen, {_slide('t', 2 * H, _HALF_H)} AS we FROM m)
+SELECT event_id, min(we) // 1000 AS open_from FROM w WHERE seen IS NULL OR seen - {H} < we GROUP BY event_id"""
+_ON_TIME = _ARRIVED + f""",
+w AS (SELECT event_type, seen, {_slide('t', 2 * H, _HALF_H)} AS we FROM m)
+SELECT event_type, we // 1000 AS window_end, count(*) AS cnt FROM w WHERE seen IS NULL OR seen < we GROUP BY event_type, we"""
+
+_RUNNING_UV = f"""
+WITH v AS (SELECT event_id, user_id, epoch_us(ts) AS t FROM events WHERE event_type = 'view'),
+f AS (SELECT event_id, {_HOUR_END} AS window_end,
+             row_number() OVER (PARTITION BY {_HOUR_END}, user_id ORDER BY event_id) = 1 AS fresh FROM v)
+SELECT event_id, window_end,
+       CAST(sum(CAST(fresh AS INT)) OVER (PARTITION BY window_end ORDER BY event_id) AS BIGINT) AS uv FROM f"""
+
+_CAPPED_GEO = f"""
+WITH r AS ({_CAP}),
+g AS (SELECT r.t, n.n_name AS province FROM r JOIN customer c ON r.user_id = c.c_custkey
+                                              JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE rn <= 3),
+w AS (SELECT province, {_slide('t', H, 5_000_000)} AS we FROM g)
+SELECT province, we // 1000 AS window_end, count(*) AS cnt FROM w GROUP BY province, we"""
+
 ORACLE: dict[str, str] = {
     "hot_items_topn": _TOPN,
     "hot_items_report": _REPORT,
@@ -185,4 +265,14 @@ WHERE event_type = 'error' AND pt = 'error' AND epoch_us(ts) < epoch_us(pts) + {
     "unique_visitors_approx_error": f"""
 WITH v AS ({_VIEWS})
 SELECT DISTINCT {_HOUR_END} AS window_end, true AS within FROM v""",
+    # exact counts: the sketches hold far fewer users than registers here
+    "unique_visitors_daily_merged": f"WITH v AS ({_VIEWS}) SELECT (t - t % {DAY} + {DAY}) // 1000 AS window_end, count(DISTINCT user_id) AS uv FROM v GROUP BY 1",
+    "unique_visitors_running": _RUNNING_UV,
+    "reconcile_repeated": _pairs(None),
+    "reconcile_repeated_within": _pairs(12 * H),
+    "order_timeout_machine": _machine("stream"),
+    "order_timeout_machine_by_key": _machine("key"),
+    "late_rows_kept": _LATE_KEPT,
+    "on_time_counts": _ON_TIME,
+    "capped_geo_sliding": _CAPPED_GEO,
 }

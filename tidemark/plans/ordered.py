@@ -4,8 +4,9 @@
 with one key holding a third of the data that task is the whole job.
 ``balanced_buckets`` therefore cuts the keys with more than ``target`` rows -
 and only those - into buckets along the order, with edges from row counts, so
-a bucket holds about ``target`` rows however dense a stretch of time is.  Keys
-below the target keep one bucket and cost what a plain window costs.
+a bucket holds about ``target`` rows however dense a stretch of time is.  The
+large keys are found first, by one job over the key columns (``large_keys``);
+where there are none, the operators use plain windows.
 
 ``with_neighbors`` ranks rows inside (key, bucket) and takes the neighbours of
 a cut key's edge rows from a second window over its edge rows only.
@@ -18,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage_rows
+
 #: Keys with more rows than this are cut into buckets of about this many rows.
 TARGET_ROWS = 1 << 18
 _CUTS = 1 << 20
@@ -27,23 +30,37 @@ def _ordered(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
+def large_keys(df: DataFrame, keys: Sequence[str], target: int = TARGET_ROWS) -> DataFrame | None:
+    """The keys with more than ``target`` rows as a staged table of one struct
+    column ``_bb_k``; None if there are none (then plain windows do).
+
+    Runs one job over the key columns with partial aggregates.  A key is large
+    only with its share of all rows, so there are at most rows / target of them.
+    """
+    k = F.struct(*[F.col(c) for c in keys])
+    counts = df.groupBy(k.alias("_bb_k")).agg(F.count(F.lit(1)).alias("_bb_n"))
+    table, n = stage_rows(counts.filter(F.col("_bb_n") > target).select("_bb_k"), "large-keys")
+    return table if n else None
+
+
 def balanced_buckets(df: DataFrame, keys: Sequence[str], pos: Column, width: int,
-                     target: int = TARGET_ROWS, out: str = "_nb_b") -> DataFrame:
+                     target: int = TARGET_ROWS, out: str = "_nb_b", large: DataFrame | None = None) -> DataFrame:
     """Add ``out``: 0 for every row of a key with at most ``target`` rows, else a
     bucket number above 0 that does not decrease along ``pos`` (a long).
 
-    A key's rows are counted per slot of ``width`` (partial aggregates on two
+    ``large`` is the result of ``large_keys``; only rows of these keys meet the
+    edges: they are counted per slot of ``width`` (partial aggregates on two
     columns); runs of sparse slots share a bucket and a slot with more rows than
     the target is cut evenly.  Rows of one single ``pos`` are never parted.  The
     edges decide where work is done, never a result.
     """
-    base = (df.withColumn("_bb_k", F.struct(*[F.col(k) for k in keys]))
-              .withColumn("_bb_p", pos.cast("long"))
-              .withColumn("_bb_s", floor_div(F.col("_bb_p"), width)))
-    large = (base.groupBy("_bb_k").agg(F.count(F.lit(1)).alias("_bb_n"))
-                 .filter(F.col("_bb_n") > target).select("_bb_k"))
-    slots = (base.select("_bb_k", "_bb_s").join(large, "_bb_k", "left_semi")
-                 .groupBy("_bb_k", "_bb_s").agg(F.count(F.lit(1)).alias("_bb_n")))
+    if large is None:
+        return df.withColumn(out, F.lit(0).cast("long"))
+    keyed = df.withColumn("_bb_k", F.struct(*[F.col(k) for k in keys]))
+    light = keyed.join(large, "_bb_k", "left_anti").withColumn(out, F.lit(0).cast("long"))
+    base = (keyed.join(large, "_bb_k", "left_semi").withColumn("_bb_p", pos.cast("long"))
+                 .withColumn("_bb_s", floor_div(F.col("_bb_p"), width)))
+    slots = base.groupBy("_bb_k", "_bb_s").agg(F.count(F.lit(1)).alias("_bb_n"))
     w = Window.partitionBy("_bb_k").orderBy("_bb_s").rowsBetween(Window.unboundedPreceding, -1)
     edges = slots.select("_bb_k", "_bb_s", floor_div(F.coalesce(F.sum("_bb_n").over(w), F.lit(0)), target).alias("_bb_g"),
                          F.when(F.col("_bb_n") > target, F.least(F.ceil(F.col("_bb_n") / target), F.lit(_CUTS)))
@@ -51,9 +68,8 @@ def balanced_buckets(df: DataFrame, keys: Sequence[str], pos: Column, width: int
     dense = F.col("_bb_c").isNotNull()
     part = floor_div((F.col("_bb_p") - F.col("_bb_s") * F.lit(width)) * F.col("_bb_c"), width)
     bucket = ((F.col("_bb_g") * 2 + dense.cast("long")) * F.lit(_CUTS) + F.coalesce(part, F.lit(0)) + 1)
-    return (base.join(edges, ["_bb_k", "_bb_s"], "left")
-                .withColumn(out, F.coalesce(bucket, F.lit(0)).cast("long"))
-                .select(*df.columns, out))
+    heavy = base.join(edges, ["_bb_k", "_bb_s"], "left").withColumn(out, bucket.cast("long"))
+    return light.select(*df.columns, out).unionByName(heavy.select(*df.columns, out))
 
 
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, bucket: Column | None,
@@ -112,14 +128,42 @@ def _plain_neighbors(df, keys, order_cols, payload, lags, leads, prefix):
 def balanced_neighbors(df: DataFrame, keys: Sequence[str], order: Sequence, pos: Column, width: int | None,
                        payload: Sequence[str], lags: int = 0, leads: int = 0,
                        target: int = TARGET_ROWS) -> DataFrame:
-    """``with_neighbors`` over ``balanced_buckets``; ``width=None`` is one plain window per key."""
-    if width is None:
+    """``with_neighbors`` over ``balanced_buckets``; one plain window per key with
+    ``width=None`` and where no key is large."""
+    large = large_keys(df, keys, target) if width is not None else None
+    if large is None:
         return with_neighbors(df, keys, order, None, payload, lags, leads)
-    b = balanced_buckets(df, keys, pos, width, target, "_bb_b")
+    b = balanced_buckets(df, keys, pos, width, target, "_bb_b", large)
     return with_neighbors(b, keys, order, F.col("_bb_b"), payload, lags, leads,
                           whole=F.col("_bb_b") == 0).drop("_bb_b")
 
 
+def running(df: DataFrame, keys: Sequence[str], order: Sequence, value: Column, how: str, out: str,
+            bucket: str | None = None, strict: bool = False) -> DataFrame:
+    """Add ``out``: the sum or max (``how``) of ``value`` over the rows of the key up
+    to this one in ``order`` (``strict``: before this one).
+
+    ``bucket`` names a column of ``balanced_buckets``: a prefix inside each
+    (key, bucket) is completed by one row per earlier bucket.  None: one window
+    per key.
+    """
+    agg = {"sum": F.sum, "max": F.max}[how]
+    order_cols = _ordered(order)
+    frame = (Window.unboundedPreceding, -1 if strict else Window.currentRow)
+    if bucket is None:
+        got = agg(value).over(Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(*frame))
+        return df.withColumn(out, F.coalesce(got, F.lit(0)) if how == "sum" else got)
+    base = df.withColumn("_rv", value).withColumn("_rk", F.struct(*[F.col(k) for k in keys]))
+    inner = agg("_rv").over(Window.partitionBy("_rk", bucket).orderBy(*order_cols).rowsBetween(*frame))
+    per = base.filter(F.col(bucket) > 0).groupBy("_rk", bucket).agg(agg("_rv").alias("_rs"))
+    earlier = Window.partitionBy("_rk").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_rk", bucket, agg("_rs").over(earlier).alias("_ro"))
+    both = (F.coalesce("_ri", F.lit(0)) + F.coalesce("_ro", F.lit(0)) if how == "sum"
+            else F.greatest("_ri", "_ro"))  # greatest skips NULLs
+    return (base.withColumn("_ri", inner).join(per, ["_rk", bucket], "left")
+                .select(*df.columns, both.alias(out)))
+
+
 def floor_div(c: Column, width: int) -> Column:
     """Exact integer floor division (also for negatives): the numerator is
     made an exact multiple of ``width`` before dividing."""

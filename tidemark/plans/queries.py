@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import format_topn_report
+from ..operators.arrival import drop_late, running_distinct, sliding_count_on_time
 from ..operators.distinct import (unique_per_window, unique_per_window_approx,
-                                  unique_per_window_bitmap)
-from ..operators.patterns import match_sequence, order_timeout
-from ..operators.reconcile import reconcile
+                                  unique_per_window_bitmap, visitor_sketches, visitors_from_sketches)
+from ..operators.patterns import match_sequence, order_timeout, order_timeout_state
+from ..operators.reconcile import reconcile, reconcile_pairs
 from ..operators.rules import consecutive_events, daily_cap
 from ..operators.topn import top_n_per_window
 from ..operators.windows import marketing_counts, sliding_count, tumbling_count
@@ -235,6 +236,78 @@ def unique_visitors_approx_error(spark, sf):
         "window_end", (F.abs(F.col("uv") - F.col("n")) <= F.greatest(F.lit(1.0), F.col("n") * 4 * 0.05)).alias("within"))
 
 
+def unique_visitors_daily_merged(spark, sf):
+    """A6 stored: hourly sketches, merged into days."""
+    return visitors_from_sketches(visitor_sketches(_views(spark, sf), "user_id", "1 hour"), "1 day")
+
+
+def _user_pairs(spark, sf, tolerance=None):
+    """J1 with repeated pairing: a user's signups and purchases over the whole table."""
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    r = reconcile_pairs(ev.filter(F.col("event_type") == "signup"), ev.filter(F.col("event_type") == "purchase"),
+                        key="user_id", orders_seq="event_id", pays_seq="event_id", tolerance=tolerance)
+    return r.select("user_id", "kind", F.col("order.event_id").alias("order_event_id"),
+                    F.col("pay.event_id").alias("pay_event_id"))
+
+
+def reconcile_repeated(spark, sf):
+    return _user_pairs(spark, sf)
+
+
+def reconcile_repeated_within(spark, sf):
+    return _user_pairs(spark, sf, "12 hours")
+
+
+def _timeout_states(spark, sf, clock):
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    return order_timeout_state(ev, "user_id", "event_type", "click", SIX_HOURS, seq="event_id",
+                               clock=clock).select("user_id", "event_id")
+
+
+def order_timeout_machine(spark, sf):
+    """F4 as the saved row with timers, time moving with every row of the stream."""
+    return _timeout_states(spark, sf, "stream")
+
+
+def order_timeout_machine_by_key(spark, sf):
+    return _timeout_states(spark, sf, "key")
+
+
+def _disordered(spark, sf):
+    """Events in an arrival order of their own: up to about four hours late."""
+    ev = _events(spark, sf).select("event_id", "ts", "user_id", "event_type")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return ev.withColumn("arrival", (us + F.pmod(F.col("event_id") * 7919, F.lit(14_400)) * 1_000_000) * 1024
+                         + F.pmod("event_id", F.lit(1024)))
+
+
+def late_rows_kept(spark, sf):
+    """Which rows a watermark of one hour takes into 2 h / 30 min windows, and from which on."""
+    return drop_late(_disordered(spark, sf), seq="arrival", delay="1 hour", size="2 hours",
+                     slide="30 minutes").select("event_id", "open_from")
+
+
+def on_time_counts(spark, sf):
+    """A2 without the late rows, no watermark delay."""
+    return sliding_count_on_time(_disordered(spark, sf), ["event_type"], "2 hours", "30 minutes", seq="arrival")
+
+
+def unique_visitors_running(spark, sf):
+    """The visitors of the hour so far, for every page view."""
+    ev = _events(spark, sf).filter(F.col("event_type") == "view").select("event_id", "ts", "user_id")
+    return running_distinct(ev, "user_id", "1 hour", seq="event_id").select("event_id", "window_end", "uv")
+
+
+def capped_geo_sliding(spark, sf):
+    """A8 as the reference has it: by province, 1 h / 5 s, what the daily cap lets through."""
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("province"))
+    passed = _capped(spark, sf).filter(F.col("kind") == "pass").select("ts", "user_id")
+    geo = (passed.join(cust, passed.user_id == cust.c_custkey)
+                 .join(nation, F.col("c_nationkey") == nation.n_nationkey).select("ts", "province"))
+    return sliding_count(geo, ["province"], "1 hour", "5 seconds")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_topn": hot_items_topn,
     "hot_items_report": hot_items_report,
@@ -264,4 +337,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "epoch_scaling": epoch_scaling,
     "login_alerts": login_alerts,
     "unique_visitors_approx_error": unique_visitors_approx_error,
+    "unique_visitors_daily_merged": unique_visitors_daily_merged,
+    "unique_visitors_running": unique_visitors_running,
+    "reconcile_repeated": reconcile_repeated,
+    "reconcile_repeated_within": reconcile_repeated_within,
+    "order_timeout_machine": order_timeout_machine,
+    "order_timeout_machine_by_key": order_timeout_machine_by_key,
+    "late_rows_kept": late_rows_kept,
+    "on_time_counts": on_time_counts,
+    "capped_geo_sliding": capped_geo_sliding,
 }

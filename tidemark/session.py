@@ -13,7 +13,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -62,6 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stage_rows(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once below the shared checkpoint folder: (the table read back,
+    its row count).  A lost executor loses nothing of it, and its size is known."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "staged", f"{name}-{uuid.uuid4().hex[:12]}")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"]
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming query's offsets and state."""
     return os.path.join(ensure_checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
