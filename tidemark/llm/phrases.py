@@ -10,8 +10,8 @@ expanded from the rarest first words (highest bounds) on.
 Growth.  The words of every language are counted.  A first batch of first words,
 those with the best bounds holding ``SHARE`` of the occurrences of counted
 words, is grown word by word: a pass over the texts counts every one-word
-extension of the phrases that reached ``min_count``, up to five words; a
-further pass counts the rests of the cuts that begin with words outside the
+extension of the phrases that reached ``min_count`` (of three-word phrases every
+extension up to five words); a further pass counts the rests of the cuts that begin with words outside the
 batch.  If a language then has ``top`` surviving phrases, the score of the last
 of them, ties included, settles which first words can still matter: those whose
 bound reaches it form the second and last batch; words below are never grown.
@@ -122,20 +122,20 @@ def count_words(lang: str, w: Words):
 
 def count_phrases(lang: str, w: Words, asked):
     """Counts of the phrases asked for, with the extremes of their neighbours' hashes (0: none)."""
-    grow, frequent, wanted = asked
+    (stem, stems, reach), frequent, wanted = asked
     own = word_hashes(w.words.to_pylist())
     at = own[w.codes]
     ok = frequent.holds(chained(lang_hash(lang), own))[w.codes]
     h = chained(lang_hash(lang), at)
-    last = max([k + 1 for k in grow] + list(wanted), default=1)
-    for k in range(2, last + 1):
+    grows = np.zeros(len(w), bool)
+    for k in range(2, max([reach, *wanted]) + 1):
         if len(w) < k:
             return
         before, h = h, chained(h[:-1], at[k - 1:])
-        take = np.zeros(len(h), bool)
-        if k - 1 in grow:
-            take = ok[:-1] & ok[1:] if k == 2 else ok[:len(h)] & ok[k - 1:]
-            take &= grow[k - 1].holds(before[:-1])
+        if k == stem + 1:
+            grows = ok[:len(h)] & stems.holds(before[:-1])
+        grows = grows[:len(h)] & ok[k - 1:]
+        take = grows & (stem < k <= reach)
         if k in wanted:
             take |= wanted[k].holds(h)
         take &= w.piece[:len(h)] == w.piece[k - 1:]
@@ -248,12 +248,13 @@ def grown(docs: DataFrame, words: DataFrame, batch: DataFrame, known: DataFrame
     spark = docs.sparkSession
     none = spark.createDataFrame([], "lang string, k int, phrase binary, a long, left_one boolean, right_one boolean")
     level, found = batch, none
-    for k in range(2, max_words + 1):
-        asked = {k - 1: slots_of(level)}, frequent, {}
+    # from three words on few phrases are left: the last step grows by all the words that remain
+    for stem, reach in [(k, k + 1) for k in range(1, min(3, max_words))] + [(3, max_words)] * (max_words > 3):
+        asked = (stem, slots_of(level), reach), frequent, {}
         prefix = level.select("lang", F.col("phrase").alias("_p"))
         ext = counted(docs, count_phrases, asked).filter(F.col("a") >= min_count)
-        level = staged(ext.withColumn("_p", _part(1, k - 1)).join(prefix, ["lang", "_p"], "left_semi").drop("_p"),
-                       f"phrases{k}")
+        level = staged(ext.withColumn("_p", _part(1, stem)).join(prefix, ["lang", "_p"], "left_semi").drop("_p"),
+                       f"phrases{reach}")
         found = found.unionByName(level)
         if level.isEmpty():
             break
@@ -265,7 +266,7 @@ def grown(docs: DataFrame, words: DataFrame, batch: DataFrame, known: DataFrame
     sizes = [r.k for r in rests.select("k").distinct().collect()]
     if not sizes:
         return found, none
-    asked = {}, frequent, {k: slots_of(rests.filter(F.col("k") == k)) for k in sizes}
+    asked = (0, None, 0), frequent, {k: slots_of(rests.filter(F.col("k") == k)) for k in sizes}
     counts = counted(docs, count_phrases, asked).join(rests.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
     return found, staged(counts.select(none.columns), "rest-counts")
 
