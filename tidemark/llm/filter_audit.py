@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, shuffle_width, staged
+from .common import documents, prepare, shuffle_width, staged, word_spans
 
 FILTERS = "ABCDE"
 MIN_WORDS = 100
@@ -80,21 +80,6 @@ def surface_fails(raw: bytes) -> int:
     return (4 if 100 * capitals > MAX_CAPITAL_PERCENT * points else 0) | (8 if any(s in raw for s in _SYMBOLS) else 0)
 
 
-def word_spans(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """All words of the texts, dictionary-encoded, and how many each text has."""
-    raw = b" ".join(texts)
-    a = np.frombuffer(raw, np.uint8)
-    blank = (a == 32) | ((a >= 9) & (a <= 13))
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
-    starts, ends = edge[0::2], edge[1::2]
-    offsets = np.empty(2 * len(starts) + 1, np.int32)
-    offsets[0:-1:2], offsets[1::2], offsets[-1] = starts, ends, len(raw)
-    spans = pa.Array.from_buffers(pa.binary(), 2 * len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-    stops = np.cumsum([len(t) + 1 for t in texts])
-    counts = np.diff(np.concatenate(([0], np.searchsorted(starts, stops))))
-    return spans.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode(), counts
-
-
 def local_shards(batches):
     """Shards (``LOCAL``) of rows (doc_id, part, text as bytes)."""
     number = TaskContext.get().partitionId() << 32  # a repeated task numbers its shards alike

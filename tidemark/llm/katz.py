@@ -41,8 +41,8 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, prepare, shuffle_width, staged
+from .common import crc_mod, documents, prepare, shuffle_width, staged, word_spans
 
 HELD_OUT = (5, 1)
 MIN_PAIR = 1  # every counted pair is in the tables
@@ -61,16 +61,16 @@ SAMPLE = 8192
 HOT = 1024
 TOP = 64
 SALTS = 32
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 500_000
+#: Bytes of all texts per bucket: a bucket's n-grams are counted in one task's memory.
+BUCKET_BYTES = 12 << 20
+#: N-grams of a bucket added up at a time.
+MERGE_ROWS = 1 << 21
 VALUE_ROWS = 1 << 16
 NONE, START, END = 0, 1, 2  # reserved token numbers
 _MARK = np.uint64(1 << 63)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes.lower: A-Z only
-
-
 def word_hash(w: bytes) -> int:
     return xxhash.xxh64_intdigest(w, 42)
 
@@ -100,15 +100,19 @@ def places(a: np.ndarray, b: np.ndarray, chunk_salt: int, buckets: int) -> np.nd
     return (mixed(word, salt) % np.uint64(buckets)).astype(np.int32)
 
 
+_CODEC = pa.Codec("zstd", 1)
+
+
 def pack(*columns: np.ndarray) -> bytes:
     """Columns as one compressed blob (bytes of equal weight side by side)."""
     head = np.array([len(columns)] + [x for c in columns for x in (c.dtype.itemsize, len(c))], "<i8").tobytes()
     planes = [np.ascontiguousarray(np.frombuffer(c.tobytes(), np.uint8).reshape(len(c), -1).T).tobytes() for c in columns]
-    return zlib.compress(head + b"".join(planes), 1)
+    raw = head + b"".join(planes)
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
-    raw = zlib.decompress(blob)
+    raw = _CODEC.decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     head = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(n, 2)
     at, out = 8 + 16 * n, []
@@ -119,36 +123,25 @@ def unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
+def framed(first: bytes, second: bytes) -> bytes:
+    """Two blobs as one; ``unframed`` reads either without the other."""
+    return len(first).to_bytes(8, "little") + first + second
+
+
+def unframed(blob: bytes) -> tuple[bytes, bytes]:
+    n = int.from_bytes(blob[:8], "little") + 8
+    return blob[8:n], blob[n:]
+
+
 class Numbering:
     """Token numbers of words: small for common ones, a marked hash for others."""
 
     def __init__(self, common: list[int]):
         self.small = {h: i + END + 1 for i, h in enumerate(common)}
-        self.memo: dict[bytes, int] = {}
-
-    def __getstate__(self):
-        return {"small": self.small, "memo": {}}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-
-    def numbers(self, words: list[bytes]) -> list[int]:
-        memo = self.memo
-        found = list(map(memo.get, words))
-        if None in found:
-            if len(memo) > 400_000:
-                memo.clear()
-            for i, x in enumerate(found):
-                if x is None:
-                    w = words[i]
-                    h = word_hash(w)
-                    x = self.small.get(h)
-                    if x is None:
-                        x = h | 1 << 63
-                    if len(w) < 64:
-                        memo[w] = x
-                    found[i] = x
-        return found
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        hashes = [word_hash(w) for w in words]
+        return np.array([self.small.get(h, h | 1 << 63) for h in hashes], np.uint64)
 
 
 def home_of(chunk: int, buckets: int) -> int:
@@ -164,27 +157,30 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
     summed as one.  The salt depends on the texts only."""
     keys = np.array([hash_of(t) for t in texts], np.uint64)
     copies = np.array([v[0] for v in texts.values()], np.int64)
-    rows = [np.array(numbering.numbers(t.lower().split()), np.uint64) for t in texts]
-    sizes = np.array([len(r) for r in rows], np.int64)
+    words, sizes = word_spans([t.lower() for t in texts])  # bytes.lower: A-Z only
+    # codes of the chunk's own words, then those of the end, the start and none
+    v = len(words.dictionary)
+    number = np.concatenate((numbering.numbers(words.dictionary.to_pylist()), np.array([END, START, NONE], np.uint64)))
     salt = int(np.bitwise_xor.reduce(mixed(keys, np.arange(len(keys), dtype=np.uint64)))) >> 1
-    doc = np.repeat(np.arange(len(rows), dtype=np.uint16), sizes + 1)
-    flat = np.full(int(sizes.sum()) + len(rows), END, np.uint64)
+    doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes + 1)
+    flat = np.full(len(doc), v, np.int64)
     ends = np.cumsum(sizes + 1) - 1
     body = np.ones(len(flat), bool)
     body[ends] = False
-    flat[body] = np.concatenate(rows)
-    del rows, body
+    flat[body] = words.indices.to_numpy(zero_copy_only=False)
+    del words, body
     before = np.empty_like(flat)
     before[1:] = flat[:-1]
-    before[0] = START
-    before[ends[:-1] + 1] = START
+    before[0] = v + 1
+    before[ends[:-1] + 1] = v + 1
     yield home_of(chunk, buckets), 1, pack(np.array([chunk], np.int64), keys, (sizes + 1).astype(np.uint32))
-    for a in (np.full(len(flat), NONE, np.uint64), before):
-        place = places(a, flat, salt % SALTS, buckets)
-        order = np.lexsort((flat, a, place))
-        a_, b_, d_, p_ = a[order], flat[order], doc[order], place[order]
+    for a in (np.full(len(flat), v + 2, np.int64), before):
+        place = places(number[a], number[flat], salt % SALTS, buckets)
+        gram = (place.astype(np.int64) * (v + 3) + a) * (v + 3) + flat  # far below 2^63 for any chunk
+        order = np.argsort(gram, kind="stable")
+        gram, d_, p_ = gram[order], doc[order], place[order]
         new = np.ones(len(order), bool)
-        new[1:] = (a_[1:] != a_[:-1]) | (b_[1:] != b_[:-1])
+        new[1:] = gram[1:] != gram[:-1]
         ref = new.copy()
         ref[1:] |= d_[1:] != d_[:-1]
         at_ref = np.flatnonzero(ref)
@@ -195,14 +191,16 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
         trained = np.bincount(gram_of_ref, times * copies[d_[at_ref]], len(at_new)).astype(np.int64)
         first = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
         edge = np.searchsorted(p_[at_new], np.arange(buckets + 1))
+        a_, b_ = number[a[order[at_new]]], number[flat[order[at_new]]]
         for k in np.flatnonzero(np.diff(edge)).tolist():
             g = slice(edge[k], edge[k + 1])
             r = slice(first[edge[k]], first[edge[k + 1]])
-            yield k, 0, pack(np.array([chunk], np.int64), a_[at_new[g]], b_[at_new[g]], trained[g],
-                             held[g], d_[at_ref[r]], times[r])
+            yield k, 0, framed(pack(a_[g], b_[g], trained[g]),
+                               pack(np.array([chunk], np.int64), held[g], d_[at_ref[r]], times[r]))
 
 
-GRAMS = "<i8 <u8 <u8 <i8 <u4 <u2 <u4"
+GRAMS = "<u8 <u8 <i8"
+REFS = "<i8 <u4 <u2 <u4"
 KEYS = "<i8 <u8 <u4"
 
 
@@ -214,15 +212,14 @@ def _pack_task(numbering, buckets: int):
 
         def flush():
             nonlocal size, number
-            out = list(chunk_blobs(texts, numbering.value, buckets, word_hash, number)) if texts else []
-            texts.clear()
-            size = 0
-            number += 1
-            for i in range(0, len(out), 64):
-                part = out[i:i + 64]
+            out = chunk_blobs(texts, numbering.value, buckets, word_hash, number) if texts else iter(())
+            while part := list(islice(out, 64)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x[0] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.int32()),
                      pa.array([x[2] for x in part], pa.binary())], names=["bucket", "kind", "blob"])
+            texts.clear()
+            size = 0
+            number += 1
 
         for batch in batches:
             for text, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -243,25 +240,36 @@ def _same(bucket):
     return bucket
 
 
-def _count_bucket(part):
-    """Training counts of the bucket's n-grams."""
-    grams = [unpack(v[1], GRAMS)[1:4] for _, v in part if v[0] == 0]
-    if not grams:
-        return
+def added_up(grams: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, c) with every n-gram once, from lists of such arrays."""
     a, b, c = (np.concatenate(x) for x in zip(*grams))
-    keep = c > 0
-    a, b, c = a[keep], b[keep], c[keep]
-    order = np.lexsort((b, a))
-    a, b, c = a[order], b[order], c[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    at = np.flatnonzero(new)
-    if not len(at):
-        return
-    c = np.add.reduceat(c, at)
-    a, b = a[at], b[at]
-    shared = is_shared(a, b)
-    yield (pack(a, b, c, shared.astype(np.int8)),)
+    key = mixed(a, b)
+    order = np.argsort(key)
+    a, b, c, key = a[order], b[order], c[order], key[order]
+    other = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    if (other & (key[1:] == key[:-1])).any():  # two n-grams of one hash
+        order = np.lexsort((b, a))
+        a, b, c = a[order], b[order], c[order]
+        other = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    at = np.flatnonzero(np.concatenate((np.ones(min(1, len(a)), bool), other)))
+    return a[at], b[at], np.add.reduceat(c, at) if len(at) else c
+
+
+def _count_bucket(part):
+    """Training counts of the bucket's n-grams, added up as they come."""
+    held, rows = [], 0
+    for _, v in part:
+        if v[0] == 0:
+            a, b, c = unpack(unframed(v[1])[0], GRAMS)
+            keep = c > 0
+            held.append((a[keep], b[keep], c[keep]))
+            rows += len(held[-1][0])
+            if rows >= MERGE_ROWS + len(held[0][0]):
+                held = [added_up(held)]
+                rows = len(held[0][0])
+    if rows:
+        a, b, c = added_up(held)
+        yield (pack(a, b, c, is_shared(a, b).astype(np.int8)),)
 
 
 def _unpack_counts(batches):
@@ -385,7 +393,8 @@ def _sum_bucket(model):
         order = np.argsort(key)
         va, vb, vs, vc, key = va[order], vb[order], vs[order], vc[order], key[order]
         for blob in blobs:
-            chunk, a, b, _, held, doc, times = unpack(blob, GRAMS)
+            grams, refs = unframed(blob)
+            (a, b, _), (chunk, held, doc, times) = unpack(grams, GRAMS), unpack(refs, REFS)
             value, count = np.zeros(len(a)), np.zeros(len(a), np.int64)
             word = a == NONE
             value[word] = unseen
@@ -436,9 +445,8 @@ def _unpack_rows(batches):
                                              names=["key", "n_tokens", "s", "base", "n_known"])
 
 
-def common_words(docs: DataFrame) -> list[int]:
+def common_words(docs: DataFrame, rows: int) -> list[int]:
     """Hashes of the most frequent words of about ``SAMPLE`` texts: they only get shorter numbers."""
-    rows = docs.count()
     sample = docs.select("text").filter(F.pmod(F.xxhash64(F.lit(8), "text"), F.lit(max(1, rows // SAMPLE))) == 0)
     # lower() may differ from A-Z lowering beyond ASCII; such words merely stay uncommon
     words = sample.select(F.explode(F.split(F.lower("text"), "[\\x20\\x09-\\x0D]+")).alias("w"))
@@ -514,8 +522,9 @@ def katz_scores(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFr
     sc = spark.sparkContext
     mod, rest = held_out
     held = crc_mod(F.col("doc_id"), mod) == rest
-    buckets = shuffle_width(spark)
-    numbering = sc.broadcast(Numbering(common_words(docs)))
+    rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    buckets = max(shuffle_width(spark), (size or 0) // BUCKET_BYTES)
+    numbering = sc.broadcast(Numbering(common_words(docs, rows)))
     packed = docs.select("text", (~held).alias("train")).mapInArrow(
         _pack_task(numbering, buckets), "bucket int, kind int, blob binary")
     blobs = packed.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(buckets, _same)
