@@ -345,6 +345,16 @@ class _State:
             clear = staticmethod(store.clear)
         return L
 
+    def getValueState(self, name, schema):
+        store = self.values.setdefault(name, [])
+
+        class V:
+            exists = staticmethod(lambda: bool(store))
+            get = staticmethod(lambda: store[0])
+            update = staticmethod(lambda v: store.__setitem__(slice(None), [v]))
+            clear = staticmethod(store.clear)
+        return V
+
     def registerTimer(self, ms):
         self.timers.add(ms)
 
@@ -494,3 +504,28 @@ def test_program_streams_from_the_command_line(spark):
     cli.main(["blacklist", clicks, "--stream", "--out", out, "--checkpoint", ck, "--available-now", "--max-count", "3"])
     assert [tuple(r)[:2] for r in spark.read.parquet(f"{out}/blacklist_1").select("user_id", "ad_id").collect()] == [(1, 2)]
     assert spark.read.parquet(f"{out}/blacklist_0").agg(F.max("cnt")).first()[0] == 4
+
+
+@pytest.mark.parametrize("kind", ["sequence", "timeout"])
+def test_a_key_is_read_once_per_watermark(kind):
+    """Many timers of a key expire together: the first settles all, the rest read nothing."""
+    from pyspark.sql import Row
+    from pyspark.sql import types as T
+
+    from tidemark.streaming import stateful
+
+    fields = [T.StructField("k", T.LongType()), T.StructField("typ", T.StringType())]
+    proc = (stateful.SequenceProcessor(fields, "k", "typ", ["create", "pay"], 5_000_000, ("timeout",), ["typ"])
+            if kind == "sequence" else stateful.OrderTimeoutProcessor(fields, "typ", "create", 5_000_000))
+    h = _State()
+    proc.init(h)
+    n, step = 400, 6_000_000
+    rows_ = [Row(k=1, typ="create", _t=i * step, _seq=i) for i in range(n)]
+    list(proc.handleInputRows((1,), rows_, _Wm(0)))
+    read = []
+    state = proc.buf if kind == "sequence" else proc.starts
+    get = state.get
+    state.get = staticmethod(lambda: (read.append(1), get())[1])
+    wm = n * step // 1000
+    out = [r for x in sorted(h.timers) for r in proc.handleExpiredTimer((1,), _Wm(wm), _Wm(x))]
+    assert len(out) == n and len(read) == 1

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .manifest import atomic_upsert_batch, read_committed, write_version  # noqa: F401
+
 
 def kafka_sink(df: DataFrame, servers: str, topic: str, value: str = "value",
                key: str | None = None, checkpoint: str | None = None):
@@ -28,11 +30,26 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, value: str = "value",
 
 
 def split_by_kind(df: DataFrame, kinds: Sequence[str], kind: str = "kind") -> dict:
-    """S7 batch form: one DataFrame per side output (persist ``df`` first if
-    several of them are written)."""
+    """S7 batch form: one DataFrame per side output.  Each computes ``df`` anew:
+    to write several of them use ``write_kinds``."""
     return {k: df.filter(F.col(kind) == k) for k in kinds}
 
 
+def write_kinds(df: DataFrame, path: str, kinds: Sequence[str], kind: str = "kind") -> dict[str, int]:
+    """S7 in one pass: every side output in a folder of its own below ``path``, from one
+    run of ``df``; the rows per kind, counted while they are written."""
+    seen = Observation()
+    counts = [F.sum((F.col(kind) == k).cast("long")).alias(f"n{i}") for i, k in enumerate(kinds)]
+    (df.filter(F.col(kind).isin(list(kinds))).observe(seen, *counts)
+       .write.mode("overwrite").partitionBy(kind).parquet(path))
+    return {k: seen.get[f"n{i}"] or 0 for i, k in enumerate(kinds)}
+
+
+def read_kind(spark: SparkSession, path: str, value: str, kind: str = "kind") -> DataFrame:
+    """One side output written by ``write_kinds`` (only its folder is read)."""
+    return spark.read.parquet(path).filter(F.col(kind) == value)
+
+
 def foreach_kind(writers: dict[str, Callable[[DataFrame, int], None]], kind: str = "kind"):
     """S7 streaming form: a ``foreachBatch`` function routing each kind to its writer;
     the micro-batch is persisted once and read by every writer."""

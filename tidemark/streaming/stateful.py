@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from heapq import nsmallest
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -40,6 +41,15 @@ def _wm_us(timer_values) -> int:
     return int(timer_values.getCurrentWatermarkInMs()) * 1000
 
 
+def _settled(state, wm: int) -> bool:
+    """True if ``state`` has the watermark; else it is noted: the first of a batch's
+    timers of a key reads its rows, the others have nothing left to do."""
+    if state.exists() and state.get()[0] == wm:
+        return True
+    state.update((wm,))
+    return False
+
+
 def _user_fields(schema: T.StructType) -> list[T.StructField]:
     return [f for f in schema.fields if f.name not in ("_t", "_seq")]
 
@@ -60,8 +70,9 @@ class DailyCapProcessor(StatefulProcessor):
     midnight of the wall clock, as the reference does.
     """
 
-    def __init__(self, cols: Sequence[str], max_count: int, day_mode: str = "event", order: str = "event"):
+    def __init__(self, cols: Sequence[str], max_count: int, day_mode: str = "event", order: str = "event", day_at: int = -1):
         self.cols, self.max_count, self.day_mode, self.order = list(cols), max_count, day_mode, order
+        self.day_at = day_at  # where the key holds the day
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -71,10 +82,11 @@ class DailyCapProcessor(StatefulProcessor):
         day, cnt, warned = self.state.get() if self.state.exists() else (None, 0, False)
         msg = CAP_WARNING.format(max=self.max_count)
         by = (lambda r: r["_seq"]) if self.order == "arrival" else (lambda r: (r["_t"], r["_seq"]))
-        for r in sorted(rows, key=by):
+        # however many rows a batch brings, only the first ones can still pass or warn
+        for r in nsmallest(max(self.max_count + 2 - cnt - warned, 0), rows, key=by):
             if day is None:
                 now = int(timerValues.getCurrentProcessingTimeInMs())
-                day = key[-1] if self.day_mode == "event" else now // DAY_MS
+                day = key[self.day_at] if self.day_mode == "event" else now // DAY_MS
                 self.handle.registerTimer((day + 1) * DAY_MS)
             if cnt > self.max_count:
                 if not warned:
@@ -83,7 +95,10 @@ class DailyCapProcessor(StatefulProcessor):
                 continue
             cnt += 1
             yield _emit(r, self.cols, kind="pass", msg=None)
-        self.state.update((day, cnt, warned))
+        for _ in rows:  # a key that has warned drops its rows unread
+            pass
+        if day is not None:
+            self.state.update((day, cnt, warned))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.state.exists() and (self.state.get()[0] + 1) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
@@ -95,9 +110,15 @@ class DailyCapProcessor(StatefulProcessor):
 
 
 def stream_daily_cap(df: DataFrame, keys: Sequence[str], max_count: int = 100,
-                     day_mode: str = "event", order: str = "event", event_time: str | None = None) -> DataFrame:
+                     day_mode: str = "event", order: str = "event", event_time: str | None = None,
+                     salts: int = 1) -> DataFrame:
     """Run R1 on a ``prepare``d stream; columns = input + kind + msg.
 
+    With ``salts`` (event days, ``event_time`` named) a first stage caps each key's
+    rows per salt at the max + 2 that can matter, so that a hot key is spread
+    over that many tasks and the second stage meets at most salts x (max + 2) rows
+    of it a day.
+
     ``order`` sorts the rows of a micro-batch: by (time, seq), or ``'arrival'``
     by ``seq``, which equals the batch operator's arrival order however the
     stream is cut.  ``event_time`` names the watermarked column, so that
@@ -110,6 +131,15 @@ def stream_daily_cap(df: DataFrame, keys: Sequence[str], max_count: int = 100,
         df = df.withColumn("_day", floor_div(F.col("_t"), DAY_MS * 1000))
         by.append("_day")
     mode = "EventTime" if day_mode == "event" else "ProcessingTime"
+    if salts > 1:
+        if day_mode != "event" or not event_time:
+            raise ValueError("salts need event days and a named event time")
+        names = df.columns
+        marked = T.StructType(df.schema.fields + [T.StructField("kind", T.StringType()), T.StructField("msg", T.StringType())])
+        first = DailyCapProcessor(names, max_count + 1, day_mode, order, day_at=-2)
+        spread = df.withColumn("_salt", F.pmod(F.xxhash64("_t", "_seq"), F.lit(salts)).cast("int"))
+        df = (spread.groupBy(*by, "_salt").transformWithState(first, marked, "Append", mode, eventTimeColumnName=event_time)
+                    .filter(F.col("kind") == "pass").select(*names))
     proc = DailyCapProcessor([f.name for f in fields], max_count, day_mode, order)
     return df.groupBy(*by).transformWithState(proc, schema, "Append", mode, eventTimeColumnName=event_time or "")
 
@@ -179,6 +209,7 @@ class SequenceProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buf", self.schema)
+        self.settled = handle.getValueState("settled", "wm long")
         self.typ, self.own = 2 + self.cols.index(self.type_col), 2 + self.cols.index(self.key)
 
     def _load(self):
@@ -188,13 +219,14 @@ class SequenceProcessor(StatefulProcessor):
         for r in rows:
             t = r["_t"]
             self.buf.appendValue((t, r["_seq"], *(r[c] for c in self.cols)))
+            self.settled.clear()
             start = r[self.type_col] == self.steps[0]
             self.handle.registerTimer(-(-(t + self.w) // 1000) if start else t // 1000 + 1)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = _wm_us(timerValues)
-        if not self.buf.exists():  # an earlier timer of this batch settled all
+        if not self.buf.exists() or _settled(self.settled, wm):  # an earlier timer of this batch settled all
             return iter([])
         buf = self._load()
         out, keep_from = [], None
@@ -226,6 +258,8 @@ class SequenceProcessor(StatefulProcessor):
         self.buf.clear()
         if left:
             self.buf.put(left)
+        else:
+            self.settled.clear()
         return iter(out)
 
     def close(self) -> None:
@@ -265,10 +299,12 @@ class OrderTimeoutProcessor(StatefulProcessor):
         self.handle = handle
         self.starts = handle.getListState("starts", self.schema)
         self.others = handle.getListState("others", "t long")
+        self.settled = handle.getValueState("settled", "wm long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for r in rows:
             t = r["_t"]
+            self.settled.clear()
             if r[self.type_col] == self.start:
                 self.starts.appendValue((t, r["_seq"], False, *(r[c] for c in self.cols)))
                 self.handle.registerTimer((t + self.lim) // 1000 + 1)
@@ -279,6 +315,8 @@ class OrderTimeoutProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = _wm_us(timerValues)
+        if not (self.starts.exists() or self.others.exists()) or _settled(self.settled, wm):
+            return iter([])
         starts = sorted((tuple(x) for x in self.starts.get()), key=lambda x: x[:2]) if self.starts.exists() else []
         others = sorted(x[0] for x in self.others.get()) if self.others.exists() else []
         times = [x[0] for x in starts]
@@ -306,6 +344,8 @@ class OrderTimeoutProcessor(StatefulProcessor):
         self.others.clear()
         if later:
             self.others.put(later)
+        if not left and not later:
+            self.settled.clear()
         return iter(out)
 
     def close(self) -> None:
