@@ -61,11 +61,11 @@ SAMPLE = 8192
 HOT = 1024
 TOP = 64
 SALTS = 32
-CHUNK_TOKENS = 500_000
+CHUNK_TOKENS = 1_000_000
 #: Bytes of all texts per bucket: a bucket's n-grams are counted in one task's memory.
 BUCKET_BYTES = 12 << 20
 #: N-grams of a bucket added up at a time.
-MERGE_ROWS = 1 << 21
+MERGE_ROWS = 1 << 20
 VALUE_ROWS = 1 << 16
 NONE, START, END = 0, 1, 2  # reserved token numbers
 _MARK = np.uint64(1 << 63)
@@ -100,7 +100,7 @@ def places(a: np.ndarray, b: np.ndarray, chunk_salt: int, buckets: int) -> np.nd
     return (mixed(word, salt) % np.uint64(buckets)).astype(np.int32)
 
 
-_CODEC = pa.Codec("zstd", 1)
+_CODEC = pa.Codec("zstd", 3)
 
 
 def pack(*columns: np.ndarray) -> bytes:
@@ -375,6 +375,11 @@ class Model:
         return out
 
 
+def _per_text(doc: np.ndarray, parts) -> tuple[np.ndarray, list[np.ndarray]]:
+    docs, back = np.unique(doc, return_inverse=True)
+    return docs, [np.bincount(back, x, len(docs)) for x in parts]
+
+
 def _sum_bucket(model):
     """Sums of the bucket's n-gram values per text: blobs (chunk, text numbers, sums)."""
     def run(part):
@@ -392,6 +397,8 @@ def _sum_bucket(model):
         key = mixed(va, vb)
         order = np.argsort(key)
         va, vb, vs, vc, key = va[order], vb[order], vs[order], vc[order], key[order]
+        # what a chunk's words and pairs add to its texts leaves the bucket as one blob
+        sums: dict[int, list] = {}
         for blob in blobs:
             grams, refs = unframed(blob)
             (a, b, _), (chunk, held, doc, times) = unpack(grams, GRAMS), unpack(refs, REFS)
@@ -405,14 +412,14 @@ def _sum_bucket(model):
                 count[hit] = vc[at[hit]]
             count[~word] = 0
             gram = np.repeat(np.arange(len(a)), held)
-            docs, back = np.unique(doc, return_inverse=True)
-            n = len(docs)
             only = word[gram]
-            sums = np.bincount(back, value[gram] * times, n)
-            known = np.bincount(back, (times * (count[gram] > 0)) * only, n)
             # the base score is a function of the counts; +0.5 as in the contract
-            base = np.bincount(back, np.log10(count[gram] + 0.5) * times * only, n)
-            yield int(chunk[0]), pack(docs, sums, base, known.astype(np.uint32))
+            parts = (value[gram] * times, np.log10(count[gram] + 0.5) * times * only, times * (count[gram] > 0) * only)
+            sums.setdefault(int(chunk[0]), []).append(_per_text(doc, parts))
+        for chunk, found in sums.items():
+            docs, parts = _per_text(np.concatenate([d for d, _ in found]),
+                                    [np.concatenate(x) for x in zip(*[p for _, p in found])])
+            yield chunk, pack(docs, parts[0], parts[1], parts[2].astype(np.uint32))
 
     return run
 
