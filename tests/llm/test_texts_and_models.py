@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import katz as K
 from tidemark.llm import language_id as L
 from tidemark.llm import quality_classifier as B
+from tidemark.llm import text_features as X
 from tidemark.llm import token_counts as N
 from tidemark.llm import toxicity as T
 
@@ -245,3 +246,40 @@ def test_token_counts_on_hard_texts():
     texts = ["".join(rnd.choice(signs, rnd.integers(1, 60))) for _ in range(1500)]
     texts += ["a" * 5000, " " * 3000, "\n" * 2000 + "x", "ab" * 4000, "!?" * 700, "1" * 900, "the cat " * 3000]
     assert N.tokenizer(N.TOKENIZER).counts(texts).tolist() == library_counts(texts)
+
+
+@pytest.mark.parametrize("run", [T.toxicity, B.quality])
+def test_fits_do_not_depend_on_how_rows_are_dealt(spark, run):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    one = plain(run(docs.coalesce(1), labels), "doc_id", "score")
+    assert one == plain(run(docs.repartition(5), labels.repartition(3)), "doc_id", "score")
+
+
+def test_equal_texts_count_once_by_the_majority(spark):
+    docs = spark.createDataFrame([(i, "same text here") for i in (2, 3, 4)] + [(7, "even text"), (8, "even text"), (9, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 0), (3, 1), (4, 0), (7, 1), (8, 0), (9, 1)], "doc_id long, quality int")
+    got = {r.text: (r.label, r.doc_id) for r in X.labelled_sample(docs, labels, "quality", (5, 9), 100).collect()}
+    assert got == {"same text here": (0, 2), "even text": (1, 7)}
+
+
+def test_an_id_with_many_texts_does_not_pass_the_bound(spark):
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert 50 <= X.labelled_sample(docs, labels, "quality", (5, 9), 100).count() <= 160
+
+
+def test_pair_weights_equal_plain_gradient_ascent():
+    rng = np.random.default_rng(3)
+    d = rng.normal(size=(300, 4)) + np.array([0.8, -0.4, 0.0, 0.2])
+    w = np.zeros(4)
+    for _ in range(20_000):
+        w += 0.01 * B.pair_gradient(d, w)[0]
+    assert np.abs(w - B.pair_weights(d, 50)).max() < 1e-4
+    # the gradient is that of the penalised likelihood
+    def value(v):
+        return -np.log1p(np.exp(-(d @ v))).mean() * 100 - B.RIDGE * (v @ v) / 2
+    for j in range(4):
+        e = np.eye(4)[j] * 1e-5
+        assert abs((value(w + 0.3 + e) - value(w + 0.3 - e)) / 2e-5 - B.pair_gradient(d, w + 0.3)[0][j]) < 1e-4

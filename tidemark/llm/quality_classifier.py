@@ -14,7 +14,8 @@ all rows.
 
 Defined results: null and empty texts get the score of a text without words;
 without labels of both classes every score is the share of label 1 (0 without
-labels); repeated rows get equal scores; an empty table gives an empty result;
+labels); a text under several labels counts once, by the majority (even: 1);
+repeated rows get equal scores; the fit does not depend on how rows are dealt; an empty table gives an empty result;
 other columns are not read.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, documents, prepare
-from .text_features import NAMES, Features, labelled_sample
+from .text_features import NAMES, Features, labelled_sample, sample_numbers
 from .toxicity import features_udf, score_udf
 
 SAMPLE = 20_000
@@ -36,6 +37,26 @@ THRESHOLD = 0.3
 HELD_OUT = (5, 0)
 
 
+def pair_gradient(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the mean log-probability (times 100, with the ridge) of the stated
+    preferences, whose feature differences are ``d``; and those probabilities."""
+    p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
+    return d.T @ (1 - p) / len(d) * 100 - RIDGE * w, p
+
+
+def pair_weights(d: np.ndarray, rounds: int = 12) -> np.ndarray:
+    """Bradley-Terry weights by Newton's method."""
+    w = np.zeros(d.shape[1])
+    for _ in range(rounds):
+        grad, p = pair_gradient(d, w)
+        hess = (d * (p * (1 - p))[:, None]).T @ d / len(d) * 100 + RIDGE * np.eye(len(w))
+        step = np.linalg.solve(hess, grad)
+        w += step
+        if np.abs(step).max() < 1e-4:
+            break
+    return w
+
+
 class PairwiseRanker:
     def __init__(self, x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = 9):
         self.prior = float(y.mean()) if len(y) else 0.0
@@ -53,16 +74,7 @@ class PairwiseRanker:
         rng = np.random.default_rng(seed)
         z = (phi - self.mean) / self.scale
         d = z[rng.choice(good, pairs)] - z[rng.choice(bad, pairs)]  # preferred minus other
-        w = np.zeros(d.shape[1])
-        for _ in range(12):
-            p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))  # probability of the stated preference
-            grad = d.T @ (1 - p) / pairs * 100 - RIDGE * w
-            hess = (d * (p * (1 - p))[:, None]).T @ d / pairs * 100 + RIDGE * np.eye(len(w))
-            step = np.linalg.solve(hess, grad)
-            w += step
-            if np.abs(step).max() < 1e-4:
-                break
-        self.weights = w
+        w = self.weights = pair_weights(d)
         s = z @ w
         self.sorted = np.sort(s)
         # the quantile that separates the labels best, each class weighing alike
@@ -93,7 +105,7 @@ class PairwiseRanker:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_size: int = SAMPLE) -> PairwiseRanker:
     spark = prepare(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, HELD_OUT, sample_size)
-    rows = sample.select("label", features_udf(spark, {})("text").alias("x")).collect()  # numbers of at most sample_size rows
+    rows = sample_numbers(sample, "label", features_udf(spark, {})("text").alias("x"))
     x = np.array([r["x"] for r in rows], float).reshape(-1, len(NAMES))
     return PairwiseRanker(x, np.array([r["label"] for r in rows], float))
 

@@ -127,13 +127,29 @@ class Features:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: tuple[int, int],
                     limit: int) -> DataFrame:
-    """(doc_id, label, text), staged: at most ``limit`` labelled ids that are not
-    held out (the lowest keyed hashes), one row per different text."""
+    """(doc_id, label, text, key), staged: one row per different text of at most
+    ``limit`` labelled ids that are not held out (the lowest keyed hashes).
+
+    A text under several labels has that of most of its rows, 1 if they are even;
+    ``doc_id`` is its smallest id and ``key`` a hash to sort by, so that a fit does
+    not depend on how rows are dealt.  An id with many texts may bring more than
+    ``limit`` of them; then about ``limit`` are taken by hash.
+    """
     mod, rest = held_out
     ids = (labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()
                          & (crc_mod(F.col("doc_id"), mod) != rest))
                  .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
                  .orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id").limit(limit))
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most ``limit`` ids
-    rows = rows.filter(F.col("text").isNotNull())
-    return staged(rows.dropDuplicates(["text"]) if limit <= 50_000 else rows, "sample")
+    texts = (rows.filter(F.col("text").isNotNull()).groupBy("text")
+                 .agg(F.min("doc_id").alias("doc_id"), (F.avg("label") >= 0.5).cast("int").alias("label"))
+                 .select("doc_id", "label", "text", F.xxhash64(F.lit(13), "text").alias("key")))
+    sample = staged(texts, "sample")
+    n = sample.count()
+    return sample if n <= limit else sample.filter(F.pmod("key", F.lit(n)) < limit)
+
+
+def sample_numbers(sample: DataFrame, *columns) -> list:
+    """The named columns of a sample's rows, in the order of their keys."""
+    rows = sample.select("key", "doc_id", *columns).collect()  # numbers of at most about ``limit`` rows
+    return sorted(rows, key=lambda r: (r["key"], r["doc_id"]))

@@ -8,8 +8,8 @@ list of insults plus the words and word beginnings whose smoothed log-odds
 between toxic and other training texts are high; equal texts count once.
 
 The trees minimise the logistic loss on quantile bins (numpy, on a bounded
-sample); a slice of the sample that the trees do not see fits an isotonic map
-from their score to a probability.
+sample); a slice of the sample that neither the lexicon nor the trees see fits an
+isotonic map from their score to a probability.
 
 Bounds: at most ``SAMPLE`` labelled documents are used for fitting, none of
 them held out, and at most ``LEXICON`` learned words.  Scoring uses the text
@@ -17,8 +17,9 @@ alone and covers all rows.
 
 Defined results: null and empty texts get the model's score of a text without
 words; without labels of both classes every score is the share of label 1
-(0 without labels); repeated rows get equal scores; an empty table gives an
-empty result; other columns are not read.
+(0 without labels); a text under several labels counts once, by the majority
+(even: 1); repeated rows get equal scores; the fit does not depend on how rows
+are dealt; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, documents, prepare
-from .text_features import EDGE, NAMES, STEMS, Features, labelled_sample
+from .text_features import EDGE, NAMES, STEMS, Features, labelled_sample, sample_numbers
 
 SAMPLE = 20_000
 LEXICON = 1000
 #: A learned word occurs in at least this share of the toxic sample.
 MIN_SHARE = 0.01
 HELD_OUT = (5, 0)
+TIE = 1e-6
 TREES, DEPTH, RATE, BINS = 60, 3, 0.2, 32
 # Common insults of the corpus' languages, the start of the lexicon.
 INSULTS = """idiot idiots moron morons stupid dumb fool loser losers pathetic worthless trash scum clown
@@ -138,8 +140,8 @@ class ToxicityModel:
         if self.trees is None:
             return np.full(len(x), self.prior)
         f = self.trees.raw(x)
-        # the calibrated step function keeps its order inside a step by a small share of the raw score
-        return np.clip(0.97 * np.interp(f, self.at, self.value) + 0.03 / (1 + np.exp(-f)), 0, 1)
+        # the isotonic fit; a millionth of the raw score keeps the order inside a step
+        return np.clip((1 - TIE) * np.interp(f, self.at, self.value) + TIE / (1 + np.exp(-f)), 0, 1)
 
 
 def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
@@ -163,10 +165,11 @@ def learned_lexicon(sample: DataFrame, size: int = LEXICON) -> dict[str, float]:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_size: int = SAMPLE) -> ToxicityModel:
     spark = prepare(docs.sparkSession)
-    sample = labelled_sample(docs, labels, label, HELD_OUT, sample_size)
-    lexicon = {w: 3.0 for w in INSULTS} | learned_lexicon(sample)
-    rows = (sample.select("label", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4)).alias("part"),
-                          features_udf(spark, lexicon)("text").alias("x")).collect())  # numbers of at most sample_size rows
+    sample = labelled_sample(docs, labels, label, HELD_OUT, sample_size).withColumn(
+        "part", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(4)))
+    # a quarter of the sample calibrates: neither the lexicon nor the trees see its labels
+    lexicon = {w: 3.0 for w in INSULTS} | learned_lexicon(sample.filter("part <> 0"))
+    rows = sample_numbers(sample, "label", "part", features_udf(spark, lexicon)("text").alias("x"))
     x = np.array([r["x"] for r in rows], float).reshape(-1, len(NAMES))
     return ToxicityModel(lexicon, x, np.array([r["label"] for r in rows], float), np.array([r["part"] == 0 for r in rows], bool))
 
