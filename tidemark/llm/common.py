@@ -80,30 +80,6 @@ def word_spans(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
     return spans.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode(), counts
 
 
-def numbered(df: DataFrame, groups: list[str], name: str, salt: str, salts: int) -> DataFrame:
-    """Add a gapless 0-based number ``name`` per ``groups`` without one task per group.
-
-    ``salt`` must be a materialised column with values 0 .. salts-1: rows are
-    numbered inside (group, salt) and shifted by the row count of the lower
-    salts of the group (a table of groups x salts rows).
-    """
-    from pyspark.sql import Window
-
-    counts = df.groupBy(*groups, salt).agg(F.count(F.lit(1)).alias("_tm_c"))
-    before = Window.partitionBy(*groups).orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(g).alias(f"_tm_{g}") for g in groups], F.col(salt).alias("_tm_salt"),
-                            F.coalesce(F.sum("_tm_c").over(before), F.lit(0)).alias("_tm_off"))
-    inner = Window.partitionBy(*groups, salt).orderBy(F.lit(0))
-    ranked = df.withColumn("_tm_rn", F.row_number().over(inner))
-    on = [F.col(g).eqNullSafe(F.col(f"_tm_{g}")) for g in groups] + [F.col(salt) == F.col("_tm_salt")]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return (ranked.join(offsets, cond, "left")
-                  .withColumn(name, (F.col("_tm_off") + F.col("_tm_rn") - 1).cast("long"))
-                  .drop("_tm_rn", "_tm_off", "_tm_salt", *[f"_tm_{g}" for g in groups]))
-
-
 def components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 40) -> DataFrame:
     """Connected components of an undirected edge list of longs: (node, label).
 

@@ -5,7 +5,9 @@ total / ``heavy_parts`` bytes is an item of its own (there can be no more than
 ``heavy_parts`` of them); all lighter groups fall by hash into ``lots`` lots,
 and a lot is one item.  The items - at most heavy_parts + lots, whatever the
 input - are sorted by size and each goes to the least loaded shard through a
-heap.  Documents find their shard by a broadcast of that bounded table, so no
+heap.  ``heavy_parts`` and ``lots`` say how fine the items are, at every size of
+the table: a group is placed by itself if it holds more than 1 / heavy_parts of
+all bytes, so shards differ by the heap's rule for items that small.  Documents find their shard by a broadcast of that bounded table, so no
 group is ever moved or gathered.
 
 Defined results: a null text is empty (size 1, crc of no bytes) but forms its
@@ -18,15 +20,21 @@ with ``_tm_``).
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import documents, numbered, staged
+from .common import documents, prepare, staged
 
 HEAVY_PARTS = 1 << 14
 LOTS = 1 << 14
-SALTS = 64
+#: Rows of (shard, partition) offsets, of 24 bytes each, that are broadcast.
+OFFSETS = 1 << 20
 
 
 def lpt(items: list[tuple], shards: int) -> dict:
@@ -67,12 +75,36 @@ def with_shards(docs: DataFrame, shards: int = 8, heavy_parts: int = HEAVY_PARTS
                 .drop("_tm_g", "_tm_hg", "_tm_hs", "_tm_lot", "_tm_ls"))
 
 
-def shard_slots(rows: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Add ``slot``, gapless from 0 in each shard.  ``rows`` is staged first: the
-    salt is a materialised row number, so no key can gather rows in one task."""
-    salted = staged(rows.withColumn("_tm_salt0", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")),
-                    "shards")
-    return numbered(salted, ["shard"], "slot", "_tm_salt0", salts).drop("_tm_salt0")
+def shard_slots(rows: DataFrame) -> DataFrame:
+    """Add ``slot``, gapless from 0 in each shard.  Rows are counted per shard while
+    they are staged, inside the partition they are in, and shifted by the counts
+    of the partitions before: no row is moved, no shard is gathered."""
+    prepare(rows.sparkSession)
+    shard_at = rows.columns.index("shard")
+    schema = StructType(rows.schema.fields + [StructField("_tm_part", LongType()), StructField("_tm_n", LongType())])
+
+    def counted(batches):
+        part, seen = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            shard = batch.column(shard_at).to_numpy(zero_copy_only=False)
+            n = np.empty(len(shard), np.int64)
+            for s in np.unique(shard).tolist():
+                at = np.flatnonzero(shard == s)
+                n[at] = np.arange(seen[s], seen[s] + len(at))
+                seen[s] += len(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), part, np.int64)), pa.array(n)],
+                                             names=schema.names)
+
+    marked = staged(rows.mapInArrow(counted, schema), "shards")
+    counts = marked.groupBy("shard", "_tm_part").agg(F.count(F.lit(1)).alias("_tm_c"))
+    before = Window.partitionBy("shard").orderBy("_tm_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged(counts.select(F.col("shard").alias("_tm_s"), F.col("_tm_part").alias("_tm_p"),
+                                   F.coalesce(F.sum("_tm_c").over(before), F.lit(0)).alias("_tm_off")), "offsets")
+    # a row per shard and input partition; its size is known, it goes to all tasks while it is small
+    small = F.broadcast(offsets) if offsets.count() <= OFFSETS else offsets
+    return (marked.join(small, (F.col("shard") == F.col("_tm_s")) & (F.col("_tm_part") == F.col("_tm_p")), "left")
+                  .withColumn("slot", F.col("_tm_off") + F.col("_tm_n"))
+                  .drop("_tm_part", "_tm_n", "_tm_s", "_tm_p", "_tm_off"))
 
 
 def sharded(docs: DataFrame, shards: int = 8) -> DataFrame:
