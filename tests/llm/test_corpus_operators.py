@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import decontaminate as D
@@ -41,6 +42,36 @@ def test_shards_hold_groups_and_near_equal_bytes(docs, heavy_parts, lots):
         assert max(load.values()) - min(load.values()) <= largest
 
 
+def test_placement_equals_a_plain_heap(docs):
+    """The table's shards are those of a heap over its items: groups of their own and lots."""
+    parts, lots = 64, 32
+    size = Counter()
+    text_of = {}
+    rows = sharding.with_shards(docs, heavy_parts=parts, lots=lots).withColumn("g", F.xxhash64("text")).collect()
+    for r in rows:
+        size[r.g] += len((r.text or "").encode()) + 1
+        text_of[r.g] = r.text
+    least = sum(size.values()) / parts
+    items = Counter()
+    for g, n in size.items():
+        items[(0, g) if n >= least else (1, g % lots)] += n
+    assert {k for k, _ in items} == {0, 1}
+    load, home = [0] * 8, {}
+    for key, n in sorted(items.items(), key=lambda x: (-x[1], x[0])):
+        home[key] = min(range(8), key=lambda s: (load[s], s))
+        load[home[key]] += n
+    for r in rows:
+        assert r.shard == home[(0, r.g) if size[r.g] >= least else (1, r.g % lots)]
+
+
+def test_slots_follow_the_partitions(spark, docs):
+    rows = sharding.shard_slots(sharding.with_shards(docs.repartition(7), 3)).collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert sorted(slots) == [0, 1, 2] and all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
 def test_slots_are_gapless(spark):
     got = queries.QUERIES["op4_sharding"](spark, SF).collect()
     slots = defaultdict(list)
@@ -180,6 +211,46 @@ def test_mixing_odd_input(odd, none):
     assert M.mixed_quantities(none).count() == 0 and M.mixed_documents(none).count() == 0
 
 
+def test_water_level_equals_a_sorted_sweep(spark):
+    rnd = random.Random(9)
+    for n, want in ((1, 5.0), (40, 900.0), (200, 90.0), (60, 1e9), (5, 0.0)):
+        rows = [(float(rnd.choice([1, 2, 3])), float(rnd.choice([0, 1, 7, 30, 30, rnd.randrange(60)]))) for _ in range(n)]
+        turns = sorted({c / w for w, c in rows})
+        got = M._water_level(spark.createDataFrame(rows, "w double, cap double"), want, sum(w for w, _ in rows), bins=3)
+        reached = sum(min(c, w * got) for w, c in rows)
+        assert abs(reached - min(want, sum(c for _, c in rows))) < 1e-6 and got <= turns[-1] + 1e-9
+
+
+def test_every_take_of_a_block_has_a_place_of_its_own(spark):
+    """Quotas are takes (epochs x blocks + partial), the shards' bounds partition them exactly and evenly."""
+    rows = [(s, b, e * 10 + x, e, x) for s, (e, cut) in enumerate([(2, 5), (0, 9), (3, 0), (1, 12)])
+            for b in range(12) for x in [1 if b < cut else 0]]
+    drawn = spark.createDataFrame(rows, "sid long, block long, taken long, epochs long, extra long")
+    shards = 5
+    got = {(r.sid, r.block): r.shards for r in M._with_shards(drawn, shards).collect()}
+    count, per_source = Counter(), defaultdict(Counter)
+    for s, b, taken, e, x in rows:
+        assert len(got[s, b] or []) == e + x
+        for k in got[s, b] or []:
+            count[k] += 1
+            per_source[s][k] += 1
+    total = sum(r[3] + r[4] for r in rows)
+    assert sum(count.values()) == total and max(count.values()) - min(count.values()) <= 1 and len(count) == shards
+    # the same quotas, split by the bounds: running sums of each source's row of the table
+    quota = spark.createDataFrame([(s, sum(c.values())) for s, c in per_source.items()], "sid long, quota long")
+    for r in M.shard_bounds(quota, shards).collect():
+        assert [b - a for a, b in zip([0, *r.bounds], r.bounds)] == [per_source[r.sid][k] for k in range(shards)]
+
+
+def test_copies_of_a_document_go_to_the_shards_of_their_takes(spark):
+    rows = [(i, "a b c", f"s{i % 4}" if i % 40 else "small") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {r.doc_id: (r.taken // r.size, r.shards) for r in M.mixed_quantities(docs).collect()}
+    assert max(n for n, _ in want.values()) == 3 and any(len(set(s)) > 1 for n, s in want.values() if n > 1)
+    got = Counter(r.doc_id for r in M.mixed_documents(docs).collect())
+    assert all(abs(got[d] - n) <= 1 and len(s or []) >= n for d, (n, s) in want.items())
+
+
 def test_pipeline_equals_its_stages(spark, docs):
     out = corpus_pipeline.run(spark, SF)
     kept = docs

@@ -12,14 +12,16 @@ blocks of the permutation until the target is met.  The block that straddles
 the target is cut again into sub-blocks, and its last sub-block by document,
 so no step gathers a source.
 
-Output shards: the number of drawn blocks of every source (its quota) is
+Output shards: the number of takes of blocks of every source (its quota: all its
+blocks in each whole epoch, and those of the partial one) is
 partitioned exactly among the shards by a splitting tree: each node splits its
 quotas between its two halves by one multivariate-hypergeometric draw.
 Sources are summed into at most ``STRATA`` strata for the tree on the driver;
 inside a stratum the same tree splits the strata's shares among its sources as
 a distributed job (the conditional law is again hypergeometric, so the joint
-draw is exact).  The blocks of a source, in permuted order, fill the shards'
-quotas without overlap, and rows are shuffled inside their shard by hash.
+draw is exact).  The takes of a source, epoch by epoch and each in permuted order,
+fill the shards' quotas without overlap: every copy of a document has a shard of
+its own, and rows are shuffled inside their shard by hash.
 
 Defined results: null and wordless texts have size 0 and are taken 0 words;
 sources of size 0 have target 0; a null source is a source of its own; equal
@@ -65,6 +67,35 @@ def _ordered_sources(sizes: DataFrame) -> DataFrame:
              .select("source", "source_size", (F.col("_off") + F.col("_rn") - 1).cast("long").alias("sid")))
 
 
+def _water_level(s: DataFrame, want: float, free: float, bins: int = 1024) -> float:
+    """The level at which the sum of min(cap, w * level) over rows (w, cap) is ``want``.
+    ``free`` is the sum of w.
+
+    A source is capped where the level passes its turn, cap / w.  The level is
+    enclosed by a histogram of the turns, then by one of the bin it lies in, until
+    it lies between two turns: a few jobs, each returning at most ``bins`` rows.
+    """
+    s = s.withColumn("turn", F.col("cap") / F.col("w"))
+    lo, hi = s.agg(F.min("turn"), F.max("turn")).first()
+    if lo is None:
+        return 0.0
+    capped = 0.0
+    while True:
+        width = (hi - lo) / bins
+        place = F.least(F.floor((F.col("turn") - lo) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
+        rows = sorted(tuple(r) for r in s.filter(F.col("turn").between(lo, hi)).groupBy(place.alias("bin")).agg(
+            F.sum("cap"), F.sum("w"), F.min("turn"), F.max("turn")).collect())
+        for _, cap, w, first, last in rows:
+            if capped + cap + last * (free - w) >= want:
+                break  # reached by the bin's last turn
+            capped, free = capped + cap, free - w
+        else:
+            return hi  # every source is capped
+        if first == last or capped + first * free >= want:
+            return (want - capped) / free
+        lo, hi = first, last
+
+
 def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
                    total: float | None = None) -> DataFrame:
     """(source, sid, source_size, target) from rows (source, size)."""
@@ -75,14 +106,7 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
     s = staged(s.withColumn("w", weight).withColumn("cap", F.col("source_size") * float(max_repeat)), "targets")
     all_words, all_w = s.agg(F.sum("source_size"), F.sum("w")).first()
     want = float(all_words or 0) if total is None else float(total)
-    level = want / all_w if all_w else 0.0
-    while True:  # the level only rises; it settles when no further source is capped
-        capped, free_w = s.agg(F.sum(F.when(F.col("cap") < F.col("w") * F.lit(level), F.col("cap"))),
-                               F.sum(F.when(F.col("cap") >= F.col("w") * F.lit(level), F.col("w")))).first()
-        nxt = (want - (capped or 0.0)) / free_w if free_w else level
-        if not nxt > level * (1 + 1e-12):
-            break
-        level = nxt
+    level = _water_level(s.select("w", "cap"), want, float(all_w or 0))
     return s.select("source", "sid", "source_size",
                     F.least("cap", F.col("w") * F.lit(level)).alias("target"))
 
@@ -189,22 +213,34 @@ def _base(docs: DataFrame) -> DataFrame:
 
 
 def mixed_quantities(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken and the shard of its first take."""
+    """doc_id, size, source_size, target, taken, the shards of its block's takes and the first of them."""
     base = staged(_base(docs), "mix")
     targets = staged(source_targets(base), "targets")
     drawn = staged(draw(base, targets).withColumn("taken", F.col("epochs") * F.col("size") + F.col("extra")), "drawn")
-    return _with_shard(drawn, 8).select("doc_id", "size", "source_size", "target", "taken", "shard")
-
-
-def _with_shard(drawn: DataFrame, shards: int, blocks: int = BLOCKS) -> DataFrame:
-    """Add ``shard``: the shard that the quota tree gives the row's block in its
-    first epoch (null for blocks that are not drawn at all)."""
-    per = (drawn.groupBy("sid", "block").agg(F.max(F.col("taken") > 0).alias("used")).filter("used"))
-    w = Window.partitionBy("sid").orderBy("block")
-    ranked = staged(per.select("sid", "block", (F.row_number().over(w) - 1).alias("rank")), "blocks")
-    bounds = shard_bounds(ranked.groupBy("sid").agg(F.count(F.lit(1)).alias("quota")), shards)
-    where = (ranked.join(bounds, "sid")
-                   .select("sid", "block", F.size(F.filter("bounds", lambda b: b <= F.col("rank"))).alias("shard")))
+    return _with_shards(drawn, 8).select("doc_id", "size", "source_size", "target", "taken", F.get("shards", F.lit(0)).alias("shard"),
+                                         "shards")
+
+
+def takes(drawn: DataFrame) -> DataFrame:
+    """(sid, block, rank, epochs, partial, blocks): the blocks with taken words of every
+    source, their place among its ``blocks`` ones, and how they are taken."""
+    per = (drawn.groupBy("sid", "block").agg(F.max(F.when(F.col("taken") > 0, F.col("epochs"))).alias("epochs"),
+                                             F.max(F.col("extra") > 0).alias("partial")).filter("epochs IS NOT NULL"))
+    w = Window.partitionBy("sid")  # at most BLOCKS rows a source
+    return per.select("sid", "block", "epochs", "partial", (F.row_number().over(w.orderBy("block")) - 1).alias("rank"),
+                      F.count(F.lit(1)).over(w).alias("blocks"))
+
+
+def _with_shards(drawn: DataFrame, shards: int) -> DataFrame:
+    """Add ``shards``: the shard that the quota tree gives to each take of the row's
+    block, whole epochs first (null for blocks that are not drawn at all)."""
+    t = staged(takes(drawn), "blocks")
+    quota = t.groupBy("sid").agg(F.sum(F.col("epochs") + F.col("partial").cast("long")).alias("quota"))
+    # place of a take among its source's: epoch by epoch, the partial one last
+    places = F.transform(F.sequence(F.lit(0), F.col("epochs") + F.col("partial").cast("long") - 1),
+                         lambda e: e * F.col("blocks") + F.col("rank"))
+    where = t.join(shard_bounds(quota, shards), "sid").select(
+        "sid", "block", F.transform(places, lambda p: F.size(F.filter("bounds", lambda b: b <= p))).alias("shards"))
     return drawn.join(where, ["sid", "block"], "left")
 
 
@@ -222,9 +258,10 @@ def mixed_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
         "taken", F.col("epochs") * F.col("size") + F.col("extra"))
     drawn = staged(drawn.withColumn("times", F.col("epochs") + (F.col("extra") > 0).cast("long")), "drawn")
     # equal rows: the first ones by number take the extra copy; sum the copies per key
-    per = (_with_shard(drawn, shards).groupBy("key", "source")
-           .agg(F.sum("times").alias("_tm_times"), F.count(F.lit(1)).alias("_tm_rows"), F.max("shard").alias("_tm_shard")))
-    per = per.select(F.col("key").alias("_tm_k"), F.col("source").alias("_tm_src"), "_tm_times", "_tm_rows", "_tm_shard").filter("_tm_times > 0")
+    per = (_with_shards(drawn, shards).groupBy("key", "source")
+           .agg(F.sum("times").alias("_tm_times"), F.count(F.lit(1)).alias("_tm_rows"), F.max("shards").alias("_tm_shards")))
+    per = per.select(F.col("key").alias("_tm_k"), F.col("source").alias("_tm_src"), "_tm_times", "_tm_rows",
+                     "_tm_shards").filter("_tm_times > 0")
     hit = rows.join(per, (F.col("_tm_key") == F.col("_tm_k")) & F.col("source").eqNullSafe(F.col("_tm_src")))
     # of r equal rows that are taken t times in all, each is taken t div r times and t mod r once more
     w = Window.partitionBy("_tm_key", "source").orderBy(F.lit(0))
@@ -236,6 +273,7 @@ def mixed_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     copies = both.withColumn("_tm_copy", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))))
     order = F.xxhash64(F.lit(SEED), "_tm_key", "_tm_copy", "_tm_i")
     n = shuffle_width(docs.sparkSession)
+    copies = copies.withColumn("_tm_shard", F.element_at("_tm_shards", F.least("_tm_copy", F.size("_tm_shards"))))
     return (copies.withColumn("_tm_o", order)
                   .repartition(n, "_tm_shard", F.pmod("_tm_o", F.lit(max(1, n // shards))))
                   .sortWithinPartitions("_tm_shard", "_tm_o").select(*docs.columns))
