@@ -20,7 +20,7 @@ bucket the counts are added up: the tables of words and pairs.  Spark joins the
 pairs with the counts of their second words (those of the ``COMMON`` words are
 broadcast) and sends them back to their buckets, where a context's sums, its backoff weight and the n-grams' values are
 local; the n-grams of the same (already shuffled) blobs look them up, and each
-text gets the sum of its values:
+text gets the sum of its values (added up per chunk, one blob a bucket):
 
   log P(text) = a(start) + sum over tokens (log a(token) + log P(token))
               + sum over kept pairs (log P(w | v) - log a(v) - log P(w)).
@@ -61,7 +61,7 @@ SAMPLE = 8192
 HOT = 1024
 TOP = 64
 SALTS = 32
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 1_500_000
 #: Bytes of all texts per bucket: a bucket's n-grams are counted in one task's memory.
 BUCKET_BYTES = 12 << 20
 #: N-grams of a bucket added up at a time.
@@ -204,7 +204,22 @@ REFS = "<i8 <u4 <u2 <u4"
 KEYS = "<i8 <u8 <u4"
 
 
-def _pack_task(numbering, buckets: int):
+def partition_keys(spark, n: int) -> list[int]:
+    """For each of ``n`` hash partitions an int that Spark puts there: a bucket's rows get
+    the key of its number, so every partition holds exactly one bucket."""
+    found: dict[int, int] = {}
+    start = 0
+    while len(found) < n:
+        ids = spark.range(start, start + 8 * n).select(F.col("id").cast("int").alias("k"))
+        for k, p in ids.select("k", F.pmod(F.hash("k"), F.lit(n))).collect():
+            found.setdefault(p, k)
+        start += 8 * n
+    return [found[p] for p in range(n)]
+
+
+def _pack_task(numbering, keys: list[int]):
+    buckets = len(keys)
+
     def run(batches):
         texts: dict[bytes, list] = {}
         size = 0
@@ -215,7 +230,7 @@ def _pack_task(numbering, buckets: int):
             out = chunk_blobs(texts, numbering.value, buckets, word_hash, number) if texts else iter(())
             while part := list(islice(out, 64)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.int32()),
+                    [pa.array([keys[x[0]] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.int32()),
                      pa.array([x[2] for x in part], pa.binary())], names=["bucket", "kind", "blob"])
             texts.clear()
             size = 0
@@ -236,10 +251,6 @@ def _pack_task(numbering, buckets: int):
     return run
 
 
-def _same(bucket):
-    return bucket
-
-
 def added_up(grams: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(a, b, c) with every n-gram once, from lists of such arrays."""
     a, b, c = (np.concatenate(x) for x in zip(*grams))
@@ -258,9 +269,9 @@ def added_up(grams: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _count_bucket(part):
     """Training counts of the bucket's n-grams, added up as they come."""
     held, rows = [], 0
-    for _, v in part:
-        if v[0] == 0:
-            a, b, c = unpack(unframed(v[1])[0], GRAMS)
+    for _, kind, blob in part:
+        if kind == 0:
+            a, b, c = unpack(unframed(bytes(blob))[0], GRAMS)
             keep = c > 0
             held.append((a[keep], b[keep], c[keep]))
             rows += len(held[-1][0])
@@ -282,8 +293,10 @@ def _unpack_counts(batches):
                                                  names=["a", "b", "c", "shared"])
 
 
-def _pack_values(buckets: int):
+def _pack_values(keys: list[int]):
     """Counted n-grams (a, b, c, cb) by bucket; shared ones go to the buckets of all salts."""
+    buckets = len(keys)
+
     def packed(columns):
         a, b = (np.concatenate(x).astype(np.int64).view(np.uint64) for x in columns[:2])
         c, cb = (np.concatenate(x).astype(np.int64) for x in columns[2:])
@@ -299,7 +312,7 @@ def _pack_values(buckets: int):
         for k in np.flatnonzero(np.diff(edge)).tolist():
             i = idx[edge[k]:edge[k + 1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([pack(a[i], b[i], c[i], cb[i])], pa.binary())],
+                [pa.array([keys[k]], pa.int32()), pa.array([pack(a[i], b[i], c[i], cb[i])], pa.binary())],
                 names=["bucket", "blob"])
 
     def run(batches):
@@ -380,15 +393,19 @@ def _per_text(doc: np.ndarray, parts) -> tuple[np.ndarray, list[np.ndarray]]:
     return docs, [np.bincount(back, x, len(docs)) for x in parts]
 
 
-def _sum_bucket(model):
-    """Sums of the bucket's n-gram values per text: blobs (chunk, text numbers, sums)."""
-    def run(part):
-        counted, blobs = [], []
-        for _, (kind, blob) in part:
-            if kind == 2:
-                counted.append(unpack(blob, "<u8 <u8 <i8 <i8"))
-            elif kind == 0:
-                blobs.append(blob)
+def _whole(part):
+    """A partition as one element."""
+    yield [tuple(r) for r in part]
+
+
+def _sum_bucket(model, keys: list[int]):
+    """Sums of the bucket's n-gram values per text: (key of the chunk's home, kind 3, chunk,
+    blob of text numbers and sums); the chunks' own blobs (kind 1) go along."""
+    def run(both):
+        rows, values = both
+        counted = [unpack(bytes(v[1]), "<u8 <u8 <i8 <i8") for v in values]
+        blobs = [bytes(r[2]) for r in rows if r[1] == 0]
+        yield from ((r[0], 1, 0, bytes(r[2])) for r in rows if r[1] == 1)
         m = model.value
         unseen = float(np.log10(m.unknown))
         none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
@@ -419,37 +436,32 @@ def _sum_bucket(model):
         for chunk, found in sums.items():
             docs, parts = _per_text(np.concatenate([d for d, _ in found]),
                                     [np.concatenate(x) for x in zip(*[p for _, p in found])])
-            yield chunk, pack(docs, parts[0], parts[1], parts[2].astype(np.uint32))
+            yield keys[home_of(chunk, len(keys))], 3, chunk, pack(docs, parts[0], parts[1], parts[2].astype(np.uint32))
 
     return run
 
 
-def _rows_of_chunk(part):
-    """Per text of a chunk: (key, tokens, sum of values, known tokens, base sum)."""
+def _rows_of_chunks(batches):
+    """Per text of a chunk: (key, tokens, sum of values, base sum, known tokens)."""
     sums: dict[int, list] = {}
-    keys: dict[int, tuple] = {}
-    for _, (kind, blob) in part:
-        if kind == 1:
-            chunk, key, tokens = unpack(blob, KEYS)
-            keys[int(chunk[0])] = (key, tokens)
-        elif kind == 3:
-            sums.setdefault(blob[0], []).append(blob[1])
-    for chunk, (key, tokens) in keys.items():
+    own: dict[int, tuple] = {}
+    for batch in batches:
+        for kind, chunk, blob in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            if kind == 1:
+                number, key, tokens = unpack(blob, KEYS)
+                own[int(number[0])] = key, tokens
+            else:
+                sums.setdefault(chunk, []).append(blob)
+    for chunk, (key, tokens) in own.items():
         out = np.zeros((3, len(key)))
         for blob in sums.get(chunk, ()):
             docs, s, base, known = unpack(blob, "<u2 <f8 <f8 <u4")
             out[0][docs] += s
             out[1][docs] += base
             out[2][docs] += known
-        yield (pack(key, tokens.astype(np.int64), out[0], out[1], out[2].astype(np.int64)),)
-
-
-def _unpack_rows(batches):
-    for batch in batches:
-        for blob in batch.column(0).to_pylist():
-            key, tokens, s, base, known = unpack(blob, "<u8 <i8 <f8 <f8 <i8")
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), tokens, s, base, known)],
-                                             names=["key", "n_tokens", "s", "base", "n_known"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (key.view(np.int64), tokens.astype(np.int64), out[0], out[1], out[2].astype(np.int64))],
+            names=["key", "n_tokens", "s", "base", "n_known"])
 
 
 def common_words(docs: DataFrame, rows: int) -> list[int]:
@@ -531,22 +543,22 @@ def katz_scores(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFr
     held = crc_mod(F.col("doc_id"), mod) == rest
     rows, size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     buckets = max(shuffle_width(spark), (size or 0) // BUCKET_BYTES)
+    keys = partition_keys(spark, buckets)
     numbering = sc.broadcast(Numbering(common_words(docs, rows)))
     packed = docs.select("text", (~held).alias("train")).mapInArrow(
-        _pack_task(numbering, buckets), "bucket int, kind int, blob binary")
-    blobs = packed.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(buckets, _same)
+        _pack_task(numbering, keys), "bucket int, kind int, blob binary")
+    blobs = packed.repartition(buckets, "bucket").rdd  # both jobs below read this one shuffle
     counted = spark.createDataFrame(blobs.mapPartitions(_count_bucket), "blob binary")
     counts = counted.mapInArrow(_unpack_counts, "a long, b long, c long, shared boolean")
     grams, model = fit(counts, docs.filter(~held).count())
-    dealt = blobs
-    if grams is not None:
-        back = (grams.mapInArrow(_pack_values(buckets), "bucket int, blob binary").rdd
-                     .map(lambda r: (r[0], (2, bytes(r[1])))).partitionBy(buckets, _same))
-        dealt = back.union(blobs)  # equal partitioners: bucket meets bucket, nothing moves again
-    sums = (dealt.mapPartitions(_sum_bucket(sc.broadcast(model)))
-                 .map(lambda x: (home_of(x[0], buckets), (3, x))).partitionBy(buckets, _same))
-    rows = spark.createDataFrame(sums.union(blobs).mapPartitions(_rows_of_chunk), "blob binary").mapInArrow(
-        _unpack_rows, "key long, n_tokens long, s double, base double, n_known long")
+    values = grams if grams is not None else spark.createDataFrame([], "a long, b long, c long, cb long")
+    back = values.mapInArrow(_pack_values(keys), "bucket int, blob binary").repartition(buckets, "bucket").rdd
+    # equal keys and widths: a bucket's texts meet its values, and nothing moves again
+    dealt = blobs.mapPartitions(_whole).zip(back.mapPartitions(_whole))
+    sums = spark.createDataFrame(dealt.flatMap(_sum_bucket(sc.broadcast(model), keys)),
+                                 "bucket int, kind int, chunk long, blob binary", verifySchema=False)
+    rows = sums.repartition(buckets, "bucket").mapInArrow(
+        _rows_of_chunks, "key long, n_tokens long, s double, base double, n_known long")
     # a text may occur in several chunks, with the same sums
     per_text = rows.groupBy("key").agg(F.min("n_tokens").alias("n_tokens"), F.min("s").alias("s"),
                                        F.min("base").alias("base"), F.min("n_known").alias("n_known"))
