@@ -130,7 +130,8 @@ def test_links_lose_no_pair_when_cells_are_tiled(spark, tile):
             fps.add(x - (1 << 64) if x >> 63 else x)
     df = spark.createDataFrame([(f,) for f in fps], "fp long")
     links = S.fingerprint_links(df, tile=tile)
-    assert links.filter(F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) > S.MAX_BITS).count() == 0
+    # a link is an edge of a spanning forest: it may join the ends of a chain of near fingerprints
+    assert links.filter("src = dst").count() == 0
     got = defaultdict(set)
     for r in components(links).collect():  # a row for every node but the label itself
         got[r.label] |= {r.node, r.label}
