@@ -216,17 +216,26 @@ class BiGru:
 
 
 def training_segments(docs: DataFrame) -> DataFrame:
-    """(lang, piece): a bounded sample of byte pieces of labelled, not held-out documents."""
+    """(lang, piece): a bounded sample of byte pieces of labelled, not held-out documents.
+
+    The rows of every language are counted first; a hash threshold then leaves about
+    twice ``PER_LANG`` of them, whose pieces are cut where they are: what is ranked
+    and shuffled does not grow with the table.
+    """
     mod, rest = HELD_OUT
     pool = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (crc_mod(F.col("doc_id"), mod) != rest))
     pool = pool.withColumn("_h", F.xxhash64(F.lit(3), "doc_id", "text"))
-    w = Window.partitionBy("lang").orderBy("_h")
-    chosen = pool.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= PER_LANG)
-    pieces = chosen.select("lang", "_h", F.posexplode(F.array(*[
+    many = pool.groupBy("lang").count().select("lang", F.greatest(F.lit(1), F.floor(F.col("count") / (2 * PER_LANG))).alias("_every"))
+    many = staged(many, "languages")  # a row per language
+    near = pool.join(many, "lang").filter(F.pmod(F.xxhash64("_h", F.lit(17)), F.col("_every")) == 0)
+    pieces = near.select("lang", "_h", F.array(*[
         F.expr(f"substring(text, cast(1 + pmod(xxhash64(_h, {i}), greatest(length(text) - {TRAIN_BYTES}, 1)) as int), {TRAIN_BYTES})")
-        for i in range(PIECES)])).alias("_i", "piece"))
+        for i in range(PIECES)]).alias("_pieces"))
+    w = Window.partitionBy("lang").orderBy("_h")
+    chosen = pieces.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= PER_LANG)
+    chosen = chosen.select("lang", "_h", F.posexplode("_pieces").alias("_i", "piece"))
     w = Window.partitionBy("lang").orderBy("_h", "_i")
-    pieces = staged(pieces.filter(F.col("piece").rlike(r"\p{L}")).withColumn("_n", F.row_number().over(w)), "pieces")
+    pieces = staged(chosen.filter(F.col("piece").rlike(r"\p{L}")).withColumn("_n", F.row_number().over(w)), "pieces")
     langs = pieces.filter("_n = 1").count()
     each = max(MAX_SEGMENTS // max(langs, 1), PIECES)
     return pieces.filter(F.col("_n") <= each).orderBy("_h", "_i").select("lang", "piece")
