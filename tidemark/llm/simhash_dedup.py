@@ -11,7 +11,8 @@ segments form ``blocks`` groups; at distance <= 4 at least ``blocks`` - 4
 groups agree exactly, so the pair shares a cell in one of the
 C(blocks, blocks - 4) subspaces.  Inside a cell all pairs are compared by the
 bound and the survivors by their bits.  More blocks mean finer cells and more
-copies of each fingerprint (6: 15 copies of about 16 bits, 8: 70 of about 24).
+copies of each fingerprint (6: 15 copies of about 16 bits, 8: 70 of about 24);
+``blocks_for`` chooses by the number of fingerprints.
 
 Only distinct fingerprints are joined; a cell with more than ``tile`` of them
 is cut into pairs of tiles, so no task holds a hot cell; a cell returns a
@@ -33,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, documents, prepare, shuffle_width, staged
@@ -197,14 +198,17 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, blocks: int =
     return dealt.mapInArrow(_links_in_partition(max_bits), "src long, dst long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    blocks: int = BLOCKS) -> DataFrame:
-    """(doc_id, fp, component_id, label) for every row of ``docs``; ``label`` is the
-    smallest fingerprint of the component and never null."""
-    prepare(docs.sparkSession)
-    fps = staged(docs.select("doc_id", fingerprint_udf(shingle)("text").alias("fp")), "fingerprints")
+def blocks_for(nodes: int) -> int:
+    """Groups of segments for so many fingerprints: finer cells for more of them."""
+    return BLOCKS + (nodes > 1 << 22) + (nodes > 1 << 30)
+
+
+def labelled(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int | None = None) -> DataFrame:
+    """``fps`` (doc_id, fp, ...; staged) with component_id and ``label``, the smallest
+    fingerprint of the component (never null)."""
     nodes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "nodes")
-    labels = components(staged(fingerprint_links(nodes, max_bits, blocks), "links"))
+    links = fingerprint_links(nodes, max_bits, blocks or blocks_for(nodes.count()))
+    labels = components(staged(links, "links"))
     merged = (nodes.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left")
                    .select("fp", "low", F.coalesce("label", "fp").alias("label")))
     heads = merged.groupBy("label").agg(F.min("low").alias("component_id"))
@@ -213,21 +217,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return fps.join(comp, "fp", "left")
 
 
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    blocks: int | None = None) -> DataFrame:
+    """(doc_id, fp, component_id, label) for every row of ``docs``; ``label`` is the
+    smallest fingerprint of the component and never null."""
+    prepare(docs.sparkSession)
+    fps = staged(docs.select("doc_id", fingerprint_udf(shingle)("text").alias("fp")), "fingerprints")
+    return labelled(fps, max_bits, blocks).select("doc_id", "fp", "component_id", "label")
+
+
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                  blocks: int = BLOCKS) -> DataFrame:
+                  blocks: int | None = None) -> DataFrame:
     """``docs`` with one row of every component, one with the smallest doc_id
-    (of repeated rows, and of rows that share the id, one stays)."""
-    ids = near_duplicates(docs, shingle, max_bits, blocks)
-    heads = (ids.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("label")
-                .agg(F.min("fp").alias("_tm_fp"), F.first("component_id").alias("_tm_id"))
-                .select("_tm_fp", "_tm_id"))
-    head = heads.select(F.struct(F.col("_tm_id").alias("i"), F.col("_tm_fp").alias("f")).alias("_tm_key"))
-    rows = docs.withColumn("_tm_key", F.struct(F.col("doc_id").alias("i"), fingerprint_udf(shingle)("text").alias("f")))
-    # the texts move once: join and window share the key
-    kept = rows.join(head, "_tm_key", "left_semi")
-    w = Window.partitionBy("_tm_key").orderBy(F.xxhash64("text"))
-    return (kept.withColumn("_tm_n", F.row_number().over(w)).filter("_tm_n = 1")
-                .select(*docs.columns))
+    (of repeated rows, and of rows that share the id, one stays).
+
+    The rows are staged once with their fingerprint and a row number; what goes is a
+    table of row numbers, so that no text is shuffled while that table is small.
+    """
+    prepare(docs.sparkSession)
+    rows = staged(docs.withColumns({"_tm_fp": fingerprint_udf(shingle)("text"), "_tm_hash": F.xxhash64("text"),
+                                    "_tm_row": F.monotonically_increasing_id()}), "fingerprinted")
+    slim = rows.select("doc_id", F.col("_tm_fp").alias("fp"), "_tm_hash", "_tm_row")
+    ids = labelled(slim, max_bits, blocks)
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "_tm_hash", "_tm_row")
+    heads = ids.groupBy("label").agg(F.min(first).alias("_tm_first")).select("_tm_first._tm_row")
+    gone = staged(slim.select("_tm_row").join(heads, "_tm_row", "left_anti"), "removed-rows")
+    return rows.join(gone, "_tm_row", "left_anti").select(*docs.columns)
 
 
 def op2_simhash(spark, sf_dir):
