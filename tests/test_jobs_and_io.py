@@ -29,6 +29,10 @@ def test_login_and_order_jobs(login_events, order_events, tx):
         ("1", "192.168.0.2", "fail"), ("1", "192.168.0.3", "fail")]
     assert [tuple(r) for r in jobs.order_pattern_timeout(order_events).collect()] == [("1", "create", "1558430842")]
     assert [r.order_id for r in jobs.order_timeout_state(order_events).collect()] == ["1"]
+    # the pay of order 3 moves the clock past order 1's timer before its own pay comes
+    assert [r.order_id for r in jobs.order_timeout_state(order_events, machine=True).collect()] == ["1"]
+    m, uo, up = jobs.tx_match(*tx, repeated=True)
+    assert m.count() == 2 and [r.order_id for r in uo.collect()] == ["3"] and [r.order_id for r in up.collect()] == ["4"]
     m, uo, up = jobs.tx_match(*tx)
     assert sorted(r.order_id for r in m.collect()) == ["1", "2"]
     assert [(r.order_id, r.event_type, r.event_time) for r in uo.collect()] == [("3", "pay", "1558430849")]

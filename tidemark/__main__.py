@@ -35,7 +35,7 @@ ONE_INPUT = {
     "login_fail": ("login", lambda d, a: [jobs.login_fail(d)]),
     "login_fail_pattern": ("login", lambda d, a: [jobs.login_fail_pattern(d)]),
     "order_pattern_timeout": ("order", lambda d, a: [jobs.order_pattern_timeout(d)]),
-    "order_timeout_state": ("order", lambda d, a: [jobs.order_timeout_state(d)]),
+    "order_timeout_state": ("order", lambda d, a: [jobs.order_timeout_state(d, machine=a.machine)]),
 }
 
 
@@ -46,9 +46,10 @@ SCHEMAS = {"behavior": USER_BEHAVIOR, "clicks": AD_CLICK, "marketing": MARKETING
 def _stream(spark, a) -> None:
     kinds = ["order", "pay"] if a.job == "tx_match" else [ONE_INPUT[a.job][0]]
     inputs = [read_delimited(spark, path, SCHEMAS[k], streaming=True) for k, path in zip(kinds, a.inputs)]
-    extra = {"unique_visitors": {"method": a.method}, "blacklist": {"max_count": a.max_count}}.get(a.job, {})
+    extra = {"unique_visitors": {"method": a.method}, "blacklist": {"max_count": a.max_count},
+             "hot_items": {"top": a.top}}.get(a.job, {})
     fn = stream_jobs.tx_match if a.job == "tx_match" else stream_jobs.ONE_INPUT[a.job]
-    running = stream_jobs.start(a.job, fn(*inputs, **extra), a.out, a.checkpoint, a.available_now, a.top, a.report)
+    running = stream_jobs.start(a.job, fn(*inputs, **extra), a.out, a.checkpoint, a.available_now, a.report)
     for q in running:
         q.awaitTermination()
 
@@ -69,6 +70,8 @@ def main(argv=None) -> None:
     ap.add_argument("--report", action="store_true")
     ap.add_argument("--method", default="exact", choices=["exact", "bitmap", "approx"])
     ap.add_argument("--max-count", type=int, default=100)
+    ap.add_argument("--machine", action="store_true", help="order_timeout_state: the saved row with timers")
+    ap.add_argument("--repeated", action="store_true", help="tx_match: a key may pair again and again")
     ap.add_argument("--out")
     ap.add_argument("--stream", action="store_true")
     ap.add_argument("--checkpoint")
@@ -81,7 +84,8 @@ def main(argv=None) -> None:
         _stream(spark, a)
         return
     if a.job == "tx_match":
-        results = list(jobs.tx_match(_read(spark, "order", a.inputs[0]), _read(spark, "pay", a.inputs[1])))
+        results = list(jobs.tx_match(_read(spark, "order", a.inputs[0]), _read(spark, "pay", a.inputs[1]),
+                                     repeated=a.repeated))
     else:
         kind, fn = ONE_INPUT[a.job]
         results = fn(_read(spark, kind, a.inputs[0]), a)

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.text import format_topn_report
 from ..functions.time import render_epoch_ms
 from ..operators import (consecutive_events, daily_cap, marketing_counts, match_sequence,
-                         order_timeout, reconcile, sliding_count, top_n_per_window, tumbling_count,
+                         order_timeout, reconcile, reconcile_pairs, sliding_count, top_n_per_window, tumbling_count,
                          unique_per_window, unique_per_window_approx, unique_per_window_bitmap)
+from ..operators import order_timeout_state as order_timeout_machine
 from ..sources.delimited import AD_CLICK, USER_BEHAVIOR, read_delimited
 
 
@@ -97,15 +98,18 @@ def order_pattern_timeout(orders: DataFrame, within="5 seconds", seq: str = "seq
                     F.col("event_time_0").alias("event_time"))
 
 
-def order_timeout_state(orders: DataFrame, limit="5 seconds") -> DataFrame:
+def order_timeout_state(orders: DataFrame, limit="5 seconds", machine: bool = False, seq: str = "seq") -> DataFrame:
+    """The event-time contract, or (``machine``) the saved row with timers itself."""
+    if machine:
+        return order_timeout_machine(orders, "order_id", "event_type", "create", limit, ts="event_time", seq=seq, unit="s")
     return order_timeout(orders, "order_id", "event_type", "create", limit, ts="event_time", unit="s")
 
 
 def tx_match(orders: DataFrame, pays: DataFrame, seq: str | None = "seq",
-             tolerance=None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(matched, unmatched orders, unmatched pays)."""
+             tolerance=None, repeated: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(matched, unmatched orders, unmatched pays); ``repeated``: a key pairs as often as its sides meet."""
     def side(*kinds):
-        return reconcile(orders, pays, "order_id", "event_time", "event_time", seq, seq, unit="s",
+        return (reconcile_pairs if repeated else reconcile)(orders, pays, "order_id", "event_time", "event_time", seq, seq, unit="s",
                          tolerance=tolerance, kinds=kinds)
 
     return (side("matched"), side("unmatched_order").select("order.*"), side("unmatched_pay").select("pay.*"))

@@ -76,6 +76,6 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
         row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         lines = lines.select("value", F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("_file"),
                              (F.col("_metadata.file_block_start") + row).alias("_at"))
-        lines = (lines.join(F.broadcast(files), "_file", "left")  # Spark's own listing of the input
+        lines = (lines.join(files, "_file", "left")  # Spark's own listing of the input, broadcast while it is small
                       .select("value", (F.col("_rank") * F.lit(1 << 43) + F.col("_at")).alias(seq)))
     return parse_delimited(lines, schema, sep)

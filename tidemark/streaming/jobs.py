@@ -16,17 +16,19 @@ from ..functions.text import format_topn_report
 from ..functions.time import event_time, render_epoch_ms
 from .stateful import (prepare, stream_consecutive_events, stream_daily_cap, stream_match_sequence,
                        stream_order_timeout, stream_reconcile)
-from .windows import (stream_marketing_counts, stream_sliding_count, stream_tumbling_count, stream_unique_approx,
-                      stream_unique_bitmap, stream_unique_per_window, top_n_batches, unique_from_buckets)
+from .panes import stream_pane_count, stream_top_n
+from .windows import (stream_marketing_counts, stream_tumbling_count, stream_unique_approx,
+                      stream_unique_bitmap, stream_unique_per_window, unique_from_buckets)
 
 
 def _views(behavior: DataFrame) -> DataFrame:
     return event_time(behavior, "event_time", "s").filter(F.col("behavior") == "pv")
 
 
-def hot_items(behavior: DataFrame, size="60 minutes", slide="5 minutes") -> list[DataFrame]:
-    """Counts per (item, window); ``top_n`` ranks each closed window when it is written."""
-    return [stream_sliding_count(_views(behavior), ["item_id"], size, slide)]
+def hot_items(behavior: DataFrame, size="60 minutes", slide="5 minutes", top: int = 3) -> list[DataFrame]:
+    """The ``top`` items of every closed window."""
+    ranked = stream_top_n(stream_pane_count(_views(behavior), ["item_id"], size, slide), top)
+    return [ranked.select("window_end", "item_id", "cnt", "rank")]
 
 
 def page_views(behavior: DataFrame, size="1 hour") -> list[DataFrame]:
@@ -40,7 +42,7 @@ def unique_visitors(behavior: DataFrame, size="1 hour", method: str = "exact") -
 
 
 def _geo(df: DataFrame, size, slide, chained: bool) -> DataFrame:
-    counts = stream_sliding_count(df, ["province"], size, slide, chained=chained)
+    counts = stream_pane_count(df, ["province"], size, slide, chained=chained)
     return counts.select(render_epoch_ms(F.col("window_end")).alias("window_end"), "province", "cnt")
 
 
@@ -97,7 +99,7 @@ ONE_INPUT: dict[str, Callable[..., list[DataFrame]]] = {f.__name__: f for f in (
 
 
 def start(job: str, outputs: list[DataFrame], out: str, checkpoint: str, available_now: bool = False,
-          top: int = 3, report: bool = False) -> list:
+          report: bool = False) -> list:
     """Start one query per output; ``checkpoint`` is the job's folder and must stay the same on a restart."""
     queries = []
     for i, df in enumerate(outputs):
@@ -113,7 +115,7 @@ def start(job: str, outputs: list[DataFrame], out: str, checkpoint: str, availab
         def visitors(batch, epoch):
             append(unique_from_buckets(batch), epoch)
 
-        fn = top_n_batches(top, ranked) if job == "hot_items" else visitors if "bucket" in df.columns else append
+        fn = ranked if job == "hot_items" else visitors if "bucket" in df.columns else append
         w = (df.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint.rstrip('/')}/{job}_{i}")
                .foreachBatch(fn))
         queries.append((w.trigger(availableNow=True) if available_now else w).start())

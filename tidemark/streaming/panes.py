@@ -119,19 +119,22 @@ def _timestamp(us: int):
     return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=us)
 
 
-def stream_pane_count(df: DataFrame, keys, size, slide, ts: str = "ts", lateness=0, out: str = "cnt") -> DataFrame:
+def stream_pane_count(df: DataFrame, keys, size, slide, ts: str = "ts", lateness=0, out: str = "cnt",
+                      chained: bool = False) -> DataFrame:
     """A2 (T4, T5) on a stream by pane state: ``keys``, ``window_time`` (the window's end
     as a timestamp, the event time of what follows), ``window_end`` (epoch ms), ``out``.
 
     The watermark lies ``lateness`` behind the largest ``ts``; windows with an end at or
-    below it are emitted once and take no more rows.
+    below it are emitted once and take no more rows.  ``chained``: the input comes from
+    a stateful operator, whose watermark then closes the windows.
     """
     by = [] if keys is None else [keys] if isinstance(keys, str) else list(keys)
     z, s = parse_duration(size), parse_duration(slide)
     if z % s:
         raise ValueError("window size must be a multiple of the slide")
     pane = floor_to(epoch_micros(df, ts), s) + F.lit(s)
-    rows = df.withWatermark(ts, f"{parse_duration(lateness)} microseconds").select(*by, pane.alias("_pe"))
+    marked = df if chained else df.withWatermark(ts, f"{parse_duration(lateness)} microseconds")
+    rows = marked.select(*by, pane.alias("_pe"))
     if not by:  # the combined rows of all partitions, a few per pane
         rows, by = rows.withColumn("_all", F.lit(0)), ["_all"]
     schema = T.StructType([*rows.select(*by, "_pe").schema.fields, T.StructField("_n", T.LongType())])

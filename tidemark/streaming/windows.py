@@ -8,7 +8,8 @@ Sliding counts explode each row to the window ends it belongs to and put the
 watermark on that window end with delay = size (+ lateness): a window then
 closes when max event time >= its end - the reference's closing rule - and
 state is kept per (keys, window end) only until then.  Partial aggregation
-still runs map-side before the state-store shuffle.
+still runs map-side before the state-store shuffle.  For slides much finer than
+the size ``panes.stream_pane_count`` keeps panes instead of windows.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash61
 from ..functions.time import epoch_micros, floor_to, parse_duration, render_epoch_ms
 from ..operators.topn import top_n_per_window
+from .panes import stream_pane_count
 
 
 def _keys(keys) -> list[str]:
@@ -109,12 +111,10 @@ def stream_marketing_counts(df: DataFrame, channel: str = "channel", behavior: s
     """A7 on a stream: per (channel, behavior), or the total labelled ``label``."""
     if exclude is not None:
         df = df.filter(F.col(behavior) != exclude)
-    if total:
-        res = stream_sliding_count(df, None, size, slide, ts, lateness, with_start=True).select(
-            F.lit(label).alias("channel"), F.lit(label).alias("behavior"), "window_start", "window_end", "cnt")
-    else:
-        res = stream_sliding_count(df, [channel, behavior], size, slide, ts, lateness, with_start=True).select(
-            F.col(channel).alias("channel"), F.col(behavior).alias("behavior"), "window_start", "window_end", "cnt")
+    counts = stream_pane_count(df, None if total else [channel, behavior], size, slide, ts, lateness)
+    names = [F.lit(label), F.lit(label)] if total else [F.col(channel), F.col(behavior)]
+    start = F.col("window_end") - F.lit(parse_duration(size) // 1000)
+    res = counts.select(names[0].alias("channel"), names[1].alias("behavior"), start.alias("window_start"), "window_end", "cnt")
     return res.select(render_epoch_ms(F.col("window_start")).alias("window_start"),
                       render_epoch_ms(F.col("window_end")).alias("window_end"), "channel", "behavior", "cnt")
 
