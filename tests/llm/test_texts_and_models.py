@@ -58,6 +58,45 @@ def test_bptt_gradient_learns_and_pools_whole_texts():
     assert np.allclose(p[0], sums.sum(axis=0) / len(raw))
 
 
+def test_bptt_gradient_equals_finite_differences():
+    rng = np.random.default_rng(2)
+    m = L.BiGru(["a", "b", "c"], hidden=5)
+    for params in (m.out, m.fwd.p, m.bwd.p):
+        for k in params:
+            params[k] = params[k].astype(np.float64)
+    codes, labels = rng.integers(97, 110, (9, 4)).astype(np.uint8), np.array([0, 2, 1, 0])
+    _, grads = m.gradients(codes, labels)
+    for params, g in grads:
+        for name, value in g.items():
+            order = np.argsort(-np.abs(value), axis=None)  # the largest entries and some at random
+            for flat in [*order[:6].tolist(), *rng.integers(0, value.size, 4).tolist()]:
+                at = np.unravel_index(flat, value.shape)
+                kept, eps, loss = params[name][at], 1e-6, []
+                for step in (eps, -eps):
+                    params[name][at] = kept + step
+                    loss.append(m.gradients(codes, labels)[0])
+                params[name][at] = kept
+                assert abs((loss[0] - loss[1]) / (2 * eps) - value[at]) < 1e-5, (name, at)
+
+
+def test_a_training_sample_is_bounded_before_it_is_ranked(spark, monkeypatch):
+    monkeypatch.setattr(L, "PER_LANG", 20)
+    df = spark.range(6000).select("id", F.concat(F.lit("some words "), F.col("id")).alias("text"),
+                                  F.lit("en").alias("lang")).withColumnRenamed("id", "doc_id")
+    got = L.training_segments(df)
+    assert got.count() == 20 * L.PIECES and got.filter("piece not like '%s%'").count() < 20 * L.PIECES
+
+
+def test_toxicity_features_by_hand():
+    f = dict(zip(X.NAMES, X.Features({"idiot": 3.0}).row("You IDIOT you are\nnot an 1d!ot friend")))
+    g = dict(zip(X.NAMES, X.Features({"idiot": 3.0}).row("They praise the friend\nof a kind neighbour")))
+    names = list(X.NAMES)
+    plain_ = X.Features({"idiot": 3.0}).row
+    assert len(plain_("")) == len(plain_(None)) == len(names)
+    assert plain_("") == plain_(None) and f != g
+    assert sum(x > y for x, y in zip(f.values(), g.values())) >= 6  # hits, weight, second person, nearness, capitals, hidden
+
+
 def test_every_language_keeps_training_pieces(spark, monkeypatch):
     monkeypatch.setattr(L, "MAX_SEGMENTS", 36)
     rows = [(1000 * k + i, f"some words of text {i}", f"l{k}") for k in range(5) for i in range(30)]
