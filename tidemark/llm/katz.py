@@ -61,12 +61,12 @@ SAMPLE = 8192
 HOT = 1024
 TOP = 64
 SALTS = 32
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_000_000
 #: Bytes of all texts per bucket: a bucket's n-grams are counted in one task's memory.
 BUCKET_BYTES = 12 << 20
 #: N-grams of a bucket added up at a time.
 MERGE_ROWS = 1 << 20
-VALUE_ROWS = 1 << 16
+VALUE_ROWS = 1 << 18
 NONE, START, END = 0, 1, 2  # reserved token numbers
 _MARK = np.uint64(1 << 63)
 
@@ -133,6 +133,30 @@ def unframed(blob: bytes) -> tuple[bytes, bytes]:
     return blob[8:n], blob[n:]
 
 
+class Places:
+    """``places`` for a chunk's codes, by tables over its dictionary."""
+
+    def __init__(self, number: np.ndarray, chunk_salt: int, buckets: int):
+        none = np.full(len(number), NONE, np.uint64)
+        self.words = places(none, number, chunk_salt, buckets)
+        self.cold = (mixed(number, none) % np.uint64(buckets)).astype(np.int32)
+        self.salt = (mixed(number, number) % np.uint64(SALTS)).astype(np.int8)
+        self.hot, self.top = number <= np.uint64(END + HOT), number <= np.uint64(END + TOP)
+        self.row = np.cumsum(self.hot, dtype=np.int32) - 1
+        own = number[self.hot]
+        self.salted = (mixed(np.repeat(own, SALTS), np.tile(np.arange(SALTS, dtype=np.uint64), len(own)))
+                       % np.uint64(buckets)).astype(np.int32).reshape(-1, SALTS)
+        self.chunk_salt = chunk_salt
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = self.cold[a]
+        i = np.flatnonzero(self.hot[a])
+        a, b = a[i], b[i]
+        salt = np.where(self.top[a] & self.top[b], np.int8(self.chunk_salt), self.salt[b])
+        out[i] = self.salted[self.row[a], salt]
+        return out
+
+
 class Numbering:
     """Token numbers of words: small for common ones, a marked hash for others."""
 
@@ -162,41 +186,61 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
     v = len(words.dictionary)
     number = np.concatenate((numbering.numbers(words.dictionary.to_pylist()), np.array([END, START, NONE], np.uint64)))
     salt = int(np.bitwise_xor.reduce(mixed(keys, np.arange(len(keys), dtype=np.uint64)))) >> 1
+    place_of = Places(number, salt % SALTS, buckets)
     doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes + 1)
-    flat = np.full(len(doc), v, np.int64)
+    flat = np.full(len(doc), v, np.int32)
     ends = np.cumsum(sizes + 1) - 1
     body = np.ones(len(flat), bool)
     body[ends] = False
     flat[body] = words.indices.to_numpy(zero_copy_only=False)
     del words, body
-    before = np.empty_like(flat)
-    before[1:] = flat[:-1]
-    before[0] = v + 1
-    before[ends[:-1] + 1] = v + 1
     yield home_of(chunk, buckets), 1, pack(np.array([chunk], np.int64), keys, (sizes + 1).astype(np.uint32))
-    for a in (np.full(len(flat), v + 2, np.int64), before):
-        place = places(number[a], number[flat], salt % SALTS, buckets)
-        gram = (place.astype(np.int64) * (v + 3) + a) * (v + 3) + flat  # far below 2^63 for any chunk
+    for pairs in (False, True):
+        before = np.full(len(flat), v + 2, np.int32)
+        if pairs:
+            before[1:] = flat[:-1]
+            before[0] = v + 1
+            before[ends[:-1] + 1] = v + 1
+        place = place_of.pairs(before, flat) if pairs else place_of.words[flat]
+        gram = place.astype(np.int64)
+        gram *= v + 3
+        gram += before
+        gram *= v + 3
+        gram += flat  # far below 2^63 for any chunk
         order = np.argsort(gram, kind="stable")
-        gram, d_, p_ = gram[order], doc[order], place[order]
+        gram = gram[order]
         new = np.ones(len(order), bool)
         new[1:] = gram[1:] != gram[:-1]
+        del gram
+        d_ = doc[order]
         ref = new.copy()
         ref[1:] |= d_[1:] != d_[:-1]
         at_ref = np.flatnonzero(ref)
         times = np.diff(np.append(at_ref, len(order))).astype(np.uint32)   # in this text
         at_new = np.flatnonzero(new)
-        gram_of_ref = np.cumsum(new)[at_ref] - 1
+        gram_of_ref = (np.cumsum(new, dtype=np.int32) - 1)[at_ref]
+        d_ = d_[at_ref]
         held = np.bincount(gram_of_ref, minlength=len(at_new)).astype(np.uint32)  # texts with the n-gram
-        trained = np.bincount(gram_of_ref, times * copies[d_[at_ref]], len(at_new)).astype(np.int64)
+        trained = np.bincount(gram_of_ref, times * copies[d_], len(at_new)).astype(np.int64)
+        step = d_.copy()  # texts of an n-gram ascend: what is kept is how far each lies from the one before
+        again = gram_of_ref[1:] == gram_of_ref[:-1]
+        step[1:][again] -= d_[:-1][again]
         first = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
-        edge = np.searchsorted(p_[at_new], np.arange(buckets + 1))
-        a_, b_ = number[a[order[at_new]]], number[flat[order[at_new]]]
+        heads = order[at_new]
+        edge = np.searchsorted(place[heads], np.arange(buckets + 1))
+        a_, b_ = number[before[heads]], number[flat[heads]]
+        del before, place, order, new, ref, at_ref, gram_of_ref, d_, heads
         for k in np.flatnonzero(np.diff(edge)).tolist():
             g = slice(edge[k], edge[k + 1])
             r = slice(first[edge[k]], first[edge[k + 1]])
-            yield k, 0, framed(pack(a_[g], b_[g], trained[g]),
-                               pack(np.array([chunk], np.int64), held[g], d_[at_ref[r]], times[r]))
+            yield k, 0, framed(pack(a_[g], b_[g], trained[g]), pack(np.array([chunk], np.int64), held[g], step[r], times[r]))
+
+
+def texts_of(held: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Text numbers of n-grams from their steps."""
+    run = np.cumsum(step, dtype=np.int64)
+    start = np.cumsum(held, dtype=np.int64) - held
+    return (run - np.repeat(run[start] - step[start], held)).astype(np.uint16)
 
 
 GRAMS = "<u8 <u8 <i8"
@@ -418,7 +462,8 @@ def _sum_bucket(model, keys: list[int]):
         sums: dict[int, list] = {}
         for blob in blobs:
             grams, refs = unframed(blob)
-            (a, b, _), (chunk, held, doc, times) = unpack(grams, GRAMS), unpack(refs, REFS)
+            (a, b, _), (chunk, held, step, times) = unpack(grams, GRAMS), unpack(refs, REFS)
+            doc = texts_of(held, step)
             value, count = np.zeros(len(a)), np.zeros(len(a), np.int64)
             word = a == NONE
             value[word] = unseen
