@@ -58,6 +58,31 @@ def test_bptt_gradient_learns_and_pools_whole_texts():
     assert np.allclose(p[0], sums.sum(axis=0) / len(raw))
 
 
+def test_places_by_table_equal_the_rule():
+    rng = np.random.default_rng(4)
+    number = np.concatenate((rng.integers(3, K.HOT + 200, 300), rng.integers(1 << 63, 1 << 64, 300, np.uint64),
+                             [K.END, K.START, K.NONE]), dtype=np.uint64, casting="unsafe")
+    p = K.Places(number, 7, 53)
+    a, b = rng.integers(0, 600, 5000), rng.integers(0, 600, 5000)
+    assert (p.pairs(a, b) == K.places(number[a], number[b], 7, 53)).all()
+    none = np.full(len(number), K.NONE, np.uint64)
+    assert (p.words == K.places(none, number, 7, 53)).all()
+
+
+def test_steps_between_texts_give_the_texts_back():
+    rng = np.random.default_rng(5)
+    texts = [np.sort(rng.choice(60_000, n, replace=False)).astype(np.uint16) for n in rng.integers(1, 9, 200)]
+    step = np.concatenate([np.diff(t, prepend=np.uint16(0)).astype(np.uint16) for t in texts])
+    held = np.array([len(t) for t in texts], np.uint32)
+    assert (K.texts_of(held, step) == np.concatenate(texts)).all()
+
+
+def test_a_key_per_partition(spark):
+    keys = K.partition_keys(spark, 13)
+    got = spark.createDataFrame([(k,) for k in keys], "k int").repartition(13, "k").select("k", F.spark_partition_id().alias("p"))
+    assert len(set(keys)) == 13 and sorted(r.p for r in got.collect()) == list(range(13))
+
+
 def test_bptt_gradient_equals_finite_differences():
     rng = np.random.default_rng(2)
     m = L.BiGru(["a", "b", "c"], hidden=5)
