@@ -437,11 +437,6 @@ def _per_text(doc: np.ndarray, parts) -> tuple[np.ndarray, list[np.ndarray]]:
     return docs, [np.bincount(back, x, len(docs)) for x in parts]
 
 
-def _whole(part):
-    """A partition as one element."""
-    yield [tuple(r) for r in part]
-
-
 def _sum_bucket(model, keys: list[int]):
     """Sums of the bucket's n-gram values per text: (key of the chunk's home, kind 3, chunk,
     blob of text numbers and sums); the chunks' own blobs (kind 1) go along."""
@@ -598,8 +593,10 @@ def katz_scores(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFr
     grams, model = fit(counts, docs.filter(~held).count())
     values = grams if grams is not None else spark.createDataFrame([], "a long, b long, c long, cb long")
     back = values.mapInArrow(_pack_values(keys), "bucket int, blob binary").repartition(buckets, "bucket").rdd
-    # equal keys and widths: a bucket's texts meet its values, and nothing moves again
-    dealt = blobs.mapPartitions(_whole).zip(back.mapPartitions(_whole))
+    # equal keys and widths: a bucket's texts meet its values, and nothing moves again.  A partition
+    # becomes one element; as a lambda of builtins this needs no library in the workers that run it
+    whole = lambda part: [[tuple(r) for r in part]]
+    dealt = blobs.mapPartitions(whole).zip(back.mapPartitions(whole))
     sums = spark.createDataFrame(dealt.flatMap(_sum_bucket(sc.broadcast(model), keys)),
                                  "bucket int, kind int, chunk long, blob binary", verifySchema=False)
     rows = sums.repartition(buckets, "bucket").mapInArrow(
