@@ -77,6 +77,25 @@ def test_steps_between_texts_give_the_texts_back():
     assert (K.texts_of(held, step) == np.concatenate(texts)).all()
 
 
+def test_steps_of_sorted_pairs_give_them_back():
+    rng = np.random.default_rng(4)
+    a = np.sort(np.concatenate((rng.integers(0, 6, 300), rng.integers(1 << 63, 1 << 64, 40, np.uint64)), dtype=np.uint64, casting="unsafe"))
+    b = np.concatenate((rng.integers(0, 9, 170), rng.integers(1 << 63, 1 << 64, 170, np.uint64)), dtype=np.uint64, casting="unsafe")
+    order = np.lexsort((b, a))
+    for n in (340, 1, 0):
+        x, y = a[order][:n], b[order][:n]
+        back = K.stepped(*K.steps(x, y))
+        assert (back[0] == x).all() and (back[1] == y).all() and len(back[0]) == n
+
+
+def test_numbers_of_common_and_other_words():
+    words = [b"a", b"b", b"c"]
+    h = [K.word_hash(w) for w in words]
+    got = K.Numbering([h[2], h[0]]).numbers(words)
+    assert got.tolist() == [K.END + 2, h[1] | 1 << 63, K.END + 1]
+    assert K.Numbering([]).numbers(words).tolist() == [x | 1 << 63 for x in h]
+
+
 def test_a_key_per_partition(spark):
     keys = K.partition_keys(spark, 13)
     got = spark.createDataFrame([(k,) for k in keys], "k int").repartition(13, "k").select("k", F.spark_partition_id().alias("p"))

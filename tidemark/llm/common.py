@@ -38,7 +38,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts lineage without executor-local state: a lost executor loses nothing
@@ -46,7 +46,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

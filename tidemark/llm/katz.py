@@ -63,7 +63,7 @@ TOP = 64
 SALTS = 32
 CHUNK_TOKENS = 1_000_000
 #: Bytes of all texts per bucket: a bucket's n-grams are counted in one task's memory.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 8 << 20
 #: N-grams of a bucket added up at a time.
 MERGE_ROWS = 1 << 20
 VALUE_ROWS = 1 << 16
@@ -123,6 +123,24 @@ def unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
+def steps(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted n-grams as differences: of first words, and of second words after the same first word."""
+    da, db = a.copy(), b.copy()
+    da[1:] -= a[:-1]
+    again = np.flatnonzero(da[1:] == 0) + 1
+    db[again] -= b[again - 1]
+    return da, db
+
+
+def stepped(da: np.ndarray, db: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of their ``steps``."""
+    a, run = np.cumsum(da, dtype=np.uint64), np.cumsum(db, dtype=np.uint64)
+    first = da != 0
+    first[:1] = True
+    start = np.flatnonzero(first)
+    return a, run - np.repeat(run[start] - db[start], np.diff(np.append(start, len(a))))
+
+
 def framed(first: bytes, second: bytes) -> bytes:
     """Two blobs as one; ``unframed`` reads either without the other."""
     return len(first).to_bytes(8, "little") + first + second
@@ -161,11 +179,18 @@ class Numbering:
     """Token numbers of words: small for common ones, a marked hash for others."""
 
     def __init__(self, common: list[int]):
-        self.small = {h: i + END + 1 for i, h in enumerate(common)}
+        hashes = np.array(common, np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.small = hashes[order], (order + END + 1).astype(np.uint64)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        hashes = [word_hash(w) for w in words]
-        return np.array([self.small.get(h, h | 1 << 63) for h in hashes], np.uint64)
+        hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
+        out = hashes | _MARK
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = self.hashes[at] == hashes
+            out[known] = self.small[at[known]]
+        return out
 
 
 def home_of(chunk: int, buckets: int) -> int:
@@ -182,30 +207,34 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
     keys = np.array([hash_of(t) for t in texts], np.uint64)
     copies = np.array([v[0] for v in texts.values()], np.int64)
     words, sizes = word_spans([t.lower() for t in texts])  # bytes.lower: A-Z only
-    # codes of the chunk's own words, then those of the end, the start and none
-    v = len(words.dictionary)
-    number = np.concatenate((numbering.numbers(words.dictionary.to_pylist()), np.array([END, START, NONE], np.uint64)))
+    # codes: none, the start and the end, then the chunk's own words, ascending by number
+    number = numbering.numbers(words.dictionary.to_pylist())
+    order = np.argsort(number)
+    code = np.empty(len(order), np.int32)
+    code[order] = np.arange(3, len(order) + 3, dtype=np.int32)
+    number = np.concatenate((np.array([NONE, START, END], np.uint64), number[order]))
+    v = len(number)
     salt = int(np.bitwise_xor.reduce(mixed(keys, np.arange(len(keys), dtype=np.uint64)))) >> 1
     place_of = Places(number, salt % SALTS, buckets)
     doc = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes + 1)
-    flat = np.full(len(doc), v, np.int32)
+    flat = np.full(len(doc), END, np.int32)
     ends = np.cumsum(sizes + 1) - 1
     body = np.ones(len(flat), bool)
     body[ends] = False
-    flat[body] = words.indices.to_numpy(zero_copy_only=False)
-    del words, body
+    flat[body] = code[words.indices.to_numpy(zero_copy_only=False)]
+    del words, body, code, order
     yield home_of(chunk, buckets), 1, pack(np.array([chunk], np.int64), keys, (sizes + 1).astype(np.uint32))
     for pairs in (False, True):
-        before = np.full(len(flat), v + 2, np.int32)
+        before = np.full(len(flat), NONE, np.int32)
         if pairs:
             before[1:] = flat[:-1]
-            before[0] = v + 1
-            before[ends[:-1] + 1] = v + 1
+            before[0] = START
+            before[ends[:-1] + 1] = START
         place = place_of.pairs(before, flat) if pairs else place_of.words[flat]
         gram = place.astype(np.int64)
-        gram *= v + 3
+        gram *= v
         gram += before
-        gram *= v + 3
+        gram *= v
         gram += flat  # far below 2^63 for any chunk
         order = np.argsort(gram, kind="stable")
         gram = gram[order]
@@ -233,7 +262,7 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
         for k in np.flatnonzero(np.diff(edge)).tolist():
             g = slice(edge[k], edge[k + 1])
             r = slice(first[edge[k]], first[edge[k + 1]])
-            yield k, 0, framed(pack(a_[g], b_[g], trained[g]), pack(np.array([chunk], np.int64), held[g], step[r], times[r]))
+            yield k, 0, framed(pack(*steps(a_[g], b_[g]), trained[g]), pack(np.array([chunk], np.int64), held[g], step[r], times[r]))
 
 
 def texts_of(held: np.ndarray, step: np.ndarray) -> np.ndarray:
@@ -315,7 +344,8 @@ def _count_bucket(part):
     held, rows = [], 0
     for _, kind, blob in part:
         if kind == 0:
-            a, b, c = unpack(unframed(bytes(blob))[0], GRAMS)
+            da, db, c = unpack(unframed(bytes(blob))[0], GRAMS)
+            a, b = stepped(da, db)
             keep = c > 0
             held.append((a[keep], b[keep], c[keep]))
             rows += len(held[-1][0])
@@ -324,6 +354,9 @@ def _count_bucket(part):
                 rows = len(held[0][0])
     if rows:
         a, b, c = added_up(held)
+        del held
+        order = np.lexsort((b, a))  # the written table is denser
+        a, b, c = a[order], b[order], c[order]
         yield (pack(a, b, c, is_shared(a, b).astype(np.int8)),)
 
 
@@ -350,13 +383,17 @@ def _pack_values(keys: list[int]):
             idx.append(more)
             place.append(places(a[more], b[more], salt, buckets))
         idx, place = np.concatenate(idx), np.concatenate(place)
-        pair = np.unique(place.astype(np.int64) * len(a) + idx)  # a bucket gets an n-gram once
+        rank = np.empty(len(a), np.int64)  # ascending by first and second word
+        rank[np.lexsort((b, a))] = np.arange(len(a))
+        a[rank], b[rank], c[rank], cb[rank] = a.copy(), b.copy(), c.copy(), cb.copy()
+        cb[b <= np.uint64(END + COMMON)] = 0  # the model has the counts of common words
+        pair = np.unique(place.astype(np.int64) * len(a) + rank[idx])  # a bucket gets an n-gram once
         idx, place = pair % len(a), pair // len(a)
         edge = np.searchsorted(place, np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(edge)).tolist():
             i = idx[edge[k]:edge[k + 1]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[k]], pa.int32()), pa.array([pack(a[i], b[i], c[i], cb[i])], pa.binary())],
+                [pa.array([keys[k]], pa.int32()), pa.array([pack(*steps(a[i], b[i]), c[i], cb[i])], pa.binary())],
                 names=["bucket", "blob"])
 
     def run(batches):
@@ -381,6 +418,7 @@ class Model:
         self.total, self.kinds, self.fix, self.unknown = total, kinds, fix, unknown
         self.words, self.pairs = words or {}, pairs or {}
         self.hot: dict[int, tuple] = {}  # context -> (factor, log a, count)
+        self.common = np.zeros(END + COMMON + 1, np.int64)  # counts of words with small numbers
 
     @staticmethod
     def _discounted(c: np.ndarray, d: dict[int, float]) -> np.ndarray:
@@ -443,22 +481,27 @@ def _sum_bucket(model, keys: list[int]):
     def run(both):
         rows, values = both
         counted = [unpack(bytes(v[1]), "<u8 <u8 <i8 <i8") for v in values]
-        blobs = [bytes(r[2]) for r in rows if r[1] == 0]
+        counted = [(*stepped(da, db), c, cb) for da, db, c, cb in counted]
+        blobs = [r[2] for r in rows if r[1] == 0]
         yield from ((r[0], 1, 0, bytes(r[2])) for r in rows if r[1] == 1)
         m = model.value
         unseen = float(np.log10(m.unknown))
         none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         va, vb, vc, vcb = (np.concatenate(x) for x in zip(*counted)) if counted else none
+        del counted, both, rows, values
+        small = np.flatnonzero((va != NONE) & (vb <= np.uint64(END + COMMON)))
+        vcb[small] = m.common[vb[small]]
         vs = m.values(va, vb, vc, vcb)
+        del vcb, small
         key = mixed(va, vb)
         order = np.argsort(key)
         va, vb, vs, vc, key = va[order], vb[order], vs[order], vc[order], key[order]
         # what a chunk's words and pairs add to its texts leaves the bucket as one blob
         sums: dict[int, list] = {}
         for blob in blobs:
-            grams, refs = unframed(blob)
-            (a, b, _), (chunk, held, step, times) = unpack(grams, GRAMS), unpack(refs, REFS)
-            doc = texts_of(held, step)
+            grams, refs = unframed(bytes(blob))
+            (da, db, _), (chunk, held, step, times) = unpack(grams, GRAMS), unpack(refs, REFS)
+            (a, b), doc = stepped(da, db), texts_of(held, step)
             value, count = np.zeros(len(a)), np.zeros(len(a), np.int64)
             word = a == NONE
             value[word] = unseen
@@ -536,7 +579,7 @@ def _counts_of_counts(t: DataFrame) -> dict[int, int]:
 
 def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
     """(counted n-grams with the count of their second word, model) from (a, b, c, shared)."""
-    counts = staged(counts, "ngrams")  # once: both halves below read the table
+    counts = staged(counts, "ngrams", "zstd")  # once: both halves below read the table
     shared = staged(counts.filter("shared").groupBy("a", "b").agg(F.sum("c").alias("c")), "shared-ngrams")
     grams = counts.filter("not shared").drop("shared").unionByName(shared)
     uni = grams.filter(F.col("a") == NONE)
@@ -569,6 +612,8 @@ def fit(counts: DataFrame, train_texts: int) -> tuple[DataFrame | None, Model]:
         sums[a] = [dc, pb * fix / total]
     sizes = dict(uni.filter(F.col("b") <= END + HOT).filter(F.col("b") > 0).select("b", "c").collect())
     sizes[START] = train_texts
+    small = uni.filter(F.col("b").between(END, END + COMMON)).select("b", "c").toArrow()  # at most COMMON + 1 rows
+    model.common[small["b"].to_numpy()] = small["c"].to_numpy()
     for a, (dc, pb) in sums.items():
         factor, la = model.context(np.float64(dc), np.float64(pb), np.float64(sizes[a]))
         model.hot[a] = (float(factor), float(la), float(sizes[a]))
