@@ -88,6 +88,20 @@ def test_steps_of_sorted_pairs_give_them_back():
         assert (back[0] == x).all() and (back[1] == y).all() and len(back[0]) == n
 
 
+def test_packed_columns_come_back():
+    cols = [np.array([0, 255, 256, 1 << 63], np.uint64), np.array([-1, 5, 0], np.int64), np.empty(0, np.uint16),
+            np.array([0.5, -2.0]), np.array([7, 70_000], np.uint32), np.zeros(3, np.int64)]
+    got = K.unpack(K.pack(*cols), "<u8 <i8 <u2 <f8 <u4 <i8")
+    assert all((g == c).all() and g.dtype == c.dtype for g, c in zip(got, cols))
+
+
+def test_one_number_and_plain_sort_give_the_same_order():
+    rng = np.random.default_rng(2)
+    cols = [rng.integers(0, n, 5000).astype(t) for n, t in ((7, np.int32), (40, np.int32), (40, np.int32), (90, np.uint16))]
+    for x, y in zip(K.in_order(*cols, 7, 40, 90), K.in_order(*cols, 7, 1 << 27, 90)):
+        assert (x == y).all() and x.dtype == y.dtype
+
+
 def test_numbers_of_common_and_other_words():
     words = [b"a", b"b", b"c"]
     h = [K.word_hash(w) for w in words]

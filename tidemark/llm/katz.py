@@ -42,6 +42,7 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import partial
 from itertools import islice
 
 import numpy as np
@@ -104,10 +105,17 @@ _CODEC = pa.Codec("zstd", 3)
 
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Columns as one compressed blob (bytes of equal weight side by side)."""
-    head = np.array([len(columns)] + [x for c in columns for x in (c.dtype.itemsize, len(c))], "<i8").tobytes()
-    planes = [np.ascontiguousarray(np.frombuffer(c.tobytes(), np.uint8).reshape(len(c), -1).T).tobytes() for c in columns]
-    raw = head + b"".join(planes)
+    """Columns as one compressed blob (bytes of equal weight side by side, leading zeros left out)."""
+    head, planes = [len(columns)], []
+    for c in columns:
+        width = c.dtype.itemsize
+        if c.dtype.kind != "f":
+            most = int(c.view(f"u{width}").max()) if len(c) else 0
+            width = max(1, (most.bit_length() + 7) // 8)
+        head += [width, len(c)]
+        rows = np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.dtype.itemsize)
+        planes.append(np.ascontiguousarray(rows[:, :width].T).tobytes())
+    raw = np.array(head, "<i8").tobytes() + b"".join(planes)
     return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
 
@@ -116,10 +124,11 @@ def unpack(blob: bytes, kinds: str) -> list[np.ndarray]:
     n = int(np.frombuffer(raw, "<i8", 1)[0])
     head = np.frombuffer(raw, "<i8", 2 * n, 8).reshape(n, 2)
     at, out = 8 + 16 * n, []
-    for (size, length), kind in zip(head.tolist(), kinds.split()):
-        planes = np.frombuffer(raw, np.uint8, size * length, at).reshape(size, length)
-        out.append(np.frombuffer(np.ascontiguousarray(planes.T).tobytes(), kind))
-        at += size * length
+    for (width, length), kind in zip(head.tolist(), kinds.split()):
+        rows = np.zeros((length, np.dtype(kind).itemsize), np.uint8)
+        rows[:, :width] = np.frombuffer(raw, np.uint8, width * length, at).reshape(width, length).T
+        out.append(rows.reshape(-1).view(kind))
+        at += width * length
     return out
 
 
@@ -184,7 +193,7 @@ class Numbering:
         self.hashes, self.small = hashes[order], (order + END + 1).astype(np.uint64)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        hashes = np.fromiter(map(word_hash, words), np.uint64, len(words))
+        hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), words), np.uint64, len(words))
         out = hashes | _MARK
         if len(self.hashes):
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -198,6 +207,22 @@ def home_of(chunk: int, buckets: int) -> int:
     return int(mixed(np.array([chunk], np.uint64), np.array([NONE], np.uint64))[0] % np.uint64(buckets))
 
 
+def in_order(place, before, after, doc, buckets: int, kinds: int, texts: int) -> tuple[np.ndarray, ...]:
+    """The four columns sorted by all of them: as one number where they fit into 63 bits."""
+    word, text = kinds.bit_length(), texts.bit_length()
+    if buckets.bit_length() + 2 * word + text > 63:
+        order = np.lexsort((doc, after, before, place))
+        return place[order], before[order], after[order], doc[order]
+    key = place.astype(np.int64)
+    for column, bits in ((before, word), (after, word), (doc, text)):
+        key <<= bits
+        key |= column
+    key.sort()
+    low = (1 << word) - 1
+    return ((key >> (2 * word + text)).astype(np.int32), ((key >> (word + text)) & low).astype(np.int32),
+            ((key >> text) & low).astype(np.int32), (key & ((1 << text) - 1)).astype(np.uint16))
+
+
 def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, hash_of,
                 chunk: int) -> Iterable[tuple[int, int, bytes]]:
     """(bucket, kind, blob) of the chunk numbered ``chunk``.  ``texts``: text -> [training copies].
@@ -231,21 +256,13 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
             before[0] = START
             before[ends[:-1] + 1] = START
         place = place_of.pairs(before, flat) if pairs else place_of.words[flat]
-        gram = place.astype(np.int64)
-        gram *= v
-        gram += before
-        gram *= v
-        gram += flat  # far below 2^63 for any chunk
-        order = np.argsort(gram, kind="stable")
-        gram = gram[order]
-        new = np.ones(len(order), bool)
-        new[1:] = gram[1:] != gram[:-1]
-        del gram
-        d_ = doc[order]
+        place, before, follow, d_ = in_order(place, before, flat, doc, buckets, v, len(sizes))
+        new = np.ones(len(place), bool)
+        new[1:] = (follow[1:] != follow[:-1]) | (before[1:] != before[:-1])
         ref = new.copy()
         ref[1:] |= d_[1:] != d_[:-1]
         at_ref = np.flatnonzero(ref)
-        times = np.diff(np.append(at_ref, len(order))).astype(np.uint32)   # in this text
+        times = np.diff(np.append(at_ref, len(place))).astype(np.uint32)   # in this text
         at_new = np.flatnonzero(new)
         gram_of_ref = (np.cumsum(new, dtype=np.int32) - 1)[at_ref]
         d_ = d_[at_ref]
@@ -255,10 +272,9 @@ def chunk_blobs(texts: dict[bytes, list], numbering: Numbering, buckets: int, ha
         again = gram_of_ref[1:] == gram_of_ref[:-1]
         step[1:][again] -= d_[:-1][again]
         first = np.concatenate(([0], np.cumsum(held, dtype=np.int64)))
-        heads = order[at_new]
-        edge = np.searchsorted(place[heads], np.arange(buckets + 1))
-        a_, b_ = number[before[heads]], number[flat[heads]]
-        del before, place, order, new, ref, at_ref, gram_of_ref, d_, heads
+        edge = np.searchsorted(place[at_new], np.arange(buckets + 1))
+        a_, b_ = number[before[at_new]], number[follow[at_new]]
+        del before, follow, place, new, ref, at_ref, gram_of_ref, d_
         for k in np.flatnonzero(np.diff(edge)).tolist():
             g = slice(edge[k], edge[k + 1])
             r = slice(first[edge[k]], first[edge[k + 1]])
@@ -471,8 +487,8 @@ class Model:
 
 
 def _per_text(doc: np.ndarray, parts) -> tuple[np.ndarray, list[np.ndarray]]:
-    docs, back = np.unique(doc, return_inverse=True)
-    return docs, [np.bincount(back, x, len(docs)) for x in parts]
+    docs = np.flatnonzero(np.bincount(doc)).astype(np.uint16)
+    return docs, [np.bincount(doc, x)[docs] for x in parts]
 
 
 def _sum_bucket(model, keys: list[int]):
@@ -511,10 +527,10 @@ def _sum_bucket(model, keys: list[int]):
                 value[hit] = vs[at[hit]]
                 count[hit] = vc[at[hit]]
             count[~word] = 0
+            base = np.zeros(len(a))  # a function of the words' counts; +0.5 as in the contract
+            base[word] = np.log10(count[word] + 0.5)
             gram = np.repeat(np.arange(len(a)), held)
-            only = word[gram]
-            # the base score is a function of the counts; +0.5 as in the contract
-            parts = (value[gram] * times, np.log10(count[gram] + 0.5) * times * only, times * (count[gram] > 0) * only)
+            parts = value[gram] * times, base[gram] * times, (count > 0)[gram] * times
             sums.setdefault(int(chunk[0]), []).append(_per_text(doc, parts))
         for chunk, found in sums.items():
             docs, parts = _per_text(np.concatenate([d for d, _ in found]),
