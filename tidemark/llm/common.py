@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import uuid
 
@@ -50,6 +52,20 @@ def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def releasing(task):
+    """A task's generator that, when it ends, gives freed memory back to the system:
+    Python workers stay between tasks, and would otherwise keep their largest size."""
+    @functools.wraps(task)
+    def run(given):
+        yield from task(given)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The configured number of shuffle partitions."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -52,7 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, documents, prepare, shuffle_width, staged, word_spans
+from .common import crc_mod, documents, prepare, releasing, shuffle_width, staged, word_spans
 
 HELD_OUT = (5, 1)
 MIN_PAIR = 1  # every counted pair is in the tables
@@ -309,6 +309,7 @@ def partition_keys(spark, n: int) -> list[int]:
 def _pack_task(numbering, keys: list[int]):
     buckets = len(keys)
 
+    @releasing
     def run(batches):
         texts: dict[bytes, list] = {}
         size = 0
@@ -355,6 +356,7 @@ def added_up(grams: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return a[at], b[at], np.add.reduceat(c, at) if len(at) else c
 
 
+@releasing
 def _count_bucket(part):
     """Training counts of the bucket's n-grams, added up as they come."""
     held, rows = [], 0
@@ -376,6 +378,7 @@ def _count_bucket(part):
         yield (pack(a, b, c, is_shared(a, b).astype(np.int8)),)
 
 
+@releasing
 def _unpack_counts(batches):
     for batch in batches:
         for blob in batch.column(0).to_pylist():
@@ -412,6 +415,7 @@ def _pack_values(keys: list[int]):
                 [pa.array([keys[k]], pa.int32()), pa.array([pack(*steps(a[i], b[i]), c[i], cb[i])], pa.binary())],
                 names=["bucket", "blob"])
 
+    @releasing
     def run(batches):
         held, rows = [], 0
         for batch in batches:
@@ -494,6 +498,7 @@ def _per_text(doc: np.ndarray, parts) -> tuple[np.ndarray, list[np.ndarray]]:
 def _sum_bucket(model, keys: list[int]):
     """Sums of the bucket's n-gram values per text: (key of the chunk's home, kind 3, chunk,
     blob of text numbers and sums); the chunks' own blobs (kind 1) go along."""
+    @releasing
     def run(both):
         rows, values = both
         counted = [unpack(bytes(v[1]), "<u8 <u8 <i8 <i8") for v in values]
@@ -540,6 +545,7 @@ def _sum_bucket(model, keys: list[int]):
     return run
 
 
+@releasing
 def _rows_of_chunks(batches):
     """Per text of a chunk: (key, tokens, sum of values, base sum, known tokens)."""
     sums: dict[int, list] = {}
