@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_help import SF
 
@@ -94,6 +95,54 @@ def test_matrix_has_one_column_per_word_in_all_shards(spark, odd):
     assert sorted(counts.values()) == sorted(total.values())
 
 
+def test_matrix_and_flags_share_one_worker_per_task(spark, odd, monkeypatch):
+    plans = {}
+    staged = A.staged
+
+    def seen(df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name, *more)
+
+    monkeypatch.setattr(A, "staged", seen)
+    docs = odd.select("doc_id", "text", "lang").repartition(2)
+    got = A.document_flags(docs)
+    steps = re.findall(r"MapInArrow (\w+)\(", plans["flags"])
+    assert sorted(steps) == ["columns", "numbered_words"]  # a step on its own would be a second worker per task
+    # rows made beside the shards are those made from the finished shards
+    beside = A.term_matrix(docs, each=A._row_flags, schema=A.FLAGS).collect()
+    after = A.term_matrix(docs).mapInArrow(A._row_flags, A.FLAGS).collect()
+    assert len(beside) == odd.count() == got.count() and sorted(map(repr, beside)) == sorted(map(repr, after))
+
+
+def test_tasks_give_memory_back_when_they_end(monkeypatch):
+    class Task:
+        @staticmethod
+        def get():
+            return Task
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    class Pool:
+        released = 0
+
+        @classmethod
+        def release_unused(cls):
+            cls.released += 1
+
+    monkeypatch.setattr(A, "TaskContext", Task)
+    texts = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["en", "en"]), pa.array([b"b a", b"a"])],
+                                       names=["doc_id", "part", "text"])
+    words = pa.RecordBatch.from_arrays([pa.array([b"a", b"b"]), pa.array([0, 0]), pa.array([1, 0], pa.int32())],
+                                       names=["word", "shard", "code"])
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: Pool)
+    for task, batch in ((A.local_shards, texts), (A.numbered_words, words)):
+        before = Pool.released
+        assert [b.num_rows for b in task([batch])] == [1]
+        assert Pool.released == before + 1
+
+
 def slow_plain(text):
     out = []
     for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",

@@ -18,6 +18,10 @@ E compares texts by their SHA-256 and joins each with the smallest doc_id of
 its text on both columns, so a large group of copies is never one key.  The
 flags are counted per language before they meet the orders.
 
+Memory.  A task has one Python worker: what reads the matrix runs in the task
+that makes its rows (``each``).  Workers stay between tasks, so they give freed
+memory back when a task ends.
+
 Defined results: null and empty texts are equal; null and empty languages are
 one part; a null doc_id is neither smaller nor greater than any, so its row
 never fails E; rows of the same doc_id and text do not fail each other;
@@ -37,18 +41,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, shuffle_width, staged, word_spans
+from .common import documents, prepare, releasing, shuffle_width, staged, word_spans
 
 FILTERS = "ABCDE"
 MIN_WORDS = 100
 MIN_DISTINCT_PERCENT = 80
 MAX_CAPITAL_PERCENT = 10
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 SHARD_ROWS = 20_000
 #: Words numbered at a time.
 RUN_ROWS = 1 << 18
-#: Bytes of an Arrow batch: shards are rows of megabytes.
-BATCH_BYTES = 16 << 20
+#: Bytes of an Arrow batch: shards are rows of megabytes, and one is enough.
+BATCH_BYTES = 4 << 20
 _CAPITALS = bytes(range(65, 91))
 _SYMBOLS = b"#$%&*|"
 _NOT_LEADING = bytes(range(0x80, 0xC0))  # UTF-8 continuation bytes
@@ -59,6 +63,8 @@ LOCAL = ("shard long, entries long, indptr binary, indices binary, data binary,
 #: The same over global columns.
 CSR = ("shard long, indptr binary, indices binary, data binary,"
        " doc_id array<long>, part array<string>, digest array<binary>, fails array<int>")
+#: A row per document.
+FLAGS = "doc_id long, part string, digest binary, fails int, n_words long, n_distinct long"
 
 
 def squeezed(a: np.ndarray) -> bytes:
@@ -80,6 +86,7 @@ def surface_fails(raw: bytes) -> int:
     return (4 if 100 * capitals > MAX_CAPITAL_PERCENT * points else 0) | (8 if any(s in raw for s in _SYMBOLS) else 0)
 
 
+@releasing
 def local_shards(batches):
     """Shards (``LOCAL``) of rows (doc_id, part, text as bytes)."""
     number = TaskContext.get().partitionId() << 32  # a repeated task numbers its shards alike
@@ -130,6 +137,7 @@ def _larger(batches, rows: int):
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+@releasing
 def numbered_words(batches):
     """Global numbers of words that arrive sorted: per shard and run of rows one
     row (shard, first number, codes, numbers from the first one on)."""
@@ -176,10 +184,13 @@ def _global_columns(batches):
                 names=[c.split()[0] for c in CSR.split(", ")])
 
 
-def term_matrix(docs: DataFrame, doc_id: str = "doc_id", part: str = "lang") -> DataFrame:
+def term_matrix(docs: DataFrame, doc_id: str = "doc_id", part: str = "lang", each=None, schema: str = CSR) -> DataFrame:
     """The document-term matrix as CSR shards (``CSR``): per shard ``indptr``,
     ``indices`` (global word numbers) and ``data`` (counts) as little-endian longs,
-    longs and ints, with the id, part, text digest and surface flags of its rows."""
+    longs and ints, with the id, part, text digest and surface flags of its rows.
+
+    ``each`` turns a task's shards into rows of ``schema`` where they are made: as a
+    step of its own it would have every task hold a second Python worker."""
     spark = prepare(docs.sparkSession)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(part, F.lit("")).alias("part"),
@@ -190,7 +201,13 @@ def term_matrix(docs: DataFrame, doc_id: str = "doc_id", part: str = "lang") ->
     runs = (words.repartition(shuffle_width(spark), "word").sortWithinPartitions("word")
                  .mapInArrow(numbered_words, "shard long, first long, codes binary, numbers binary"))
     runs = runs.groupBy("shard").agg(F.collect_list(F.struct("first", "codes", "numbers")).alias("runs"))
-    return local.drop("words").join(runs, "shard", "left").mapInArrow(_global_columns, CSR)
+
+    @releasing
+    def columns(batches):
+        shards = _global_columns(batches)
+        yield from each(shards) if each else shards
+
+    return local.drop("words").join(runs, "shard", "left").mapInArrow(columns, schema)
 
 
 def _row_flags(batches):
@@ -210,8 +227,7 @@ def _row_flags(batches):
 
 def document_flags(docs: DataFrame, doc_id: str = "doc_id", part: str = "lang") -> DataFrame:
     """doc_id, part, fails (bits A = 1 to E = 16), n_words, n_distinct of every document."""
-    rows = staged(term_matrix(docs, doc_id, part).mapInArrow(
-        _row_flags, "doc_id long, part string, digest binary, fails int, n_words long, n_distinct long"), "flags")
+    rows = staged(term_matrix(docs, doc_id, part, _row_flags, FLAGS), "flags")
     first = (rows.filter("doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
                  .withColumn("first", F.lit(True)))
     copy = F.col("first").isNull() & F.col("doc_id").isNotNull()
