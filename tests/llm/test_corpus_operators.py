@@ -281,4 +281,4 @@ def test_pipeline_removes_what_it_should(spark, docs):
 
 
 def test_every_operator_is_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
